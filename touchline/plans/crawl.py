@@ -56,15 +56,17 @@ def extract_entities(
     )
     payloads = pages.where(is_payload).select("url", "body")
 
-    at_competition = frontier.with_pages(frontier.direct_frontier(seeds.select("href"), base_url), html)
+    seeds = seeds.select("href").distinct()
+    at_competition = frontier.with_pages(frontier.direct_frontier(seeds, base_url), html)
     competitions = materialize(extract.competition_rows(at_competition), "competitions")
 
-    listing = frontier.direct_frontier(competitions.select("href"), base_url)
+    listing = frontier.direct_frontier(competitions.select("href").distinct(), base_url)
     clubs = materialize(extract.club_rows(frontier.with_pages(listing, html)), "clubs")
     if club:
         clubs = select_club(clubs, club)
 
-    squads = frontier.with_pages(frontier.direct_frontier(clubs.select("href"), base_url), html)
+    squads = frontier.direct_frontier(clubs.select("href").distinct(), base_url)
+    squads = frontier.with_pages(squads, html)
     profiles = frontier.profile_frontier(squads, base_url)
     profiles = frontier.one_parent_per_url(profiles, "club_href")
     players = materialize(extract.player_rows(frontier.with_pages(profiles, html)), "players")
