@@ -4,12 +4,9 @@ Nothing here is logic. Word lists, labels, CSS names, path parts and patterns ar
 together so that one can see at a glance what the engine takes as given.
 """
 
-# Markers that mean "no value" in money and date texts (compared in lower case).
-MISSING_MARKS = ["-", "", "n/a", "?", "unknown"]
-
 # Money: optional prefix, one number, optional unit.
 MONEY_PATTERN = r"(?i)^[^\d\-.,]*(\d+(?:[.,]\d+)?)\s*(bn|m|k)?$"
-MONEY_UNITS = {"bn": 1e9, "m": 1e6, "k": 1e3}
+MONEY_UNITS = {"": 1.0, "k": 1e3, "m": 1e6, "bn": 1e9}
 
 # Month names as written on pages.
 MONTHS_SHORT = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]

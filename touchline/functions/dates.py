@@ -7,57 +7,46 @@ from pyspark.sql import functions as F
 
 from touchline import fixed
 from touchline.functions.numbers import season_year
-from touchline.functions.text import unless_missing
-
-_ISO = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
-_DAY_FIRST = r"^(\d{1,2})([./-])(\d{1,2})\2(?!0000)(\d{4})$"
-_MONTH_NAME_FIRST = r"^([A-Za-z]+)\s+(\d{1,2}),\s*(?!0000)(\d{4})$"
-_DAY_THEN_MONTH_NAME = r"^(\d{1,2})\s+([A-Za-z]+)\s+(?!0000)(\d{4})$"
+from touchline.functions.text import strip_all
 
+# The first three letters of a month name, captured ahead of the whole name.
+_MONTH = r"(?=(\w{3}))(?:" + "|".join(fixed.MONTHS_LONG + fixed.MONTHS_SHORT) + ")"
 
-def _month_number(name: Column) -> Column:
-    """1-12 for an English month name, short or long, in any case; NULL for another word."""
-    found = F.lit(None).cast("int")
-    for names in (fixed.MONTHS_LONG, fixed.MONTHS_SHORT):
-        words = F.array(*[F.lit(word) for word in names])
-        found = F.coalesce(F.nullif(F.array_position(words, F.lower(name)).cast("int"), F.lit(0)), found)
-    return found
+# Written forms and how each is put in the order year-month-day.
+_REORDER = [
+    (r"^(\d{1,2})([./-])(\d{1,2})\2(\d{4})$", "$4-$3-$1"),
+    (rf"(?i)^{_MONTH}\s+(\d{{1,2}}),\s*(\d{{4}})$", "$3-$1-$2"),
+    (rf"(?i)^(\d{{1,2}})\s+{_MONTH}\s+(\d{{4}})$", "$3-$2-$1"),
+]
+_ISO = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
 
 
 def parse_date(text: Column) -> Column:
     """A date in one of the written forms, else NULL.
 
     Forms: `May 15, 2003`, `2003-05-15`, `15/05/2003`, `15.05.2003`, `15-05-2003`, `15 May 2003`;
-    month names short or long. Each form is rewritten to ISO text and cast once, so a row
-    that matches none costs a few regex tests and no exception.
+    month names short or long. Each form is rewritten to ISO text, which is cast once: no
+    row costs an exception, as trying one date pattern after the other would. The missing
+    markers are none of the forms and so give NULL as well.
     """
-    value = unless_missing(text)
-
-    def named(pattern: str, month: int, day: int) -> Column:
-        def part(group: int) -> Column:
-            return F.regexp_extract(value, pattern, group)
-
-        return F.concat_ws("-", part(3), _month_number(part(month)).cast("string"), part(day))
-
-    iso = (
-        F.when(value.rlike(_ISO), value)
-        .when(value.rlike(_DAY_FIRST), F.regexp_replace(value, _DAY_FIRST, "$4-$3-$1"))
-        .when(value.rlike(_MONTH_NAME_FIRST), named(_MONTH_NAME_FIRST, 1, 2))
-        .when(value.rlike(_DAY_THEN_MONTH_NAME), named(_DAY_THEN_MONTH_NAME, 2, 1))
-    )
-    # An unknown month name leaves only two parts, which a cast would read as year and day.
-    return F.when(iso.rlike(_ISO), iso.try_cast("date"))
+    value = strip_all(text)
+    for pattern, order in _REORDER:
+        value = F.regexp_replace(value, pattern, order)
+    value = F.lower(value)
+    for number, name in enumerate(fixed.MONTHS_SHORT, start=1):
+        value = F.replace(value, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
+    return F.regexp_extract(value, _ISO, 0).try_cast("date")
 
 
 def cast_date(text: Column) -> Column:
     """Cast ISO text to a date; unlike the bare cast, a lone year or year-month gives NULL."""
-    return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("date"))
+    return F.regexp_extract(text, r"^\s*\d{4}-\d{1,2}-\d{1,2}(?s).*", 0).try_cast("date")
 
 
 def season_date(season: Column) -> Column:
     """The first day of a season, NULL unless the season is a plain year."""
-    year = season_year(season)
-    return F.when(year >= 1, F.make_date(year, F.lit(fixed.SEASON_MONTH), F.lit(fixed.SEASON_DAY)))
+    year = F.nullif(season_year(season), F.lit(0))
+    return F.make_date(year, F.lit(fixed.SEASON_MONTH), F.lit(fixed.SEASON_DAY))
 
 
 def date_key(date: Column) -> Column:

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from touchline import fixed
-from touchline.functions.text import unless_missing
+from touchline.functions.text import strip_all
 
 
 def parse_money(text: Column) -> Column:
     """`€12.50m` becomes 12500000; a text that is not one number with a unit becomes NULL.
 
-    `rint` rounds halves to the even neighbour, so `0.5` gives 0 and `1.5` gives 2.
+    The missing markers hold no digit, so the pattern rejects them too. `rint` rounds halves
+    to the even neighbour: `0.5` gives 0 and `1.5` gives 2.
     """
-    value = unless_missing(text)
-    number = F.regexp_extract(value, fixed.MONEY_PATTERN, 1)
+    value = strip_all(text)
+    number = F.translate(F.regexp_extract(value, fixed.MONEY_PATTERN, 1), ",", ".")
     unit = F.lower(F.regexp_extract(value, fixed.MONEY_PATTERN, 2))
-    scale = F.lit(1.0)
-    for name, factor in fixed.MONEY_UNITS.items():
-        scale = F.when(unit == name, F.lit(factor)).otherwise(scale)
-    return F.rint(F.replace(number, F.lit(","), F.lit(".")).try_cast("double") * scale).try_cast("bigint")
+    factors = F.create_map(*[F.lit(part) for part in chain(*fixed.MONEY_UNITS.items())])
+    return F.rint(number.try_cast("double") * F.try_element_at(factors, unit)).try_cast("bigint")

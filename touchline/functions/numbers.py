@@ -7,21 +7,20 @@ from pyspark.sql import functions as F
 
 from touchline.functions.text import strip_all
 
+# A text that does not match a pattern as a whole is extracted as '', which casts to NULL.
 _INTEGER = r"^[+-]?\d+$"
 _DECIMAL = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
 def parse_decimal(text: Column, kind: str = "int") -> Column:
     """A number whose decimal mark may be a comma; as an int, any decimal mark gives NULL."""
-    plain = F.replace(strip_all(text), F.lit(","), F.lit("."))
-    guard = _INTEGER if kind == "int" else _DECIMAL
-    return F.when(plain.rlike(guard), plain.try_cast(kind))
+    plain = F.translate(strip_all(text), ",", ".")
+    return F.regexp_extract(plain, _INTEGER if kind == "int" else _DECIMAL, 0).try_cast(kind)
 
 
 def parse_count(text: Column) -> Column:
     """A count with grouping marks: `2.509'` becomes 2509. A dash means no data, not zero."""
-    plain = F.translate(strip_all(text), "'.,", "")
-    return F.when(plain.rlike(_INTEGER), plain.try_cast("int"))
+    return F.regexp_extract(F.translate(strip_all(text), "'.,", ""), _INTEGER, 0).try_cast("int")
 
 
 def first_integer(text: Column) -> Column:
@@ -31,4 +30,4 @@ def first_integer(text: Column) -> Column:
 
 def season_year(text: Column) -> Column:
     """The year of a season written as a plain year; `25/26` and other texts give NULL."""
-    return F.when(text.rlike(r"^\s*\d{1,4}\s*$"), F.trim(text).try_cast("int"))
+    return F.regexp_extract(text, r"^\s*(\d{1,4})\s*$", 1).try_cast("int")

@@ -22,7 +22,6 @@ def birth_age(text: Column) -> Column:
 def height_cm(text: Column) -> Column:
     """`1,95 m` becomes 195. The fraction is read as centimetres, so `1,9 m` gives 109."""
     metres = F.regexp_extract(text, fixed.HEIGHT_PATTERN, 1).try_cast("int")
-    fraction = F.regexp_extract(text, fixed.HEIGHT_PATTERN, 2)
-    centimetres = fraction.try_cast("int")
-    small = F.when(centimetres < 100, centimetres).otherwise(0)
-    return F.when(fraction != "", F.try_add(F.try_multiply(metres, F.lit(100)), small))
+    centimetres = F.regexp_extract(text, fixed.HEIGHT_PATTERN, 2).try_cast("bigint")
+    # A fraction of three digits or more is no centimetres: only the metres count.
+    return F.try_add(F.try_multiply(metres, F.lit(100)), F.when(centimetres < 100, centimetres).otherwise(0)).try_cast("int")

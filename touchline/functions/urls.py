@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from touchline import fixed
 from touchline.functions.text import blank_to_null, strip_all
 
-_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
+# Scheme, host, the path (group 1), parameters of its last part, query or fragment. Nothing is
+# given back once matched, so a URL without a path does not match at all and stays whole.
+_URL = (
+    r"^(?:[A-Za-z][A-Za-z0-9+.\-]*+:)?+(?://[^/?#]*+)?+"
+    r"((?:[^?#;]++|;(?=[^?#]*/))++)(?:;[^?#]*+)?+(?:[?#].*)?$"
+)
 
 
 def normalize_path(url: Column) -> Column:
@@ -17,10 +22,8 @@ def normalize_path(url: Column) -> Column:
     Scheme, host, query, fragment and the parameters of the last path part go. Where no
     path is left, the text itself stands in.
     """
-    text = blank_to_null(F.regexp_replace(strip_all(url), r"[\t\r\n]", ""))
-    path = F.regexp_replace(F.regexp_extract(text, _PATH, 1), r";[^/]*$", "")
-    path = F.coalesce(blank_to_null(path), text)
-    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+    text = blank_to_null(F.translate(strip_all(url), "\t\r\n", ""))
+    return F.regexp_replace(F.regexp_replace(text, _URL, "$1"), "^(?!/)", "/")
 
 
 def _base(base_url: str) -> Column:

@@ -87,24 +87,35 @@ def info_value(pairs: Column, label: str) -> Column:
 def player_rows(pages: DataFrame) -> DataFrame:
     """One player per profile page. Input: `href` (of the player), `club_href`, `url`, `features`."""
     feature = F.col("features")
-    pages = pages.withColumn("info", info_pairs(feature["info_labels"], feature["info_values"]))
     info = F.col("info")
-    birth = info_value(info, fixed.LABEL_BIRTH)
-    parts = F.transform(feature["value_parts"], strip_all)
-    return _entity(pages, "players", {
+    pages = pages.withColumn("info", info_pairs(feature["info_labels"], feature["info_values"]))
+    # The texts become columns of their own first, so that each is looked up once.
+    texts = pages.select(
+        "href", "club_href", "url",
+        feature["h1_all"].alias("heading"),
+        F.array_join(F.transform(feature["value_parts"], strip_all), "").alias("value"),
+        info_value(info, fixed.LABEL_BIRTH).alias("birth"),
+        info_value(info, fixed.LABEL_HEIGHT).alias("height"),
+        info_value(info, fixed.LABEL_CITIZENSHIP).alias("citizenship"),
+        info_value(info, fixed.LABEL_POSITION).alias("position"),
+        info_value(info, fixed.LABEL_FOOT).alias("foot"),
+        info_value(info, fixed.LABEL_JOINED).alias("joined"),
+        info_value(info, fixed.LABEL_CONTRACT).alias("contract"),
+    )
+    return _entity(texts, "players", {
         "type": F.lit("player"),
-        "name": drop_jersey_number(squeeze(feature["h1_all"])),
+        "name": drop_jersey_number(squeeze(F.col("heading"))),
         "href": F.coalesce(F.col("href"), normalize_path(F.col("url"))),
         "club_href": F.col("club_href"),
-        "dob": birth_date(birth),
-        "age": birth_age(birth),
-        "nationality": info_value(info, fixed.LABEL_CITIZENSHIP),
-        "position": info_value(info, fixed.LABEL_POSITION),
-        "foot": info_value(info, fixed.LABEL_FOOT),
-        "height_cm": height_cm(info_value(info, fixed.LABEL_HEIGHT)),
-        "joined": parse_date(info_value(info, fixed.LABEL_JOINED)),
-        "contract_until": parse_date(info_value(info, fixed.LABEL_CONTRACT)),
-        "market_value": parse_money(F.array_join(parts, "")),
+        "dob": birth_date(F.col("birth")),
+        "age": birth_age(F.col("birth")),
+        "nationality": F.col("citizenship"),
+        "position": F.col("position"),
+        "foot": F.col("foot"),
+        "height_cm": height_cm(F.col("height")),
+        "joined": parse_date(F.col("joined")),
+        "contract_until": parse_date(F.col("contract")),
+        "market_value": parse_money(F.col("value")),
     })
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import schemas
-from touchline.functions import dates, money, numbers, text, urls
+from touchline.functions import dates, money, numbers, profile, text, urls
 from touchline.operators import audit, extract, frontier, keys, lookups
 from touchline.operators.collapse import collapse, date_feed, date_spine, table_counts
 from touchline.plans import dims, facts
@@ -57,10 +57,10 @@ def _player_href(key: Column) -> Column:
     return _text("/p/profil/spieler/", key)
 
 
-def _as_entity(rows: DataFrame, name: str, **values: Column) -> DataFrame:
+def _as_entity(rows: DataFrame, entity: str, /, **values: Column) -> DataFrame:
     return rows.select(*[
         values.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
-        for field in schemas.RAW[name]
+        for field in schemas.RAW[entity]
     ])
 
 
@@ -474,10 +474,8 @@ def info_box(spark, sf_dir):
         _text(nation + 1, "/05/", nation + 1970, " (", nation + 20, ")"),
         F.nullif("c_mktsegment", F.lit("BUILDING")), _text("  Nation \n ", nation),
     )
-    from touchline.functions import profile
-
     pairs = extract.info_pairs(F.col("labels"), F.col("values"))
-    rows = customers.select("c_custkey", "c_name", labels.alias("labels"), values.alias("values"))
+    rows = customers.select("c_custkey", "c_name", "c_nationkey", labels.alias("labels"), values.alias("values"))
     rows = rows.withColumn("info", pairs)
 
     def value(label: str) -> Column:
