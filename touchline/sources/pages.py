@@ -7,9 +7,11 @@ expressions on the struct.
 
 from __future__ import annotations
 
+import re
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -20,9 +22,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from touchline import fixed, schemas
 
-# HTML elements without content, and what the start of an element ends:
-# tag -> (open elements it ends, elements that shield what lies outside them).
+# HTML elements without content, elements of raw text, and what the start of an
+# element ends: tag -> (open elements it ends, elements that shield what lies outside them).
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
+_RAW = {"script", "style"}
 _SECTIONS = {"tbody", "thead", "tfoot"}
 _ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}),
@@ -37,179 +40,198 @@ _ENDS = {
 }
 _TABLE_PARTS = {"td", "th", "tr", "table"} | _SECTIONS
 
+# A comment, a tag (quoted attribute values may hold `>`; a lone quote ends nothing) or a declaration.
+_MARKUP = re.compile(
+    r"""<!--.*?(?:-->|\Z)
+    |<(/?)([a-z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*|[^>]*)>
+    |<[!?][^>]*>""",
+    re.IGNORECASE | re.DOTALL | re.VERBOSE,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
-class _Element:
-    __slots__ = ("tag", "attributes", "parent", "content")
+# Output rows per Arrow batch.
+_BATCH = 256
 
-    def __init__(self, tag, attributes, parent):
-        self.tag, self.attributes, self.parent = tag, attributes, parent
-        self.content = []  # texts and elements in document order
 
-    def has_class(self, name):
-        return name in (self.attributes.get("class") or "").split()
+class _Element:
+    """An element and what it holds, as ranges over the page's elements and texts."""
+
+    __slots__ = ("tag", "written", "parent", "index", "last", "text_from", "text_to", "_attributes")
 
-    def texts(self):
-        """All texts in and below this element, in document order."""
-        for part in self.content:
-            if isinstance(part, str):
-                yield part
-            else:
-                yield from part.texts()
+    def __init__(self, tag, written, parent, index, text_from):
+        self.tag, self.written, self.parent, self.index = tag, written, parent, index
+        self.last, self.text_from, self.text_to = index, text_from, text_from
+        self._attributes = None
 
-    def inner_texts(self):
-        """The texts of the elements below this one, without its own."""
-        for part in self.content:
-            if not isinstance(part, str):
-                yield from part.texts()
+    @property
+    def attributes(self):
+        """Attribute values by name; read on demand, as few elements are ever asked."""
+        if self._attributes is None:
+            self._attributes = {}
+            for name, *values in _ATTRIBUTE.findall(self.written):
+                self._attributes.setdefault(name.lower(), unescape("".join(values)))
+        return self._attributes
 
-    def own_texts(self):
-        return [part for part in self.content if isinstance(part, str)]
+    def has_class(self, name):
+        return name in self.written and name in self.attributes.get("class", "").split()
 
-    def inside(self, test):
-        element = self.parent
-        while element is not None and not test(element):
-            element = element.parent
-        return element
+    def holds(self, other):
+        return self.index < other.index <= self.last
 
 
-class _Page(HTMLParser):
-    """A lenient element tree with the elements of each tag listed in document order."""
+class _Page:
+    """Elements and texts of a page in document order. No recursion: broken pages nest deeply."""
 
     def __init__(self, html):
-        super().__init__(convert_charrefs=True)
-        self.open = _Element("", {}, None)
-        self.by_tag = {}
-        self.joins = False  # the last event was text, so more text continues it
-        self.feed(html)
-        self.close()
-
-    def handle_starttag(self, tag, attributes):
-        self.joins = False
-        ended, shields = _ENDS.get(tag, ((), ()))
-        if ended:
-            element = self.open
-            while element is not None and element.tag not in ended and element.tag not in shields:
-                element = element.parent
-            if element is not None and element.tag in ended:
-                self.open = element.parent
-        element = _Element(tag, dict(reversed(attributes)), self.open)
-        self.open.content.append(element)
+        self.elements, self.by_tag = [], {}
+        self.texts, self.owners = [], []
+        self.open, self.open_tags = [], {}
+        end = len(html)
+        position = text_from = 0
+        while position < end:
+            markup = _MARKUP.search(html, position)
+            self._text(html[text_from : markup.start() if markup else end])
+            if not markup:
+                break
+            position = text_from = markup.end()
+            closing, tag, written = markup.groups()
+            if not tag:
+                continue
+            tag = tag.lower()
+            if closing:
+                if self.open_tags.get(tag):
+                    self._end(tag)
+                continue
+            self._start(tag, written)
+            if tag in _RAW:
+                close = re.compile(f"</{tag}", re.IGNORECASE).search(html, position)
+                position = close.start() if close else end
+                self._text(html[text_from:position], raw=True)
+                text_from = position
+        self._close_from(0)
+
+    def _text(self, text, raw=False):
+        if text:
+            self.texts.append(unescape(text) if "&" in text and not raw else text)
+            self.owners.append(self.open[-1].index if self.open else -1)
+
+    def _start(self, tag, written):
+        if tag in _ENDS:
+            ended, shields = _ENDS[tag]
+            for depth in range(len(self.open) - 1, -1, -1):
+                above = self.open[depth].tag
+                if above in ended:
+                    self._close_from(depth)
+                if above in ended or above in shields:
+                    break
+        parent = self.open[-1] if self.open else None
+        element = _Element(tag, written, parent, len(self.elements), len(self.texts))
+        self.elements.append(element)
         self.by_tag.setdefault(tag, []).append(element)
         if tag not in _VOID:
-            self.open = element
-
-    def handle_endtag(self, tag):
-        self.joins = False
-        element = self.open
-        while element is not None and element.tag != tag:
+            self.open.append(element)
+            self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
+
+    def _end(self, tag):
+        for depth in range(len(self.open) - 1, -1, -1):
+            above = self.open[depth].tag
+            if above == tag:
+                self._close_from(depth)
+                return
             # A stray end tag inside a cell must not close the table around it.
-            if element.tag == "table" or (element.tag in _TABLE_PARTS and tag not in _TABLE_PARTS):
+            if above == "table" or (above in _TABLE_PARTS and tag not in _TABLE_PARTS):
                 return
-            element = element.parent
-        if element is not None and element.parent is not None:
-            self.open = element.parent
-
-    def handle_data(self, data):
-        content = self.open.content
-        if self.joins and content:
-            content[-1] += data
-        else:
-            content.append(data)
-        self.joins = True
 
-    def handle_comment(self, data):
-        self.joins = False
+    def _close_from(self, depth):
+        for element in self.open[depth:]:
+            element.last, element.text_to = len(self.elements) - 1, len(self.texts)
+            self.open_tags[element.tag] -= 1
+        del self.open[depth:]
 
     def all(self, tag, class_name=None, within=None):
         """Elements by tag, optionally by class and below an element of another class."""
-        for element in self.by_tag.get(tag, ()):
-            if class_name and not element.has_class(class_name):
-                continue
-            if within and element.inside(lambda outer: outer.has_class(within)) is None:
-                continue
-            yield element
+        found = self.by_tag.get(tag, [])
+        if class_name:
+            found = [element for element in found if element.has_class(class_name)]
+        if within and found:
+            boxes = [element for element in self.elements if element.has_class(within)]
+            found = [element for element in found if any(box.holds(element) for box in boxes)]
+        return found
+
+    def below(self, element, tag):
+        """The elements of a tag below an element."""
+        found = self.by_tag.get(tag, [])
+        first = bisect_right(found, element.index, key=lambda other: other.index)
+        return found[first : bisect_right(found, element.last, lo=first, key=lambda other: other.index)]
+
+    def text_of(self, element):
+        """All texts in and below an element."""
+        return self.texts[element.text_from : element.text_to]
+
+    def own_texts(self, element):
+        places = range(element.text_from, element.text_to)
+        return [self.texts[place] for place in places if self.owners[place] == element.index]
+
+    def inner_texts(self, element):
+        """The texts of the elements below an element, without its own."""
+        places = range(element.text_from, element.text_to)
+        return [self.texts[place] for place in places if self.owners[place] != element.index]
+
+
+def _first(values):
+    return next((value for value in values if value is not None), None)
 
 
 def _options(page, name):
-    for option in page.all("option"):
-        select = option.inside(lambda outer: outer.tag == "select" and outer.attributes.get("name") == name)
-        if select is not None:
-            yield option
+    """The attributes of the options of a select, by the select's name."""
+    selects = [select for select in page.all("select") if select.attributes.get("name") == name]
+    return [option.attributes for select in selects for option in page.below(select, "option")]
 
 
-def _chosen(page, name):
-    values = (o.attributes.get("value") for o in _options(page, name) if "selected" in o.attributes)
-    return next((value for value in values if value is not None), None)
+def _row(page, tr):
+    cells = page.below(tr, "td")
+    main = [cell for cell in cells if cell.has_class(fixed.MAIN_LINK_CLASS)]
+    links = [link for link in page.below(tr, "a") if any(cell.holds(link) for cell in main)] if main else []
+    return {
+        "direct": tr.parent is not None and tr.parent.tag == "tbody",
+        "main_href": links[0].attributes.get("href") if links else None,
+        "any_href": _first(link.attributes.get("href") for link in links),
+        "main_text": _first(text for link in links for text in page.text_of(link)),
+        "cells": ["".join(page.text_of(cell)).strip() for cell in cells],
+    }
 
 
-def _tables(page):
-    """The item tables with their body rows; nested tables give rows of their own as well."""
-    tables = list(page.all("table", fixed.ITEM_TABLE_CLASS))
-    rows = {id(table): [] for table in tables}
-    owned = {}  # id of a row element -> its record
-    for tr in page.all("tr"):
-        section, record = tr.inside(lambda outer: outer.tag == "tbody"), None
-        while section is not None:
-            table = section.inside(lambda outer: id(outer) in rows)
-            while table is not None:
-                if record is None:
-                    record = {"direct": tr.parent.tag == "tbody", "cells": [], "links": []}
-                    owned[id(tr)] = record
-                if not any(record is seen for seen in rows[id(table)][-1:]):
-                    rows[id(table)].append(record)
-                table = table.inside(lambda outer: id(outer) in rows)
-            section = section.inside(lambda outer: outer.tag == "tbody")
-    for td in page.all("td"):
-        cell, outer = None, td.inside(lambda e: id(e) in owned)
-        while outer is not None:
-            cell = "".join(td.texts()).strip() if cell is None else cell
-            owned[id(outer)]["cells"].append(cell)
-            outer = outer.inside(lambda e: id(e) in owned)
-    for link in page.all("a"):
-        cell = link.inside(lambda e: e.tag == "td" and e.has_class(fixed.MAIN_LINK_CLASS))
-        while cell is not None:
-            outer = cell.inside(lambda e: id(e) in owned)
-            while outer is not None:
-                links = owned[id(outer)]["links"]
-                if not any(link is seen for seen in links):
-                    links.append(link)
-                outer = outer.inside(lambda e: id(e) in owned)
-            cell = cell.inside(lambda e: e.tag == "td" and e.has_class(fixed.MAIN_LINK_CLASS))
-    for record in owned.values():
-        links = record.pop("links")
-        hrefs = [link.attributes.get("href") for link in links]
-        record["main_href"] = hrefs[0] if hrefs else None
-        record["any_href"] = next((href for href in hrefs if href is not None), None)
-        record["main_text"] = next((text for link in links for text in link.texts()), None)
-    return [{"rows": rows[id(table)]} for table in tables]
+def _table(page, table):
+    """The body rows of a table; rows of nested tables count as well."""
+    bodies = page.below(table, "tbody")
+    rows = [tr for tr in page.below(table, "tr") if any(body.holds(tr) for body in bodies)] if bodies else []
+    return {"rows": [_row(page, tr) for tr in rows]}
 
 
 def page_features_of(html: str | None) -> dict:
     """The features of one page, as PAGE_FEATURES lays them out."""
     page = _Page(html or "")
-    info = fixed.INFO_BOX_CLASS
-    headings = list(page.all("h1"))
-    country_links = page.all("a", within=fixed.HEADER_CLUB_CLASS)
-    flags = (flag.attributes.get("alt") for flag in page.all("img", fixed.HEADER_FLAG_CLASS))
-    values = page.all("a", fixed.HEADER_VALUE_CLASS)
+    headings = page.all("h1")
+    country = page.all("a", within=fixed.HEADER_CLUB_CLASS)
+    flags = page.all("img", fixed.HEADER_FLAG_CLASS)
+    worth = page.all("a", fixed.HEADER_VALUE_CLASS)
+    labels = page.all("span", fixed.INFO_LABEL_CLASS, fixed.INFO_BOX_CLASS)
+    values = page.all("span", fixed.INFO_VALUE_CLASS, fixed.INFO_BOX_CLASS)
+    seasons = _options(page, fixed.STATS_SEASON_SELECT)
     return {
-        "h1_first": next((text for h1 in headings for text in h1.own_texts()), None),
-        "h1_all": " ".join(text for h1 in headings for text in h1.inner_texts()),
-        "country_text": next((text for link in country_links for text in link.own_texts()), None),
-        "country_alt": next((alt for alt in flags if alt is not None), None),
-        "competition_season": _chosen(page, fixed.COMPETITION_SEASON_SELECT),
-        "stats_season": _chosen(page, fixed.STATS_SEASON_SELECT),
-        "season_options": [
-            option.attributes["value"]
-            for option in _options(page, fixed.STATS_SEASON_SELECT)
-            if option.attributes.get("value") is not None
-        ],
-        "tables": _tables(page),
-        "info_labels": [
-            text for span in page.all("span", fixed.INFO_LABEL_CLASS, info) for text in span.own_texts()
-        ],
-        "info_values": [" ".join(span.texts()) for span in page.all("span", fixed.INFO_VALUE_CLASS, info)],
-        "value_parts": [text for value in values for text in value.inner_texts()][:3],
+        "h1_first": _first(text for h1 in headings for text in page.own_texts(h1)),
+        "h1_all": " ".join(text for h1 in headings for text in page.inner_texts(h1)),
+        "country_text": _first(text for link in country for text in page.own_texts(link)),
+        "country_alt": _first(flag.attributes.get("alt") for flag in flags),
+        "competition_season": _first(
+            option.get("value") for option in _options(page, fixed.COMPETITION_SEASON_SELECT) if "selected" in option
+        ),
+        "stats_season": _first(option.get("value") for option in seasons if "selected" in option),
+        "season_options": [option["value"] for option in seasons if "value" in option],
+        "tables": [_table(page, table) for table in page.all("table", fixed.ITEM_TABLE_CLASS)],
+        "info_labels": [text for span in labels for text in page.own_texts(span)],
+        "info_values": [" ".join(page.text_of(span)) for span in values],
+        "value_parts": [text for link in worth for text in page.inner_texts(link)][:3],
     }
 
 
@@ -228,11 +250,13 @@ def with_page_features(pages: DataFrame, body: str) -> DataFrame:
     arrow_struct = to_arrow_type(struct)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            features = [page_features_of(text.as_py()) for text in batch.column(body)]
-            columns = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(features, type=arrow_struct)], [*kept, "features"]
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, _BATCH):
+                batch = whole.slice(start, _BATCH)
+                features = [page_features_of(text.as_py()) for text in batch.column(body)]
+                columns = [batch.column(name) for name in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(features, type=arrow_struct)], [*kept, "features"]
+                )
 
     return pages.select(*kept, F.col(body)).mapInArrow(parse, schema)
