@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from touchline import fixed
+from touchline.functions.numbers import cast_match
 from touchline.functions.text import strip_all
 
 
@@ -18,7 +19,7 @@ def parse_money(text: Column) -> Column:
     to the even neighbour: `0.5` gives 0 and `1.5` gives 2.
     """
     value = strip_all(text)
-    number = F.translate(F.regexp_extract(value, fixed.MONEY_PATTERN, 1), ",", ".")
+    number = cast_match(F.translate(value, ",", "."), fixed.MONEY_PATTERN, "double")
     unit = F.lower(F.regexp_extract(value, fixed.MONEY_PATTERN, 2))
     factors = F.create_map(*[F.lit(part) for part in chain(*fixed.MONEY_UNITS.items())])
-    return F.rint(number.try_cast("double") * F.try_element_at(factors, unit)).try_cast("bigint")
+    return F.rint(number * F.try_element_at(factors, unit)).try_cast("bigint")

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import TypeVar
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline import schemas
@@ -13,6 +19,8 @@ from touchline.sources.entities import read_entities
 from touchline.sources.scratch import materialize
 from touchline.sources.star import StarWriter
 
+T = TypeVar("T")
+
 # A dimension of more rows than this is taken to be too large to broadcast, so that joins to
 # it shuffle the facts, and a hot key among them is worth a counting pass.
 LARGE_DIMENSION_ROWS = 1_000_000
@@ -22,55 +30,89 @@ class ConstraintError(ValueError):
     """The star breaks a rule; the previous one stays published."""
 
 
-def build_star(raw: dict[str, DataFrame], keep) -> dict[str, DataFrame]:
+def _together(spark: SparkSession, *steps: Callable[[], T]) -> list[T]:
+    """Run independent jobs at the same time, so that small ones fill each other's gaps."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [job.result() for job in [pool.submit(inherit(step)) for step in steps]]
+
+
+def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
     """All nine tables. `keep(name, df)` stores a finished table and returns it as read back,
     so that keys are computed once, whatever reads them later."""
-    star = {}
-    seeded = dims.dim_competition(raw["competitions"])
-    stubs = dims.stub_competitions(raw["appearances"], seeded)
-    star["dim_competition"] = keep("dim_competition", seeded.unionByName(stubs))
 
-    listed = dims.dim_club(raw["clubs"], seeded)
-    stubs = dims.stub_clubs(raw["transfers"], listed)
-    star["dim_club"] = keep("dim_club", listed.unionByName(stubs))
+    spark = raw["players"].sparkSession
+
+    def competitions_and_clubs() -> list[DataFrame]:
+        seeded = dims.dim_competition(raw["competitions"])
 
-    star["dim_player"] = keep("dim_player", dims.dim_player(raw["players"]))
-    star["dim_date"] = keep("dim_date", dims.dim_date(
-        raw["appearances"], raw["injuries"], raw["transfers"], raw["market_values"], raw["players"],
-    ))
+        def competitions() -> DataFrame:
+            stubs = dims.stub_competitions(raw["appearances"], seeded)
+            return keep("dim_competition", seeded.unionByName(stubs))
 
-    player, club, competition = (star[name] for name in ("dim_player", "dim_club", "dim_competition"))
-    large = {name: star[name].count() > LARGE_DIMENSION_ROWS for name in
-             ("dim_player", "dim_club", "dim_competition")}
+        def clubs() -> DataFrame:
+            listed = dims.dim_club(raw["clubs"], seeded)
+            return keep("dim_club", listed.unionByName(dims.stub_clubs(raw["transfers"], listed)))
+
+        return _together(spark, competitions, clubs)
+
+    def players() -> DataFrame:
+        return keep("dim_player", dims.dim_player(raw["players"]))
+
+    def dates() -> DataFrame:
+        feeds = ("appearances", "injuries", "transfers", "market_values", "players")
+        return keep("dim_date", dims.dim_date(*[raw[name] for name in feeds]))
+
+    (competition, club), player, date = _together(spark, competitions_and_clubs, players, dates)
+    star = {"dim_competition": competition, "dim_club": club, "dim_player": player, "dim_date": date}
+    large = {name for name, dim in star.items() if dim.count() > LARGE_DIMENSION_ROWS}
 
     def hot(source: str, **columns: str) -> dict[str, list]:
         """Hot values of the key columns of a source whose dimension is large."""
         return {
-            column: hot_values(raw[source], column) for column, dim in columns.items() if large[dim]
+            column: hot_values(raw[source], column) for column, dim in columns.items() if dim in large
         }
 
-    star["fact_stats"] = keep("fact_stats", facts.fact_stats(
-        raw["appearances"], raw["players"], player, club, competition,
-        hot("appearances", player_href="dim_player", competition="dim_competition"),
-    ))
-    star["fact_injury"] = keep("fact_injury", facts.fact_injury(
-        raw["injuries"], player, hot("injuries", player_href="dim_player"),
-    ))
-    names = hot("transfers", player_href="dim_player", from_club="dim_club", to_club="dim_club")
-    for side in ("from_club", "to_club"):
-        names[f"{side}_name"] = names.pop(side, [])
-    star["fact_transfer"] = keep(
-        "fact_transfer", facts.fact_transfer(raw["transfers"], player, club, names)
-    )
-    star["fact_market_value"] = keep("fact_market_value", facts.fact_market_value(
-        raw["market_values"], player, hot("market_values", player_href="dim_player"),
-    ))
-    star["fact_contract"] = keep("fact_contract", facts.fact_contract(
-        raw["players"], player, club, hot("players", club_href="dim_club"),
-    ))
+    def stats() -> DataFrame:
+        keys = hot("appearances", player_href="dim_player", competition="dim_competition")
+        return facts.fact_stats(raw["appearances"], raw["players"], player, club, competition, keys)
+
+    def injuries() -> DataFrame:
+        return facts.fact_injury(raw["injuries"], player, hot("injuries", player_href="dim_player"))
+
+    def transfers() -> DataFrame:
+        keys = hot("transfers", player_href="dim_player", from_club="dim_club", to_club="dim_club")
+        keys.update({f"{side}_name": keys.get(side) for side in ("from_club", "to_club")})
+        return facts.fact_transfer(raw["transfers"], player, club, keys)
+
+    def market_values() -> DataFrame:
+        return facts.fact_market_value(
+            raw["market_values"], player, hot("market_values", player_href="dim_player")
+        )
+
+    def contracts() -> DataFrame:
+        return facts.fact_contract(raw["players"], player, club, hot("players", club_href="dim_club"))
+
+    builders = {
+        "fact_stats": stats, "fact_injury": injuries, "fact_transfer": transfers,
+        "fact_market_value": market_values, "fact_contract": contracts,
+    }
+
+    def store(name: str) -> Callable[[], DataFrame]:
+        return lambda: keep(name, builders[name]())
+
+    star.update(zip(builders, _together(spark, *[store(name) for name in builders])))
     return star
 
 
+def land(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write the entities as Parquet: JSON is parsed once, and each later step scans only the
+    columns it needs."""
+    spark = next(iter(raw.values())).sparkSession
+    writes = [partial(materialize, df, name) for name, df in raw.items()]
+    return dict(zip(raw, _together(spark, *writes)))
+
+
 def load(
     spark: SparkSession, sources: str | dict[str, DataFrame], out: str, strict: bool = True
 ) -> dict[str, int]:
@@ -80,9 +122,7 @@ def load(
     broken rule and leaves the star published before untouched.
     """
     raw = read_entities(spark, sources) if isinstance(sources, str) else sources
-    # JSON is parsed once; each later step scans only the columns it needs.
-    raw = {name: materialize(raw[name], name) for name in schemas.ENTITIES}
-
+    raw = land({name: raw[name] for name in schemas.ENTITIES})
     writer = StarWriter(spark, out)
     star = build_star(raw, writer.write)
 

@@ -18,8 +18,8 @@ from touchline.functions import dates, money, numbers, profile, text, urls
 from touchline.operators import audit, extract, frontier, keys, lookups
 from touchline.operators.collapse import collapse, date_feed, date_spine, table_counts
 from touchline.plans import dims, facts
-from touchline.plans.load import build_star
-from touchline.sources.pages import with_page_features
+from touchline.plans.load import build_star, land
+from touchline.sources.pages import spread, with_page_features
 from touchline.sources.scratch import materialize
 
 BASE_URL = "https://site.example/"
@@ -223,8 +223,7 @@ def fact_contract(spark, sf_dir):
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = {name: materialize(df, name) for name, df in raw_entities(spark, sf_dir).items()}
-    return build_star(raw, lambda name, df: materialize(df, name))
+    return build_star(land(raw_entities(spark, sf_dir)), lambda name, df: materialize(df, name))
 
 
 def star_counts(spark, sf_dir):
@@ -580,9 +579,14 @@ def _link(href: Column, shown: Column) -> Column:
     return _text('<td class="hauptlink x"><a href="', href, '">', shown, "</a>")
 
 
+def _orders_spread(spark, sf_dir) -> DataFrame:
+    columns = ["o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]
+    return spread(table(spark, sf_dir, "orders").select(*columns))
+
+
 def club_rows(spark, sf_dir):
     """One competition page per part, with two clubs and a row that is none."""
-    parts, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    parts, key = spread(table(spark, sf_dir, "part")), F.col("p_partkey")
     body = _item_table(
         _text(
             "<tr><td>", _link(_text("https://site.example/club/", key, "?s=1"), F.col("p_name")),
@@ -597,7 +601,7 @@ def club_rows(spark, sf_dir):
 
 def squad_links(spark, sf_dir):
     """One squad page per part with three listings of two players; each player once, first club wins."""
-    parts, size = table(spark, sf_dir, "part"), F.col("p_size")
+    parts, size = spread(table(spark, sf_dir, "part")), F.col("p_size")
     body = _text(
         _item_table(
             _text("<tr>", _link(_text("https://site.example/a/profil/spieler/", size, "#t"), F.lit("A"))),
@@ -615,7 +619,7 @@ def squad_links(spark, sf_dir):
 
 def player_rows(spark, sf_dir):
     """One profile page per customer."""
-    customers, nation = table(spark, sf_dir, "customer"), F.col("c_nationkey")
+    customers, nation = spread(table(spark, sf_dir, "customer")), F.col("c_nationkey")
 
     def line(label: str, *value) -> Column:
         return _text(
@@ -642,7 +646,7 @@ def player_rows(spark, sf_dir):
 
 def _stats_pages(spark, sf_dir) -> DataFrame:
     """One stats page per order: a season choice and a table of two competitions."""
-    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    orders, key = _orders_spread(spark, sf_dir), F.col("o_orderkey")
     year = F.year("o_orderdate")
     body = _text(
         '<select name="saison"><option value="">all<option value="', year, '" selected>x<option value="', year - 1,
@@ -668,7 +672,7 @@ def season_pages(spark, sf_dir):
 
 def injury_rows(spark, sf_dir):
     """One injuries page per order."""
-    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    orders, key = _orders_spread(spark, sf_dir), F.col("o_orderkey")
     day = F.date_format(F.to_date("o_orderdate"), "MMM d, yyyy")
     body = _item_table(
         _row("25/26", F.col("o_orderpriority"), day, "-", _text(key, " days"), "1"),
