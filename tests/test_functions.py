@@ -89,6 +89,10 @@ def test_season_years_and_dates(evaluate):
     })
 
 
+def test_season_key(evaluate):
+    check(evaluate, dates.season_key, {"2025": 20250701, "26": 260701, "0": None, "25/26": None, None: None})
+
+
 def test_cast_date_and_key(evaluate):
     check(evaluate, dates.cast_date, {
         "2023-05-01": date(2023, 5, 1), "2023-5-1": date(2023, 5, 1), "2023": None, "2023-5": None,

@@ -49,6 +49,11 @@ def season_date(season: Column) -> Column:
     return F.make_date(year, F.lit(fixed.SEASON_MONTH), F.lit(fixed.SEASON_DAY))
 
 
+def season_key(season: Column) -> Column:
+    """The YYYYMMDD key of the first day of a season, NULL unless the season is a plain year."""
+    return F.nullif(season_year(season), F.lit(0)) * 10000 + (fixed.SEASON_MONTH * 100 + fixed.SEASON_DAY)
+
+
 def date_key(date: Column) -> Column:
     """The YYYYMMDD key of a date."""
     return F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)

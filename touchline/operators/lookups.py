@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ def project(df: DataFrame, mapping: dict[str, Column]) -> DataFrame:
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
     """Keep the rows in which all the columns are filled."""
-    return df.dropna(subset=list(columns))
+    return df.where(reduce(and_, [F.col(name).isNotNull() for name in columns]))
 
 
 def hot_values(df: DataFrame, column: str, share: float = 1 / 64) -> list:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.dates import cast_date, date_key, season_date
+from touchline.functions.dates import cast_date, date_key, season_key
 from touchline.functions.text import strip_spaces
 from touchline.operators.collapse import collapse
 from touchline.operators.keys import first_per_key
@@ -37,7 +37,7 @@ def fact_stats(
     Stats name no club: each club that lists the player gets a row, past seasons included.
     """
     hot = hot or {}
-    rows = appearances.withColumn("date_id", date_key(season_date(F.col("season"))))
+    rows = appearances.withColumn("date_id", season_key(F.col("season")))
     rows = collapse(
         require(rows, "player_href", "competition", "date_id"),
         ["player_href", "competition", "date_id"],

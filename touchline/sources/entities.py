@@ -16,9 +16,10 @@ def empty_entity(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], schemas.RAW[name])
 
 
-def _scan(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame | None:
+def _scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The lines of a file or folder, None if there is none; a malformed line fails the job."""
     try:
-        return spark.read.schema(schema).option("mode", mode).json(path)
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -27,7 +28,7 @@ def _scan(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> Da
 
 def read_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines with a given schema. Blank lines are skipped; a malformed line fails the job."""
-    rows = _scan(spark, path, schema, "FAILFAST")
+    rows = _scan(spark, path, schema)
     if rows is None:
         raise FileNotFoundError(path)
     return rows
@@ -39,7 +40,7 @@ def read_entity(spark: SparkSession, directory: str, name: str) -> DataFrame:
     With a fixed schema an empty input flows through every later step and gives empty
     tables, so nothing downstream has to ask what is present.
     """
-    rows = _scan(spark, f"{directory.rstrip('/')}/{name}.jsonl", schemas.RAW[name], "FAILFAST")
+    rows = _scan(spark, f"{directory.rstrip('/')}/{name}.jsonl", schemas.RAW[name])
     return empty_entity(spark, name) if rows is None else rows
 
 
@@ -53,12 +54,16 @@ def read_entities(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 
 def split_malformed(spark: SparkSession, directory: str, name: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, malformed lines) of an entity, for loads that set bad lines aside."""
+    try:
+        lines = spark.read.text(f"{directory.rstrip('/')}/{name}.jsonl").where("trim(value) <> ''")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], "value STRING")
     schema = T.StructType([*schemas.RAW[name].fields, T.StructField(_CORRUPT, T.StringType())])
-    rows = _scan(spark, f"{directory.rstrip('/')}/{name}.jsonl", schema, "PERMISSIVE")
-    if rows is None:
-        rows = spark.createDataFrame([], schema)
-    bad = F.col(_CORRUPT).isNotNull()
-    return rows.where(~bad).drop(_CORRUPT), rows.where(bad).select(F.col(_CORRUPT).alias("line"))
+    rows = lines.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("row"))
+    bad = F.col(f"row.{_CORRUPT}").isNotNull()
+    return rows.where(~bad).select("row.*").drop(_CORRUPT), rows.where(bad).select(F.col("value").alias("line"))
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
