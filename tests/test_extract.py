@@ -203,6 +203,19 @@ def test_crawl_of_one_club(site, seeds):
         crawl.extract_entities(site, seeds, BASE, club=CLUB_HREF)
 
 
+def test_pages_to_published_star(spark, site, seeds, tmp_path):
+    from touchline.sources.star import read_star
+
+    out = str(tmp_path / "star")
+    counts = crawl.run(spark, site, seeds, BASE, out)
+    assert counts == {
+        "dim_competition": 3, "dim_club": 3, "dim_player": 1, "dim_date": counts["dim_date"],
+        "fact_stats": 3, "fact_injury": 1, "fact_transfer": 1, "fact_market_value": 1, "fact_contract": 1,
+    }
+    stats = read_star(spark, out)["fact_stats"].where("minutes_played = 2509").first()
+    assert (stats.date_id, stats.appearances, stats.goals) == (20250701, 30, 22)
+
+
 def test_selections(spark, seeds):
     assert crawl.select_league(seeds, "ES1").count() == 1
     with pytest.raises(crawl.UnknownSelection, match="XYZ.*ES1, GB1"):

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline import fixed
 from touchline.operators import extract, frontier
+from touchline.plans.load import load
 from touchline.sources.pages import with_page_features
-from touchline.sources.scratch import materialize
+from touchline.sources.scratch import materialize, scratch_job
 
 _MAX_LISTED = 100
+_PAYLOADS = "/ceapi/"
+_KINDS = {path: path.split("/")[1] for path in (fixed.PROFILE_PATH, fixed.STATS_PATH, fixed.INJURIES_PATH)}
 
 
 class UnknownSelection(LookupError):
@@ -35,6 +39,46 @@ def select_club(clubs: DataFrame, href: str) -> DataFrame:
     return chosen
 
 
+def _kind(url: Column) -> Column:
+    """The known player paths that an address holds, as one name: `page`, `page-profil`, ..."""
+    names = [F.when(F.contains(url, F.lit(path)), F.lit(name)) for path, name in _KINDS.items()]
+    return F.concat_ws("-", F.lit("page"), *names)
+
+
+class _Site:
+    """The fetched pages, ready to be joined to the addresses of a hop.
+
+    For a whole crawl every HTML page is parsed once and stored by kind, so that a hop reads
+    its own kind, not everything. For a selection, few pages are wanted: a hop joins the
+    addresses to the pages first and parses what it found.
+    """
+
+    def __init__(self, pages: DataFrame, whole: bool):
+        is_payload = F.contains("url", F.lit(_PAYLOADS))
+        self.payloads = pages.where(is_payload).select("url", "body")
+        self.html = pages.where(~is_payload).select("url", "body", _kind(F.col("url")).alias("kind"))
+        self.whole = whole
+        if whole:
+            self.html = materialize(with_page_features(self.html, "body"), "features", "kind")
+
+    def pages_of(self, addresses: DataFrame, path: str | None = None) -> DataFrame:
+        """The parsed pages of a hop, each with its parent's columns.
+
+        `path` may be given if every address holds it; see `sure_path`.
+        """
+        html = self.html.where(F.col("kind").contains(_KINDS[path])) if path else self.html
+        found = frontier.with_pages(addresses, html.drop("kind"))
+        return found if self.whole else with_page_features(found, "body")
+
+    def payloads_of(self, addresses: DataFrame) -> DataFrame:
+        return frontier.with_pages(addresses, self.payloads)
+
+
+def sure_path(addresses: DataFrame, path: str) -> str | None:
+    """The path if all addresses hold it, so that other kinds of pages can be left unread."""
+    return path if addresses.where(~F.contains("url", F.lit(path))).isEmpty() else None
+
+
 def extract_entities(
     pages: DataFrame, seeds: DataFrame, base_url: str, league: str | None = None,
     club: str | None = None,
@@ -42,43 +86,40 @@ def extract_entities(
     """All seven entities from `pages(url, body)` and `seeds(href)`.
 
     competitions -> clubs -> players -> appearances, injuries, transfers, market values; each
-    hop joins the addresses of its parents to the pages. Every HTML page is parsed once. The
-    parents of later hops are written, so a hop does not repeat those before it.
+    hop joins the addresses of its parents to the pages. The parents of later hops are
+    written, so a hop does not repeat those before it.
     """
     if club and not league:
         raise ValueError("a club can only be chosen together with its league")
     if league:
         seeds = select_league(seeds, league)
+    site = _Site(pages, whole=not league)
 
-    is_payload = F.contains("url", F.lit("/ceapi/"))
-    html = materialize(
-        with_page_features(pages.where(~is_payload).select("url", "body"), "body"), "features"
-    )
-    payloads = pages.where(is_payload).select("url", "body")
+    def linked(parents: DataFrame) -> DataFrame:
+        return frontier.direct_frontier(parents.select("href").distinct(), base_url)
 
-    seeds = seeds.select("href").distinct()
-    at_competition = frontier.with_pages(frontier.direct_frontier(seeds, base_url), html)
-    competitions = materialize(extract.competition_rows(at_competition), "competitions")
-
-    listing = frontier.direct_frontier(competitions.select("href").distinct(), base_url)
-    clubs = materialize(extract.club_rows(frontier.with_pages(listing, html)), "clubs")
+    competitions = materialize(extract.competition_rows(site.pages_of(linked(seeds))), "competitions")
+    clubs = materialize(extract.club_rows(site.pages_of(linked(competitions))), "clubs")
     if club:
         clubs = select_club(clubs, club)
 
-    squads = frontier.direct_frontier(clubs.select("href").distinct(), base_url)
-    squads = frontier.with_pages(squads, html)
-    profiles = frontier.profile_frontier(squads, base_url)
-    profiles = frontier.one_parent_per_url(profiles, "club_href")
-    players = materialize(extract.player_rows(frontier.with_pages(profiles, html)), "players")
+    profiles = frontier.profile_frontier(site.pages_of(linked(clubs)), base_url)
+    profiles = materialize(frontier.one_parent_per_url(profiles, "club_href"), "profiles")
+    path = sure_path(profiles, fixed.PROFILE_PATH)
+    players = materialize(extract.player_rows(site.pages_of(profiles, path)), "players")
 
     listed = players.select("href")
-    shown = frontier.with_pages(frontier.stats_frontier(listed, base_url), html)
-    others = frontier.with_pages(frontier.season_frontier(shown, base_url), html)
+    addresses = frontier.stats_frontier(listed, base_url)
+    path = sure_path(addresses, fixed.STATS_PATH)
+    shown = site.pages_of(addresses, path)
+    others = site.pages_of(frontier.season_frontier(shown, base_url), path)
     stats = shown.withColumn("season", F.lit(None).cast("string")).unionByName(others)
-    injuries = frontier.with_pages(frontier.injuries_frontier(listed, base_url), html)
+
+    addresses = frontier.injuries_frontier(listed, base_url)
+    injuries = site.pages_of(addresses, sure_path(addresses, fixed.INJURIES_PATH))
 
     def api(entity: str) -> DataFrame:
-        return frontier.with_pages(frontier.api_frontier(listed, base_url, entity), payloads)
+        return site.payloads_of(frontier.api_frontier(listed, base_url, entity))
 
     return {
         "competitions": competitions,
@@ -89,3 +130,12 @@ def extract_entities(
         "transfers": extract.transfer_rows(api("transfers")),
         "market_values": extract.market_value_rows(api("market_values")),
     }
+
+
+def run(
+    spark: SparkSession, pages: DataFrame, seeds: DataFrame, base_url: str, out: str,
+    league: str | None = None, club: str | None = None, strict: bool = True,
+) -> dict[str, int]:
+    """From fetched pages to the published star; returns the load report."""
+    with scratch_job(spark):
+        return load(spark, extract_entities(pages, seeds, base_url, league, club), out, strict)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import partial
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.operators.audit import audit_sources, audit_star
@@ -16,14 +18,14 @@ from touchline.operators.collapse import table_counts
 from touchline.operators.lookups import hot_values
 from touchline.plans import dims, facts
 from touchline.sources.entities import read_entities
-from touchline.sources.scratch import materialize
+from touchline.sources.scratch import materialize, scratch_job
 from touchline.sources.star import StarWriter
 
 T = TypeVar("T")
 
-# A dimension of more rows than this is taken to be too large to broadcast, so that joins to
-# it shuffle the facts, and a hot key among them is worth a counting pass.
-LARGE_DIMENSION_ROWS = 1_000_000
+# A dimension of at most this many rows is broadcast as (key, id) pairs, some ten megabytes.
+# Joins to a larger one shuffle the facts, and a hot key among them is worth a counting pass.
+SMALL_DIMENSION_ROWS = 500_000
 
 
 class ConstraintError(ValueError):
@@ -34,7 +36,8 @@ def _together(spark: SparkSession, *steps: Callable[[], T]) -> list[T]:
     """Run independent jobs at the same time, so that small ones fill each other's gaps."""
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [job.result() for job in [pool.submit(inherit(step)) for step in steps]]
+        jobs = [pool.submit(inherit(partial(copy_context().run, step))) for step in steps]
+        return [job.result() for job in jobs]
 
 
 def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
@@ -65,7 +68,11 @@ def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataF
 
     (competition, club), player, date = _together(spark, competitions_and_clubs, players, dates)
     star = {"dim_competition": competition, "dim_club": club, "dim_player": player, "dim_date": date}
-    large = {name for name, dim in star.items() if dim.count() > LARGE_DIMENSION_ROWS}
+    large = {name for name, dim in star.items() if dim.count() > SMALL_DIMENSION_ROWS}
+    competition, club, player = (
+        star[name] if name in large else F.broadcast(star[name])
+        for name in ("dim_competition", "dim_club", "dim_player")
+    )
 
     def hot(source: str, **columns: str) -> dict[str, list]:
         """Hot values of the key columns of a source whose dimension is large."""

@@ -4,29 +4,57 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folder of the job at hand, where it has one of its own.
+_JOB: ContextVar[str | None] = ContextVar("scratch job", default=None)
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; a local session without one gets a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="touchline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="touchline-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/touchline/{spark.sparkContext.applicationId}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a table and read it back: lineage ends here, and a lost executor costs a re-read.
 
-    Parquet rather than a checkpoint, so that later readers scan only the columns they use
-    and the planner knows the size.
+    Parquet rather than a checkpoint, so that later readers scan only the columns (and with
+    `partition_by`, the folders) they use, and the planner knows the size.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/touchline/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{_JOB.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch_job(spark: SparkSession) -> Iterator[None]:
+    """A folder for all scratch tables of one job, deleted when the job ends, well or badly."""
+    folder = f"{scratch_root(spark)}/job-{uuid.uuid4().hex}"
+    outer = _JOB.set(folder)
+    try:
+        yield
+    finally:
+        _JOB.reset(outer)
+        _delete(spark, folder)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written and not deleted yet; its DataFrames are void then."""
+    _delete(spark, scratch_root(spark))
