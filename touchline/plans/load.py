@@ -3,12 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from contextvars import copy_context
 from functools import partial
-from typing import TypeVar
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +13,11 @@ from touchline.operators.audit import audit_sources, audit_star
 from touchline.operators.collapse import table_counts
 from touchline.operators.lookups import hot_values
 from touchline.plans import dims, facts
+from touchline.plans.jobs import together
 from touchline.sources.entities import read_entities
 from touchline.sources.scratch import materialize, scratch_job
 from touchline.sources.star import StarWriter
 
-T = TypeVar("T")
-
 # A dimension of at most this many rows is broadcast as (key, id) pairs, some ten megabytes.
 # Joins to a larger one shuffle the facts, and a hot key among them is worth a counting pass.
 SMALL_DIMENSION_ROWS = 500_000
@@ -32,14 +27,6 @@ class ConstraintError(ValueError):
     """The star breaks a rule; the previous one stays published."""
 
 
-def _together(spark: SparkSession, *steps: Callable[[], T]) -> list[T]:
-    """Run independent jobs at the same time, so that small ones fill each other's gaps."""
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(len(steps)) as pool:
-        jobs = [pool.submit(inherit(partial(copy_context().run, step))) for step in steps]
-        return [job.result() for job in jobs]
-
-
 def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
     """All nine tables. `keep(name, df)` stores a finished table and returns it as read back,
     so that keys are computed once, whatever reads them later."""
@@ -57,7 +44,7 @@ def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataF
             listed = dims.dim_club(raw["clubs"], seeded)
             return keep("dim_club", listed.unionByName(dims.stub_clubs(raw["transfers"], listed)))
 
-        return _together(spark, competitions, clubs)
+        return together(spark, competitions, clubs)
 
     def players() -> DataFrame:
         return keep("dim_player", dims.dim_player(raw["players"]))
@@ -66,7 +53,7 @@ def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataF
         feeds = ("appearances", "injuries", "transfers", "market_values", "players")
         return keep("dim_date", dims.dim_date(*[raw[name] for name in feeds]))
 
-    (competition, club), player, date = _together(spark, competitions_and_clubs, players, dates)
+    (competition, club), player, date = together(spark, competitions_and_clubs, players, dates)
     star = {"dim_competition": competition, "dim_club": club, "dim_player": player, "dim_date": date}
     large = {name for name, dim in star.items() if dim.count() > SMALL_DIMENSION_ROWS}
     competition, club, player = (
@@ -108,7 +95,7 @@ def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataF
     def store(name: str) -> Callable[[], DataFrame]:
         return lambda: keep(name, builders[name]())
 
-    star.update(zip(builders, _together(spark, *[store(name) for name in builders])))
+    star.update(zip(builders, together(spark, *[store(name) for name in builders])))
     return star
 
 
@@ -117,7 +104,7 @@ def land(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     columns it needs."""
     spark = next(iter(raw.values())).sparkSession
     writes = [partial(materialize, df, name) for name, df in raw.items()]
-    return dict(zip(raw, _together(spark, *writes)))
+    return dict(zip(raw, together(spark, *writes)))
 
 
 def load(

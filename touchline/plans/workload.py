@@ -18,6 +18,7 @@ from touchline.functions import dates, money, numbers, profile, text, urls
 from touchline.operators import audit, extract, frontier, keys, lookups
 from touchline.operators.collapse import collapse, date_feed, date_spine, table_counts
 from touchline.plans import dims, facts
+from touchline.plans.jobs import together
 from touchline.plans.load import build_star, land
 from touchline.sources.pages import spread, with_page_features
 from touchline.sources.scratch import materialize
@@ -196,12 +197,15 @@ def dim_date(spark, sf_dir):
 
 
 def fact_stats(spark, sf_dir):
-    competitions = dim_competition(spark, sf_dir)
-    appearances = raw_appearances(spark, sf_dir)
-    competitions = competitions.unionByName(dims.stub_competitions(appearances, competitions))
-    return facts.fact_stats(
-        appearances, raw_players(spark, sf_dir), dim_player(spark, sf_dir), dim_club(spark, sf_dir), competitions
+    appearances, listed = raw_appearances(spark, sf_dir), raw_players(spark, sf_dir)
+    competitions, players = together(
+        spark, lambda: dim_competition(spark, sf_dir), lambda: dim_player(spark, sf_dir)
     )
+    stubs, clubs = together(
+        spark, lambda: dims.stub_competitions(appearances, competitions),
+        lambda: dims.dim_club(raw_clubs(spark, sf_dir), competitions),
+    )
+    return facts.fact_stats(appearances, listed, players, clubs, competitions.unionByName(stubs))
 
 
 def fact_injury(spark, sf_dir):
@@ -209,9 +213,10 @@ def fact_injury(spark, sf_dir):
 
 
 def fact_transfer(spark, sf_dir):
-    clubs, transfers = dim_club(spark, sf_dir), raw_transfers(spark, sf_dir)
+    transfers = raw_transfers(spark, sf_dir)
+    clubs, players = together(spark, lambda: dim_club(spark, sf_dir), lambda: dim_player(spark, sf_dir))
     clubs = clubs.unionByName(dims.stub_clubs(transfers, clubs))
-    return facts.fact_transfer(transfers, dim_player(spark, sf_dir), clubs)
+    return facts.fact_transfer(transfers, players, clubs)
 
 
 def fact_market_value(spark, sf_dir):
@@ -219,7 +224,8 @@ def fact_market_value(spark, sf_dir):
 
 
 def fact_contract(spark, sf_dir):
-    return facts.fact_contract(raw_players(spark, sf_dir), dim_player(spark, sf_dir), dim_club(spark, sf_dir))
+    clubs, players = together(spark, lambda: dim_club(spark, sf_dir), lambda: dim_player(spark, sf_dir))
+    return facts.fact_contract(raw_players(spark, sf_dir), players, clubs)
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -684,7 +690,7 @@ def injury_rows(spark, sf_dir):
 
 def transfer_rows(spark, sf_dir):
     """One payload per order with two transfers; cancelled-like orders have a broken payload."""
-    orders, key, day = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.to_date("o_orderdate")
+    orders, key, day = _orders_spread(spark, sf_dir), F.col("o_orderkey"), F.to_date("o_orderdate")
     whole = _text(
         '{"transfers": [{"from": {"clubName": "Club ', key, '"}, "to": null, "date": "x", "dateUnformatted": "',
         F.date_format(day, "yyyy-MM-dd"), '", "season": "22/23", "marketValue": "€', key, '.50m", "fee": "-"}, ',
@@ -697,7 +703,8 @@ def transfer_rows(spark, sf_dir):
 
 def market_value_rows(spark, sf_dir):
     """One payload per event with a value history of two entries; errors have a broken payload."""
-    events, key = table(spark, sf_dir, "events"), F.col("event_id")
+    events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts"))
+    key = F.col("event_id")
     whole = _text(
         '{"list": [{"x": 1, "datum_mw": "', F.date_format(F.to_date("ts"), "dd/MM/yyyy"), '", "y": ', key,
         ', "verein": "', F.col("event_type"), '"}, {"datum_mw": "-", "y": null}]}',

@@ -22,10 +22,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from touchline import fixed, schemas
 
-# HTML elements without content, elements of raw text, and what the start of an
-# element ends: tag -> (open elements it ends, elements that shield what lies outside them).
+# HTML elements without content, and what the start of an element ends:
+# tag -> (open elements it ends, elements that shield what lies outside them).
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
-_RAW = {"script", "style"}
 _SECTIONS = {"tbody", "thead", "tfoot"}
 _ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}),
@@ -40,10 +39,13 @@ _ENDS = {
 }
 _TABLE_PARTS = {"td", "th", "tr", "table"} | _SECTIONS
 
-# A comment, a tag (quoted attribute values may hold `>`; a lone quote ends nothing) or a declaration.
+# A comment, a raw element up to its end tag, a tag (quoted attribute values may hold `>`; a lone
+# quote ends nothing) or a declaration.
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    |<(/?)([a-z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*|[^>]*)>
+    |<(?P<raw>script|style)\b[^>]*>(?P<content>.*?)(?=</(?P=raw)|\Z)
+    |<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)
+        (?P<written>[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*|[^>]*)>
     |<[!?][^>]*>""",
     re.IGNORECASE | re.DOTALL | re.VERBOSE,
 )
@@ -86,28 +88,23 @@ class _Page:
         self.elements, self.by_tag = [], {}
         self.texts, self.owners = [], []
         self.open, self.open_tags = [], {}
-        end = len(html)
-        position = text_from = 0
-        while position < end:
-            markup = _MARKUP.search(html, position)
-            self._text(html[text_from : markup.start() if markup else end])
-            if not markup:
-                break
-            position = text_from = markup.end()
-            closing, tag, written = markup.groups()
-            if not tag:
-                continue
-            tag = tag.lower()
-            if closing:
-                if self.open_tags.get(tag):
+        text_from = 0
+        for markup in _MARKUP.finditer(html):
+            start = markup.start()
+            if start > text_from:
+                self._text(html[text_from:start])
+            text_from = markup.end()
+            raw, content, end, tag, written = markup.groups()
+            if tag:
+                tag = tag.lower()
+                if not end:
+                    self._start(tag, written)
+                elif self.open_tags.get(tag):
                     self._end(tag)
-                continue
-            self._start(tag, written)
-            if tag in _RAW:
-                close = re.compile(f"</{tag}", re.IGNORECASE).search(html, position)
-                position = close.start() if close else end
-                self._text(html[text_from:position], raw=True)
-                text_from = position
+            elif raw:
+                self._start(raw.lower(), "")
+                self._text(content, raw=True)
+        self._text(html[text_from:])
         self._close_from(0)
 
     def _text(self, text, raw=False):
@@ -127,10 +124,14 @@ class _Page:
         parent = self.open[-1] if self.open else None
         element = _Element(tag, written, parent, len(self.elements), len(self.texts))
         self.elements.append(element)
-        self.by_tag.setdefault(tag, []).append(element)
+        if tag in self.by_tag:
+            self.by_tag[tag].append(element)
+        else:
+            self.by_tag[tag] = [element]
+            self.open_tags[tag] = 0
         if tag not in _VOID:
             self.open.append(element)
-            self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
+            self.open_tags[tag] += 1
 
     def _end(self, tag):
         for depth in range(len(self.open) - 1, -1, -1):
