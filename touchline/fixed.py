@@ -4,6 +4,16 @@ Nothing here is logic. Word lists, labels, CSS names, path parts and patterns ar
 together so that one can see at a glance what the engine takes as given.
 """
 
+# The competitions a crawl starts from when no other seeds are given.
+SEED_HREFS = [
+    "/premier-league/startseite/wettbewerb/GB1",
+    "/laliga/startseite/wettbewerb/ES1",
+    "/serie-a/startseite/wettbewerb/IT1",
+    "/bundesliga/startseite/wettbewerb/L1",
+    "/ligue-1/startseite/wettbewerb/FR1",
+    "/campeonato-brasileiro-serie-a/startseite/wettbewerb/BRA1",
+]
+
 # Money: optional prefix, one number, optional unit.
 MONEY_PATTERN = r"(?i)^[^\d\-.,]*(\d+(?:[.,]\d+)?)\s*(bn|m|k)?$"
 MONEY_UNITS = {"": 1.0, "k": 1e3, "m": 1e6, "bn": 1e9}

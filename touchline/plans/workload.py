@@ -8,6 +8,7 @@ listings, seasons that are no year) come from column values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,9 +20,12 @@ from touchline.operators import audit, extract, frontier, keys, lookups
 from touchline.operators.collapse import collapse, date_feed, date_spine, table_counts
 from touchline.plans import dims, facts
 from touchline.plans.jobs import together
-from touchline.plans.load import build_star, land
+from touchline.plans.crawl import extract_entities
+from touchline.plans.load import build_star, land, load
+from touchline.sources.entities import read_entity, write_entity
 from touchline.sources.pages import spread, with_page_features
-from touchline.sources.scratch import materialize
+from touchline.sources.scratch import materialize, scratch_root
+from touchline.sources.star import read_star
 
 BASE_URL = "https://site.example/"
 
@@ -241,6 +245,20 @@ def star_audit(spark, sf_dir):
     return audit.audit_star(_star(spark, sf_dir))
 
 
+def published_star(spark, sf_dir):
+    """The whole load, from raw rows to the published tables, counted as a reader finds them."""
+    out = f"{scratch_root(spark)}/star-{uuid.uuid4().hex}"
+    load(spark, raw_entities(spark, sf_dir), out)
+    return table_counts(read_star(spark, out))
+
+
+def entity_files(spark, sf_dir):
+    """Transfers written as JSON lines and read back."""
+    folder = f"{scratch_root(spark)}/files-{uuid.uuid4().hex}"
+    write_entity(raw_transfers(spark, sf_dir), folder, "transfers")
+    return read_entity(spark, folder, "transfers")
+
+
 # --- single operators ---------------------------------------------------------------------
 
 
@@ -569,7 +587,7 @@ def page_parent(spark, sf_dir):
 
 def competition_rows(spark, sf_dir):
     """Headings of the given pages, read as competition pages."""
-    pages = table(spark, sf_dir, "pages").select(F.lit(None).cast("string").alias("href"), "url", "html")
+    pages = spread(table(spark, sf_dir, "pages")).select(F.lit(None).cast("string").alias("href"), "url", "html")
     return extract.competition_rows(with_page_features(pages, "html"))
 
 
@@ -714,16 +732,75 @@ def market_value_rows(spark, sf_dir):
     return extract.market_value_rows(events.select(href.alias("href"), body.alias("body"))).drop("type")
 
 
+def _site(spark, sf_dir) -> DataFrame:
+    """A site of pages: a competition and a club per part, five pages and payloads per customer."""
+    parts = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
+    customers = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"))
+    part, size, customer, nation = (F.col(c) for c in ("p_partkey", "p_size", "c_custkey", "c_nationkey"))
+
+    def page(rows: DataFrame, path: Column, body: Column) -> DataFrame:
+        return rows.select(_text(BASE_URL.rstrip("/"), path).alias("url"), body.alias("body"))
+
+    def stats(competition: str, season: int, other: int) -> Column:
+        return _text(
+            f'<select name="saison"><option value="{season}" selected>a<option value="{other}">b</select>',
+            _item_table(_row("", competition, nation, "1", "-", "-", "-", "-", "90")),
+        )
+
+    stats_path = _text("/p/leistungsdaten/spieler/", customer)
+    return _all([
+        page(parts, _competition_href(part), _text(
+            "<h1>", F.col("p_name"), "</h1>",
+            _item_table(_text("<tr><td>", _link(_club_href(part), _text("Club ", part)))),
+        )),
+        page(parts, _club_href(part), _item_table(
+            _text("<tr>", _link(_player_href(part), F.lit("own"))),
+            _text("<tr>", _link(_player_href(size), F.lit("shared"))),
+        )),
+        page(customers, _player_href(customer), _text("<h1><b>", F.col("c_name"), "</b></h1>")),
+        page(customers, stats_path, stats("League", 2025, 2024)),
+        page(customers, _text(stats_path, "?saison=2024"), stats("Cup", 2024, 2025)),
+        page(customers, _text("/p/verletzungen/spieler/", customer), _item_table(
+            _row("25/26", "Knock", _text(nation + 1, "/05/2025"), "-", "4 days", "1"),
+        )),
+        page(customers, _text("/ceapi/transferHistory/list/", customer), _text(
+            '{"transfers": [{"to": {"clubName": "Club ', nation, '"}, "date": "01/07/2020"}]}',
+        )),
+        page(customers, _text("/ceapi/marketValueDevelopment/graph/", customer), _text(
+            '{"list": [{"datum_mw": "01/07/2020", "y": ', customer, "}]}",
+        )),
+    ])
+
+
+def crawl(spark, sf_dir):
+    """A whole site from its seeds to all entities: every row's parent and what it says."""
+    seeds = table(spark, sf_dir, "part").select(_competition_href(F.col("p_partkey")).alias("href"))
+    entities = extract_entities(_site(spark, sf_dir), seeds, BASE_URL)
+    shown = {
+        "competitions": ("href", F.col("name")),
+        "clubs": ("competition_href", F.col("href")),
+        "players": ("club_href", _text(F.col("href"), " ", F.col("name"))),
+        "appearances": ("player_href", _text(F.col("competition"), " ", F.col("season"), " ", F.col("appearances"))),
+        "injuries": ("player_href", F.col("from")),
+        "transfers": ("player_href", _text(F.col("to_club"), " ", F.col("date"))),
+        "market_values": ("player_href", _text(F.col("date"), " ", F.col("market_value"))),
+    }
+    return _all([
+        entities[name].select(F.lit(name).alias("entity"), F.col(parent).alias("parent"), said.alias("said"))
+        for name, (parent, said) in shown.items()
+    ])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         dim_competition, dim_club, dim_player, stub_competitions, stub_clubs, dim_date, fact_stats,
         fact_injury, fact_transfer, fact_market_value, fact_contract, star_counts, star_audit,
-        dense_key, left_lookup, salted_lookup, first_per_key, latest_per_key, stub_members, daily_value,
+        published_star, entity_files, dense_key, left_lookup, salted_lookup, first_per_key, latest_per_key, stub_members, daily_value,
         highest_value, collapse_lines, bridged_lines, role_lookup, date_table, season_dates, load_counts,
         audit_keys, audit_filled, audit_references, parse_money, parse_date, parse_numbers, info_box,
         normalize_url, direct_frontier, player_frontier, league_filter, league_codes, club_filter,
         page_links, link_parents, page_parent, competition_rows, club_rows, squad_links, player_rows,
-        appearance_rows, season_pages, injury_rows, transfer_rows, market_value_rows,
+        appearance_rows, season_pages, injury_rows, transfer_rows, market_value_rows, crawl,
     )
 }

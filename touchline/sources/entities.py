@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline import schemas
+from touchline import fixed, schemas
 
 _CORRUPT = "_corrupt_record"
 
@@ -71,6 +71,11 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path, T.StructType([schemas.RAW["competitions"][c] for c in ("type", "href")]))
 
 
+def default_seeds(spark: SparkSession) -> DataFrame:
+    """The built-in competition seeds."""
+    return spark.createDataFrame([("competition", href) for href in fixed.SEED_HREFS], "type STRING, href STRING")
+
+
 def write_entity(df: DataFrame, directory: str, name: str) -> None:
     """Write an entity as UTF-8 JSON lines, dates in ISO form."""
     df.write.mode("overwrite").json(f"{directory.rstrip('/')}/{name}.jsonl")
