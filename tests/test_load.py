@@ -122,6 +122,27 @@ def test_salted_lookups_give_the_same_facts(raw, star):
         assert rows(df, *columns) == rows(star[name], *columns)
 
 
+def test_large_dimensions_are_salted_with_the_same_result(raw, star, monkeypatch):
+    monkeypatch.setattr(loading, "SMALL_DIMENSION_ROWS", 0)
+    salted = loading.build_star(raw, lambda name, df: materialize(df, name))
+    for name, schema in schemas.STAR.items():
+        columns = schema.fieldNames()
+        assert rows(salted[name], *columns) == rows(star[name], *columns)
+
+
+def test_scratch_tables_go_with_their_job(spark):
+    from pathlib import Path
+
+    from touchline.sources.scratch import scratch_job, scratch_root
+
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    before = set(root.glob("job-*"))
+    with scratch_job(spark):
+        assert materialize(spark.range(3), "some").count() == 3
+        assert len(set(root.glob("job-*")) - before) == 1
+    assert set(root.glob("job-*")) == before
+
+
 def test_star_keeps_its_rules(star):
     assert audit.audit_star(star).where("n_violations > 0").collect() == []
     names = rows(audit.audit_names(star), "table_name", "n_violations")
@@ -175,6 +196,10 @@ def test_load_from_files_and_publish(spark, raw, tmp_path):
     fewer["injuries"] = files.empty_entity(spark, "injuries")
     assert loading.load(spark, fewer, out)["fact_injury"] == 0
     assert stars.read_star(spark, out)["fact_injury"].count() == 0
+    # The broken run left nothing behind, and of the good ones the last two stay.
+    assert len(list((tmp_path / "star" / "runs").iterdir())) == 2
+    assert loading.load(spark, raw, out) == counts
+    assert len(list((tmp_path / "star" / "runs").iterdir())) == 2
 
 
 def test_conflicting_links_break_the_load(spark, raw, tmp_path):

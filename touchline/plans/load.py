@@ -116,16 +116,23 @@ def load(
     broken rule and leaves the star published before untouched.
     """
     raw = read_entities(spark, sources) if isinstance(sources, str) else sources
-    raw = land({name: raw[name] for name in schemas.ENTITIES})
     writer = StarWriter(spark, out)
-    star = build_star(raw, writer.write)
-
-    if strict:
-        findings = audit_sources(raw).unionByName(audit_star(star)).where("n_violations > 0")
-        broken = [f"{row.table_name}: {row.rule} ({row.n_violations})" for row in findings.collect()]
-        if broken:  # one row per rule
-            raise ConstraintError("; ".join(broken))
+    with scratch_job(spark):
+        try:
+            raw = land({name: raw[name] for name in schemas.ENTITIES})
+            star = build_star(raw, writer.write)
+            if strict:
+                _raise_if_broken(raw, star)
+        except BaseException:
+            writer.discard()
+            raise
     writer.publish()
-
     report = table_counts(star).orderBy("position").collect()  # nine rows
     return {row.table_name: row.n_rows for row in report}
+
+
+def _raise_if_broken(raw: dict[str, DataFrame], star: dict[str, DataFrame]) -> None:
+    findings = audit_sources(raw).unionByName(audit_star(star)).where("n_violations > 0")
+    broken = [f"{row.table_name}: {row.rule} ({row.n_violations})" for row in findings.collect()]
+    if broken:  # one row per rule
+        raise ConstraintError("; ".join(sorted(broken)))

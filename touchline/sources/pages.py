@@ -61,8 +61,11 @@ class _Element:
     __slots__ = ("tag", "written", "parent", "index", "last", "text_from", "text_to", "_attributes")
 
     def __init__(self, tag, written, parent, index, text_from):
-        self.tag, self.written, self.parent, self.index = tag, written, parent, index
-        self.last, self.text_from, self.text_to = index, text_from, text_from
+        self.tag = tag
+        self.written = written
+        self.parent = parent
+        self.index = self.last = index
+        self.text_from = self.text_to = text_from
         self._attributes = None
 
     @property
@@ -96,16 +99,15 @@ class _Page:
             text_from = markup.end()
             raw, content, end, tag, written = markup.groups()
             if tag:
-                tag = tag.lower()
-                if not end:
-                    self._start(tag, written)
-                elif self.open_tags.get(tag):
-                    self._end(tag)
+                if end:
+                    self._end(tag.lower())
+                else:
+                    self._start(tag.lower(), written)
             elif raw:
                 self._start(raw.lower(), "")
                 self._text(content, raw=True)
         self._text(html[text_from:])
-        self._close_from(0)
+        self._close(0)
 
     def _text(self, text, raw=False):
         if text:
@@ -113,41 +115,46 @@ class _Page:
             self.owners.append(self.open[-1].index if self.open else -1)
 
     def _start(self, tag, written):
+        stack, elements = self.open, self.elements
         if tag in _ENDS:
             ended, shields = _ENDS[tag]
-            for depth in range(len(self.open) - 1, -1, -1):
-                above = self.open[depth].tag
+            for depth in range(len(stack) - 1, -1, -1):
+                above = stack[depth].tag
+                if above in shields:
+                    break
                 if above in ended:
-                    self._close_from(depth)
-                if above in ended or above in shields:
+                    self._close(depth)
                     break
-        parent = self.open[-1] if self.open else None
-        element = _Element(tag, written, parent, len(self.elements), len(self.texts))
-        self.elements.append(element)
+        element = _Element(tag, written, stack[-1] if stack else None, len(elements), len(self.texts))
+        elements.append(element)
         if tag in self.by_tag:
             self.by_tag[tag].append(element)
         else:
-            self.by_tag[tag] = [element]
-            self.open_tags[tag] = 0
+            self.by_tag[tag], self.open_tags[tag] = [element], 0
         if tag not in _VOID:
-            self.open.append(element)
+            stack.append(element)
             self.open_tags[tag] += 1
 
     def _end(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            above = self.open[depth].tag
+        if not self.open_tags.get(tag):
+            return
+        stack = self.open
+        for depth in range(len(stack) - 1, -1, -1):
+            above = stack[depth].tag
             if above == tag:
-                self._close_from(depth)
+                self._close(depth)
                 return
             # A stray end tag inside a cell must not close the table around it.
             if above == "table" or (above in _TABLE_PARTS and tag not in _TABLE_PARTS):
                 return
 
-    def _close_from(self, depth):
-        for element in self.open[depth:]:
-            element.last, element.text_to = len(self.elements) - 1, len(self.texts)
+    def _close(self, depth):
+        """End the open elements from a depth on."""
+        last, text_to = len(self.elements) - 1, len(self.texts)
+        while len(self.open) > depth:
+            element = self.open.pop()
+            element.last, element.text_to = last, text_to
             self.open_tags[element.tag] -= 1
-        del self.open[depth:]
 
     def all(self, tag, class_name=None, within=None):
         """Elements by tag, optionally by class and below an element of another class."""

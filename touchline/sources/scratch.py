@@ -38,7 +38,8 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this package has written, wherever it is stored."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -52,9 +53,9 @@ def scratch_job(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _JOB.reset(outer)
-        _delete(spark, folder)
+        delete(spark, folder)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application has written and not deleted yet; its DataFrames are void then."""
-    _delete(spark, scratch_root(spark))
+    delete(spark, scratch_root(spark))

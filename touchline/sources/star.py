@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline import schemas
+from touchline.sources.scratch import delete
 
 _RUNS, _CURRENT = "runs", "current"
 
@@ -30,12 +31,21 @@ class StarWriter:
         df.select(*columns).write.parquet(f"{self.path}/{name}")
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
-    def publish(self) -> None:
-        """Make this run the current one: one more pointer row, newest wins."""
-        pointers = _pointers(self.spark, self.out)
-        turn = 1 + max((row.turn for row in pointers), default=0)
+    def publish(self, keep: int = 2) -> None:
+        """Make this run the current one: one more pointer row, newest wins.
+
+        Of the runs before it, the last `keep` - 1 stay for readers that still use them.
+        """
+        earlier = sorted(_pointers(self.spark, self.out), key=lambda row: row.turn)
+        turn = earlier[-1].turn + 1 if earlier else 1
         pointer = self.spark.range(1).selectExpr(f"{turn}L AS turn", f"'{self.run}' AS run")
         pointer.coalesce(1).write.mode("append").json(f"{self.out}/{_CURRENT}")
+        for row in earlier[: max(0, len(earlier) + 1 - keep)]:
+            delete(self.spark, f"{self.out}/{_RUNS}/{row.run}")
+
+    def discard(self) -> None:
+        """Delete the tables of a run that will not be published."""
+        delete(self.spark, self.path)
 
 
 def _pointers(spark: SparkSession, out: str) -> list:
