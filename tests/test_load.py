@@ -105,16 +105,19 @@ def test_contracts(star):
     ]
 
 
-def test_salted_lookups_give_the_same_facts(raw, star):
+@pytest.mark.parametrize("first", [True, False])
+def test_salted_lookups_give_the_same_facts_in_either_order(raw, star, first):
     from touchline.plans import facts
 
     hot = {"player_href": ["/p/bo", "/p/ann"], "competition": ["Premier League", "Cup"],
            "from_club_name": ["Twin"], "to_club_name": ["City"], "club_href": ["/city"]}
     player, club, competition = star["dim_player"], star["dim_club"], star["dim_competition"]
     salted = {
-        "fact_stats": facts.fact_stats(raw["appearances"], raw["players"], player, club, competition, hot),
-        "fact_transfer": facts.fact_transfer(raw["transfers"], player, club, hot),
-        "fact_contract": facts.fact_contract(raw["players"], player, club, hot),
+        "fact_stats": facts.fact_stats(raw["appearances"], raw["players"], player, club, competition, hot, first),
+        "fact_transfer": facts.fact_transfer(raw["transfers"], player, club, hot, first),
+        "fact_injury": facts.fact_injury(raw["injuries"], player, hot, first),
+        "fact_market_value": facts.fact_market_value(raw["market_values"], player, hot, first),
+        "fact_contract": facts.fact_contract(raw["players"], player, club, hot, first),
     }
     for name, df in salted.items():
         columns = schemas.STAR[name].fieldNames()

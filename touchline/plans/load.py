@@ -69,23 +69,25 @@ def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataF
 
     def stats() -> DataFrame:
         keys = hot("appearances", player_href="dim_player", competition="dim_competition")
-        return facts.fact_stats(raw["appearances"], raw["players"], player, club, competition, keys)
+        small = not large & {"dim_player", "dim_competition"}
+        return facts.fact_stats(raw["appearances"], raw["players"], player, club, competition, keys, small)
 
     def injuries() -> DataFrame:
-        return facts.fact_injury(raw["injuries"], player, hot("injuries", player_href="dim_player"))
+        keys = hot("injuries", player_href="dim_player")
+        return facts.fact_injury(raw["injuries"], player, keys, "dim_player" not in large)
 
     def transfers() -> DataFrame:
         keys = hot("transfers", player_href="dim_player", from_club="dim_club", to_club="dim_club")
         keys.update({f"{side}_name": keys.get(side) for side in ("from_club", "to_club")})
-        return facts.fact_transfer(raw["transfers"], player, club, keys)
+        return facts.fact_transfer(raw["transfers"], player, club, keys, not large & {"dim_player", "dim_club"})
 
     def market_values() -> DataFrame:
-        return facts.fact_market_value(
-            raw["market_values"], player, hot("market_values", player_href="dim_player")
-        )
+        keys = hot("market_values", player_href="dim_player")
+        return facts.fact_market_value(raw["market_values"], player, keys, "dim_player" not in large)
 
     def contracts() -> DataFrame:
-        return facts.fact_contract(raw["players"], player, club, hot("players", club_href="dim_club"))
+        keys = hot("players", club_href="dim_club")
+        return facts.fact_contract(raw["players"], player, club, keys, not large & {"dim_player", "dim_club"})
 
     builders = {
         "fact_stats": stats, "fact_injury": injuries, "fact_transfer": transfers,
