@@ -13,9 +13,9 @@ _ROW_BITS = 33
 
 
 def dense_key(
-    df: DataFrame, order_by: list[str], id_col: str, offset: Column | int = 0
+    df: DataFrame, order_by: list[str], id_col: str, offset: Column | int = 0, kind: str = "bigint"
 ) -> DataFrame:
-    """Number rows offset+1 .. offset+n in the order of `order_by` (NULL last), as INT.
+    """Number rows offset+1 .. offset+n in the order of `order_by` (NULL last), as `kind`.
 
     The same numbers as `row_number() over (order by ...)`, whose unpartitioned window would
     pull the table into one task. Here the rows are range-partitioned and sorted in place,
@@ -41,7 +41,7 @@ def dense_key(
     starts = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
 
     offset = F.lit(offset) if isinstance(offset, int) else offset
-    number = (offset + F.col("_start") + row + 1).cast("int")
+    number = (offset + F.col("_start") + row + 1).cast(kind)
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")  # one row per partition of the sort
@@ -59,7 +59,9 @@ def append_members(dim: DataFrame, names: DataFrame, name_col: str, id_col: str)
 
     `names` holds one column, `name_col`, without repeats. All other attributes are NULL.
     """
-    numbered = dense_key(names, [name_col], id_col, offset=max_id(dim, id_col))
+    numbered = dense_key(
+        names, [name_col], id_col, max_id(dim, id_col), dim.schema[id_col].dataType.simpleString()
+    )
     return numbered.select(
         *[
             F.col(field.name) if field.name in (id_col, name_col)

@@ -15,7 +15,7 @@ from touchline.operators.lookups import lookup, missing_members, project, requir
 def _numbered(rows: DataFrame, id_col: str) -> DataFrame:
     """Key rows by link. Exact copies become one row; rows that differ under one link stay,
     ordered by their other columns, for the audit to report."""
-    return dense_key(rows.distinct(), rows.columns, id_col)
+    return dense_key(rows.distinct(), rows.columns, id_col, kind="int")
 
 
 def dim_competition(competitions: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def dim_player(players: DataFrame) -> DataFrame:
         "height_cm": F.col("height_cm"),
     })
     order = [F.col(name).asc_nulls_last() for name in rows.columns if name != "href"]
-    return dense_key(first_per_key(rows, ["href"], order), ["href"], "player_id")
+    return dense_key(first_per_key(rows, ["href"], order), ["href"], "player_id", kind="int")
 
 
 def stub_competitions(appearances: DataFrame, competitions: DataFrame) -> DataFrame:

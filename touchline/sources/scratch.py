@@ -25,6 +25,11 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/touchline/{spark.sparkContext.applicationId}"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of the job at hand (of the application, outside a job), not made yet."""
+    return f"{_JOB.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a table and read it back: lineage ends here, and a lost executor costs a re-read.
 
@@ -32,7 +37,7 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     `partition_by`, the folders) they use, and the planner knows the size.
     """
     spark = df.sparkSession
-    path = f"{_JOB.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
