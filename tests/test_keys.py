@@ -88,12 +88,16 @@ def test_salted_lookup_equals_the_plain_one(spark, how):
         "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 11).alias("fk")
     )
     dim = spark.createDataFrame([(k, f"n{k}") for k in range(10)] + [(3, "again")], "k BIGINT, name STRING")
-    hot = lookups.hot_values(facts, "fk", 1 / 8)
-    assert hot == [0]
+    hot = lookups.hot_keys(facts, "fk")  # a third of the rows, over four partitions
+    assert [tuple(row) for row in hot.collect()] == [("fk", "0", 7)]
     plain = lookups.lookup(facts, dim, "fk", "k", {"name": "name"}, how)
-    salted = lookups.lookup(facts, dim, "fk", "k", {"name": "name"}, how, hot=[0, 3, 10], ways=8)
-    assert salted.columns == plain.columns
-    assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    spread = spark.createDataFrame(
+        [("fk", "0", 8), ("fk", "3", 2), ("fk", "10", 3), ("other", "1", 5)], "column STRING, value STRING, ways INT"
+    )
+    for keys_ in (hot, spread):
+        salted = lookups.lookup(facts, dim, "fk", "k", {"name": "name"}, how, hot=keys_)
+        assert salted.columns == plain.columns
+        assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
 
 
 def test_salting_spreads_the_hot_key(spark):
@@ -102,7 +106,8 @@ def test_salting_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        joined = lookups.lookup(facts, dim, "fk", "k", {"name": "name"}, hot=[7])
+        hot = lookups.hot_keys(facts, "fk")
+        joined = lookups.lookup(facts, dim, "fk", "k", {"name": "name"}, hot=hot)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert sum(row["count"] for row in sizes) == 3000
         assert max(row["count"] for row in sizes) < 2000
@@ -111,7 +116,19 @@ def test_salting_spreads_the_hot_key(spark):
         spark.conf.set("spark.sql.adaptive.enabled", True)
 
 
-def test_hot_values_are_few(spark):
-    df = spark.range(1000).select((F.col("id") % 100).alias("k"))
-    assert lookups.hot_values(df, "k", 1 / 64) == []
-    assert len(lookups.hot_values(df.where("k < 10"), "k", 1 / 64)) == 10
+def test_hot_keys_follow_the_number_of_partitions(spark):
+    df = spark.range(1000).select((F.col("id") % 100).alias("a"), F.when(F.col("id") < 600, 1).alias("b"))
+    assert [tuple(row) for row in lookups.hot_keys(df, "a", "b").collect()] == [("b", "1", 10)]
+    spark.conf.set("spark.sql.shuffle.partitions", 200)
+    try:
+        found = lookups.hot_keys(df, "a", "b").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert {row.ways for row in found if row.column == "a"} == {8} and len(found) == 101
+    assert {row.ways for row in found if row.column == "b"} == {480}
+
+
+def test_dense_keys_are_long_unless_asked(spark):
+    df = spark.createDataFrame([("x",)], "k STRING")
+    assert keys.dense_key(df, ["k"], "id", 2**31).first().id == 2**31 + 1
+    assert dict(keys.dense_key(df, ["k"], "id", kind="int").dtypes)["id"] == "int"

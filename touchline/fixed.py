@@ -33,6 +33,7 @@ PROFILE_PATH = "/profil/spieler/"
 STATS_PATH = "/leistungsdaten/spieler/"
 INJURIES_PATH = "/verletzungen/spieler/"
 LEAGUE_PATH = "/wettbewerb/"
+CLUB_PATH = "/verein/"
 PLAYER_ID_PATTERN = r"/spieler/(\d+)"
 LEAGUE_CODE_PATTERN = r"/wettbewerb/(\w+)$"
 SEASON_PARAMETER = "saison"

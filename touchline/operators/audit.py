@@ -75,60 +75,55 @@ def _key_rules(star: dict[str, DataFrame]) -> list[tuple[str, str, list[str]]]:
     return rules
 
 
-def _with_zeros(found: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
-    """Violations summed per rule, with a row for every rule that nothing breaks."""
-    zero = F.lit(0).cast("bigint")
-    listed = [F.struct(F.lit(t).alias("table_name"), F.lit(r).alias("rule"), zero.alias("n")) for t, r in rules]
-    spark = found.sparkSession
-    zeros = spark.range(1).select(F.inline(F.array(*listed)))
-    return (
-        found.unionByName(zeros).groupBy("table_name", "rule").agg(F.sum("n").alias("n_violations"))
-    )
-
-
 def _all_keys(star: dict[str, DataFrame]) -> DataFrame:
-    """Repeated keys of every table in one aggregation over (rule, key)."""
-    rules = _key_rules(star)
-    keyed = [
-        star[table].dropna(subset=columns).select(
-            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-            F.struct(*[F.col(column).cast("string").alias(f"k{place}") for place, column in enumerate(columns)]
-                     + [F.lit(None).cast("string").alias(f"k{place}") for place in range(len(columns), 4)]
-                     ).alias("key"),
-        )
-        for table, rule, columns in rules
-    ]
-    counts = reduce(DataFrame.unionByName, keyed).groupBy("table_name", "rule", "key").count()
-    repeated = counts.where("count > 1").select("table_name", "rule", F.lit(1).cast("bigint").alias("n"))
-    return _with_zeros(repeated, [(table, rule) for table, rule, _ in rules])
+    """Repeated keys of every table, each counted in its own types, all in one job."""
+    return reduce(
+        DataFrame.unionByName,
+        [repeated_keys(star[table], table, columns, rule) for table, rule, columns in _key_rules(star)],
+    )
 
 
 def _all_references(star: dict[str, DataFrame]) -> DataFrame:
-    """Orphans of every foreign key: one scan per child, one aggregation and one join in all."""
-    rules, wanted, held = [], [], []
+    """Orphans of every foreign key: one scan per child, one shuffle by (parent, id) and one join in all.
+
+    Each (parent, id) has one count per rule, so a hot id reaches the join as one row.
+    """
+    rules = [
+        (table, column, parent) for table, references in schemas.FOREIGN_KEYS.items()
+        for column, (parent, _) in references.items()
+    ]
+    wanted, held = [], []
     for table, references in schemas.FOREIGN_KEYS.items():
-        found = []
-        for column, (parent, key) in references.items():
-            rule = f"foreign key {column} -> {parent}"
-            rules.append((table, rule))
-            found.append(F.struct(F.lit(rule).alias("rule"), F.lit(parent).alias("parent"), F.col(column).alias("id")))
-        wanted.append(star[table].select(F.lit(table).alias("table_name"), F.inline(F.array(*found))))
+        found = [
+            F.struct(F.lit(rules.index((table, column, parent))).alias("rule"), F.lit(parent).alias("parent"),
+                     F.col(column).alias("id"))
+            for column, (parent, _) in references.items()
+        ]
+        wanted.append(star[table].select(F.inline(F.array(*found))))
     parents = {target for references in schemas.FOREIGN_KEYS.values() for target in references.values()}
     for parent, key in sorted(parents):
         held.append(star[parent].select(F.lit(parent).alias("parent"), F.col(key).alias("id")))
     counts = (
-        reduce(DataFrame.unionByName, wanted).dropna(subset=["id"])
-        .groupBy("table_name", "rule", "parent", "id").agg(F.count(F.lit(1)).alias("n"))
+        reduce(DataFrame.unionByName, wanted).dropna(subset=["id"]).groupBy("parent", "id")
+        .agg(*[F.count_if(F.col("rule") == number).alias(f"n{number}") for number in range(len(rules))])
     )
     orphans = counts.join(reduce(DataFrame.unionByName, held), ["parent", "id"], "left_anti")
-    return _with_zeros(orphans.select("table_name", "rule", "n"), rules)
+    sums = orphans.agg(
+        *[F.coalesce(F.sum(f"n{number}"), F.lit(0)).cast("bigint").alias(f"n{number}") for number in range(len(rules))]
+    )
+    listed = [
+        F.struct(F.lit(table).alias("table_name"), F.lit(f"foreign key {column} -> {parent}").alias("rule"),
+                 F.col(f"n{number}").alias("n_violations"))
+        for number, (table, column, parent) in enumerate(rules)
+    ]
+    return sums.select(F.inline(F.array(*listed)))
 
 
 def audit_star(star: dict[str, DataFrame]) -> DataFrame:
     """Every rule of the star, one row each.
 
-    All keys share one aggregation and all references one aggregation and one join, so the
-    number of jobs does not grow with the number of rules.
+    Keys are counted table by table in their own types; all references share one aggregation and
+    one join. Everything is one job, whatever the number of rules.
     """
     filled = [not_null(star[table], table, columns) for table, columns in schemas.REQUIRED_COLUMNS.items()]
     return reduce(DataFrame.unionByName, [_all_keys(star), _all_references(star), *filled])

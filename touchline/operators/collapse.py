@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.dates import date_key
+from touchline.operators.keys import dense_key
 
 
 def collapse(
@@ -16,11 +17,22 @@ def collapse(
     """One row per `keys`: the maximum of each measure and one repeatable value of each label.
 
     `largest` and `pick` map new names to columns of df. A measure without any value stays
-    NULL. `pick` takes the least value, one legal choice where any is allowed.
+    NULL. `pick` takes the least value, one legal choice where any is allowed. Spark can take the
+    minimum of a text only by sorting all rows, so labels are numbered in their order first; the
+    aggregation then holds numbers alone, in a hash table on both sides of the shuffle.
     """
+    picked, numbered = [], {}
+    for new, old in (pick or {}).items():
+        labels = dense_key(df.select(F.col(old).alias("_label")).dropna().distinct(), ["_label"], "_number")
+        numbered[new] = labels
+        df = df.join(labels, df[old] == labels["_label"], "left").withColumnRenamed("_number", f"_{new}").drop("_label")
+        picked.append(F.min(f"_{new}").alias(f"_{new}"))
     measures = [F.max(old).alias(new) for new, old in largest.items()]
-    labels = [F.min(old).alias(new) for new, old in (pick or {}).items()]
-    return df.groupBy(*keys).agg(*labels, *measures)
+    rows = df.groupBy(*keys).agg(*picked, *measures)
+    for new, labels in numbered.items():
+        names = labels.select(F.col("_label").alias(new), F.col("_number").alias("_of"))
+        rows = rows.join(names, rows[f"_{new}"] == names["_of"], "left").drop(f"_{new}", "_of")
+    return rows.select(*keys, *numbered, *largest)
 
 
 def date_feed(df: DataFrame, dates: list[Column], season: Column | None = None) -> DataFrame:

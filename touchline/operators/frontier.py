@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from touchline import fixed
 from touchline.functions import urls
 from touchline.operators.keys import first_per_key
+from touchline.sources.scratch import materialize
 
 
 def _linked(parents: DataFrame) -> DataFrame:
@@ -84,6 +85,22 @@ def page_links(pages: DataFrame, id_col: str, html: str) -> DataFrame:
     return pages.select(id_col, F.posexplode(hrefs).alias("position", "href"))
 
 
+def one_page_per_url(pages: DataFrame) -> DataFrame:
+    """Each address with one page: the one fetched last (where `pages` has the column `fetched`), then
+    the least body.
+
+    Only the addresses are counted; the pages of those that occur once stay where they are, and those
+    of the others move by address, one per address and task.
+    """
+    counted = pages.groupBy("url").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("url")
+    repeated = materialize(counted, "repeated-urls")
+    order = [F.col("body").asc_nulls_last()]
+    if "fetched" in pages.columns:
+        order.insert(0, F.col("fetched").desc_nulls_last())
+    same = pages.join(repeated, "url", "left_semi")
+    return pages.join(repeated, "url", "left_anti").unionByName(first_per_key(same, ["url"], order))
+
+
 def with_pages(frontier: DataFrame, pages: DataFrame) -> DataFrame:
     """Parents joined to their fetched pages; an address that was not fetched is dropped."""
     return frontier.join(pages, "url")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.sources.scratch import materialize
+
 
 def project(df: DataFrame, mapping: dict[str, Column]) -> DataFrame:
     """Select columns under new names."""
@@ -20,15 +21,21 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(reduce(and_, [F.col(name).isNotNull() for name in columns]))
 
 
-def hot_values(df: DataFrame, column: str, share: float = 1 / 64) -> list:
-    """The values that fill more than `share` of the rows: at most 1/share of them.
+def hot_keys(df: DataFrame, *columns: str) -> DataFrame:
+    """(column, value, ways): the values of key columns that outgrow a partition's fair share.
 
-    Counts are combined before the shuffle, so finding a hot value is not itself skewed.
+    A value is hot if it has more rows than one shuffle partition would get of all rows; it is to be
+    spread over groups of about a quarter of that share, which hash evenly enough. So no more values
+    of a column than there are partitions can be hot, and the table may be sent to every task. The
+    columns are counted in one pass, combined before the shuffle. Values are compared as texts.
     """
-    least = df.count() * share
-    top = df.dropna(subset=[column]).groupBy(column).count().orderBy(F.desc("count"))
-    # More than `share` of the rows each: no more than 1/share values can pass the filter.
-    return [row[0] for row in top.limit(math.ceil(1 / share)).collect() if row[1] > least]
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entries = [F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value")) for name in columns]
+    counted = df.select(F.inline(F.array(*entries))).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    share = F.col("n") * partitions / df.count()  # NULL counts among the rows, but joins nothing
+    hot = counted.where(F.col("value").isNotNull() & (share > 1))
+    return materialize(hot.select("column", "value", F.ceil(4 * share).cast("int").alias("ways")), "hot-keys")
 
 
 def lookup(
@@ -38,46 +45,46 @@ def lookup(
     key: str,
     take: dict[str, str],
     how: str = "inner",
-    hot: list | None = None,
-    ways: int = 64,
+    hot: DataFrame | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """Join `dim` on `df.fk = dim.key` and add `take` = {new column: dim column}.
 
-    No strategy is forced: a small dimension is broadcast by size, larger ones are sorted
-    and merged, with skewed partitions split at run time. Where the hot values of `fk` are
-    known (see `hot_values`), their rows spread over `ways` groups and only the matching
-    dimension rows are repeated; all other rows keep one group.
+    No strategy is forced: a small dimension is broadcast by size, larger ones are sorted and
+    merged. With `hot` (see `hot_keys`; `source` is the column's name there, if not `fk`) the rows
+    of hot values are spread over their groups, and the dimension's rows of those values repeated
+    for each; all other rows keep one group.
     """
     side = dim.select(
         F.col(key).alias("_key"), *[F.col(old).alias(new) for new, old in take.items()]
     )
-    if not hot:
+    if hot is None:
         return df.join(side, df[fk] == side["_key"], how).drop("_key")
 
-    one_group = F.array(F.lit(0).cast("bigint"))
-    groups = F.sequence(F.lit(0).cast("bigint"), F.lit(ways - 1).cast("bigint"))
-    spread = F.when(F.col(fk).isin(hot), F.pmod(F.xxhash64(*df.columns), F.lit(ways)))
-    left = df.withColumn("_group", F.coalesce(spread, F.lit(0).cast("bigint")))
-    side = side.withColumn(
-        "_side_group", F.explode(F.when(F.col("_key").isin(hot), groups).otherwise(one_group))
+    # No more rows than there are partitions.
+    hot = F.broadcast(hot.where(F.col("column") == (source or fk)).select(F.col("value").alias("_hot"), "ways"))
+    ways = F.coalesce("ways", F.lit(1))
+    left = df.join(hot, df[fk].cast("string") == F.col("_hot"), "left")
+    left = left.select(*[df[name] for name in df.columns], F.pmod(F.xxhash64(*df.columns), ways).cast("int").alias("_group"))
+    side = side.join(hot, side["_key"].cast("string") == F.col("_hot"), "left").select(
+        *side.columns, F.explode(F.sequence(F.lit(0), ways - 1)).alias("_side_group")
     )
     matches = (left[fk] == side["_key"]) & (left["_group"] == side["_side_group"])
     return left.join(side, matches, how).drop("_key", "_group", "_side_group")
 
 
 def lookup_roles(
-    df: DataFrame, dim: DataFrame, roles: dict[str, str], key: str, id_col: str,
-    hot: dict[str, list] | None = None,
+    df: DataFrame, dim: DataFrame, roles: dict[str, str], key: str, id_col: str, hot: DataFrame | None = None,
 ) -> DataFrame:
     """Look up one dimension several times: `roles` = {new id column: key column of df}."""
     for new, fk in roles.items():
-        df = lookup(df, dim, fk, key, {new: id_col}, hot=(hot or {}).get(fk))
+        df = lookup(df, dim, fk, key, {new: id_col}, hot=hot)
     return df
 
 
 def bridge(
     links: DataFrame, link_key: str, near: DataFrame, near_id: str, link_fk: str, far: DataFrame,
-    far_id: str, dim_key: str = "href",
+    far_id: str, dim_key: str = "href", hot: DataFrame | None = None,
 ) -> DataFrame:
     """Resolve a link table to ids of both ends: one row (link_key, near_id, far_id) per link.
 
@@ -85,8 +92,8 @@ def bridge(
     dimensions, and repeated links are dropped before they can fan out.
     """
     pairs = require(links.select(link_key, link_fk), link_key, link_fk).distinct()
-    pairs = lookup(pairs, near, link_key, dim_key, {near_id: near_id})
-    pairs = lookup(pairs, far, link_fk, dim_key, {far_id: far_id})
+    pairs = lookup(pairs, near, link_key, dim_key, {near_id: near_id}, hot=hot)
+    pairs = lookup(pairs, far, link_fk, dim_key, {far_id: far_id}, hot=hot)
     return pairs.select(link_key, near_id, far_id)
 
 

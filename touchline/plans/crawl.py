@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from touchline import fixed
 from touchline.operators import extract, frontier
 from touchline.plans.load import load
+from touchline.sources.entities import default_seeds
 from touchline.sources.pages import with_page_features
 from touchline.sources.scratch import materialize, scratch_job
 
-_MAX_LISTED = 100
 _PAYLOADS = "/ceapi/"
-_KINDS = {path: path.split("/")[1] for path in (fixed.PROFILE_PATH, fixed.STATS_PATH, fixed.INJURIES_PATH)}
+_KINDS = {
+    path: path.split("/")[1]
+    for path in (fixed.LEAGUE_PATH, fixed.CLUB_PATH, fixed.PROFILE_PATH, fixed.STATS_PATH, fixed.INJURIES_PATH)
+}
+# The features that each hop reads.
+_HEADING = ("h1_first", "country_text", "country_alt", "competition_season")
+_TABLES = ("tables",)
+_PROFILE = ("h1_all", "info_labels", "info_values", "value_parts")
+_STATS = ("tables", "stats_season", "season_options")
 
 
 class UnknownSelection(LookupError):
@@ -24,10 +32,9 @@ def select_league(seeds: DataFrame, code: str) -> DataFrame:
     """The seeds of one league; raises, naming the choices, if there is none."""
     chosen = frontier.league_seeds(seeds, code)
     if chosen.isEmpty():
-        codes = frontier.league_codes(seeds).orderBy("code").limit(_MAX_LISTED + 1).collect()
-        listed = ", ".join(row.code for row in codes[:_MAX_LISTED])
-        more = ", ..." if len(codes) > _MAX_LISTED else ""
-        raise UnknownSelection(f"league {code!r} is not among the seeds; choices: {listed}{more}")
+        codes = frontier.league_codes(seeds).orderBy("code").collect()  # of the seeds that were typed in
+        listed = ", ".join(row.code for row in codes)
+        raise UnknownSelection(f"league {code!r} is not among the seeds; choices: {listed}")
     return chosen
 
 
@@ -40,7 +47,7 @@ def select_club(clubs: DataFrame, href: str) -> DataFrame:
 
 
 def _kind(url: Column) -> Column:
-    """The known player paths that an address holds, as one name: `page`, `page-profil`, ..."""
+    """The known paths that an address holds, as one name: `page`, `page-profil`, ..."""
     names = [F.when(F.contains(url, F.lit(path)), F.lit(name)) for path, name in _KINDS.items()]
     return F.concat_ws("-", F.lit("page"), *names)
 
@@ -48,12 +55,14 @@ def _kind(url: Column) -> Column:
 class _Site:
     """The fetched pages, ready to be joined to the addresses of a hop.
 
-    For a whole crawl every HTML page is parsed once and stored by kind, so that a hop reads
-    its own kind, not everything. For a selection, few pages are wanted: a hop joins the
-    addresses to the pages first and parses what it found.
+    Each address has one page, the one fetched last. For a whole crawl every HTML page is parsed
+    once and stored by kind, so that a hop reads its own kind and features, not everything. For a
+    selection, few pages are wanted: a hop joins the addresses to the pages first and parses what
+    it found.
     """
 
     def __init__(self, pages: DataFrame, whole: bool):
+        pages = frontier.one_page_per_url(pages)
         is_payload = F.contains("url", F.lit(_PAYLOADS))
         self.payloads = pages.where(is_payload).select("url", "body")
         self.html = pages.where(~is_payload).select("url", "body", _kind(F.col("url")).alias("kind"))
@@ -61,36 +70,44 @@ class _Site:
         if whole:
             self.html = materialize(with_page_features(self.html, "body"), "features", "kind")
 
-    def pages_of(self, addresses: DataFrame, path: str | None = None) -> DataFrame:
+    def pages_of(self, addresses: DataFrame, path: str, features: tuple[str, ...]) -> DataFrame:
         """The parsed pages of a hop, each with its parent's columns.
 
-        `path` may be given if every address holds it; see `sure_path`.
+        If every address holds `path`, other kinds of pages are left unread.
         """
-        html = self.html.where(F.col("kind").contains(_KINDS[path])) if path else self.html
-        found = frontier.with_pages(addresses, html.drop("kind"))
-        return found if self.whole else with_page_features(found, "body")
+        html = self.html
+        if sure_path(addresses, path):
+            html = html.where(F.col("kind").contains(_KINDS[path]))
+        wanted = [F.col(f"features.{name}") for name in features]
+        if self.whole:  # only these columns of the stored pages are read
+            html = html.select("url", F.struct(*wanted).alias("features"))
+            return frontier.with_pages(addresses, html)
+        parsed = with_page_features(frontier.with_pages(addresses, html.drop("kind")), "body")
+        return parsed.withColumn("features", F.struct(*wanted))
 
     def payloads_of(self, addresses: DataFrame) -> DataFrame:
         return frontier.with_pages(addresses, self.payloads)
 
 
-def sure_path(addresses: DataFrame, path: str) -> str | None:
-    """The path if all addresses hold it, so that other kinds of pages can be left unread."""
-    return path if addresses.where(~F.contains("url", F.lit(path))).isEmpty() else None
+def sure_path(addresses: DataFrame, path: str) -> bool:
+    """Whether all addresses hold the path, so that other kinds of pages can be left unread."""
+    return addresses.where(~F.contains("url", F.lit(path))).isEmpty()
 
 
 def extract_entities(
-    pages: DataFrame, seeds: DataFrame, base_url: str, league: str | None = None,
+    pages: DataFrame, seeds: DataFrame | None, base_url: str, league: str | None = None,
     club: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All seven entities from `pages(url, body)` and `seeds(href)`.
+    """All seven entities from `pages(url, body)`, optionally with `fetched`, and `seeds(href)`.
 
     competitions -> clubs -> players -> appearances, injuries, transfers, market values; each
-    hop joins the addresses of its parents to the pages. The parents of later hops are
-    written, so a hop does not repeat those before it.
+    hop joins the addresses of its parents to the pages. Without seeds the built-in ones are used.
+    The parents of later hops are written, so a hop does not repeat those before it.
     """
     if club and not league:
         raise ValueError("a club can only be chosen together with its league")
+    if seeds is None:
+        seeds = default_seeds(pages.sparkSession)
     if league:
         seeds = select_league(seeds, league)
     site = _Site(pages, whole=not league)
@@ -98,25 +115,24 @@ def extract_entities(
     def linked(parents: DataFrame) -> DataFrame:
         return frontier.direct_frontier(parents.select("href").distinct(), base_url)
 
-    competitions = materialize(extract.competition_rows(site.pages_of(linked(seeds))), "competitions")
-    clubs = materialize(extract.club_rows(site.pages_of(linked(competitions))), "clubs")
+    leagues = site.pages_of(linked(seeds), fixed.LEAGUE_PATH, _HEADING)
+    competitions = materialize(extract.competition_rows(leagues), "competitions")
+    leagues = site.pages_of(linked(competitions), fixed.LEAGUE_PATH, _TABLES)
+    clubs = materialize(extract.club_rows(leagues), "clubs")
     if club:
         clubs = select_club(clubs, club)
 
-    profiles = frontier.profile_frontier(site.pages_of(linked(clubs)), base_url)
-    profiles = materialize(frontier.one_parent_per_url(profiles, "club_href"), "profiles")
-    path = sure_path(profiles, fixed.PROFILE_PATH)
-    players = materialize(extract.player_rows(site.pages_of(profiles, path)), "players")
+    squads = site.pages_of(linked(clubs), fixed.CLUB_PATH, _TABLES)
+    profiles = frontier.one_parent_per_url(frontier.profile_frontier(squads, base_url), "club_href")
+    profiles = materialize(profiles, "profiles")
+    found = site.pages_of(profiles, fixed.PROFILE_PATH, _PROFILE)
+    players = materialize(extract.player_rows(found), "players")
 
     listed = players.select("href")
-    addresses = frontier.stats_frontier(listed, base_url)
-    path = sure_path(addresses, fixed.STATS_PATH)
-    shown = site.pages_of(addresses, path)
-    others = site.pages_of(frontier.season_frontier(shown, base_url), path)
+    shown = site.pages_of(frontier.stats_frontier(listed, base_url), fixed.STATS_PATH, _STATS)
+    others = site.pages_of(frontier.season_frontier(shown, base_url), fixed.STATS_PATH, _STATS)
     stats = shown.withColumn("season", F.lit(None).cast("string")).unionByName(others)
-
-    addresses = frontier.injuries_frontier(listed, base_url)
-    injuries = site.pages_of(addresses, sure_path(addresses, fixed.INJURIES_PATH))
+    injuries = site.pages_of(frontier.injuries_frontier(listed, base_url), fixed.INJURIES_PATH, _TABLES)
 
     def api(entity: str) -> DataFrame:
         return site.payloads_of(frontier.api_frontier(listed, base_url, entity))
@@ -133,7 +149,7 @@ def extract_entities(
 
 
 def run(
-    spark: SparkSession, pages: DataFrame, seeds: DataFrame, base_url: str, out: str,
+    spark: SparkSession, pages: DataFrame, seeds: DataFrame | None, base_url: str, out: str,
     league: str | None = None, club: str | None = None, strict: bool = True,
 ) -> dict[str, int]:
     """From fetched pages to the published star; returns the load report."""

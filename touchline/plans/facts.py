@@ -1,20 +1,14 @@
 """Fact builders.
 
-A fact is looked up (natural keys to ids) and collapsed to its grain; the two commute, since a
-natural key maps to one id, or a repeated name to several. `ids_first` decides which goes first:
-
-* True, for dimensions small enough to broadcast: lookups cost no shuffle, and the one shuffle
-  that collapses the fact carries integers in place of links and names.
-* False, for larger dimensions: the fact is collapsed on its natural keys, which combines repeats
-  before any row moves and spreads a hot player over all of that player's dates; the lookups then
-  shuffle what is left. `hot` maps a key column to its hot values (`operators.lookups.hot_values`),
-  whose rows are spread as well.
+One plan for every size: a fact is first collapsed on its natural keys, which combines repeats before
+any row moves and spreads a hot player over all of that player's dates; then the ids are looked up,
+without a forced strategy. Key values that outgrow a partition are counted beforehand, in one pass
+over the key columns, and spread over several groups (see `operators.lookups.hot_keys`). The order is
+free because a natural key maps to one id, or a repeated name to several.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,67 +16,43 @@ from touchline.functions.dates import cast_date, date_key, season_key
 from touchline.functions.text import strip_spaces
 from touchline.operators.collapse import collapse
 from touchline.operators.keys import first_per_key
-from touchline.operators.lookups import bridge, lookup, lookup_roles, require
-
-Hot = dict[str, list] | None
-Step = Callable[[DataFrame], DataFrame]
-
-
-def _player(players: DataFrame, hot: Hot) -> Step:
-    hot_links = (hot or {}).get("player_href")
-    return lambda rows: lookup(rows, players, "player_href", "href", {"player_id": "player_id"}, hot=hot_links)
+from touchline.operators.lookups import bridge, hot_keys, lookup, lookup_roles, require
 
 
-def _collapse_with_ids(
-    rows: DataFrame, natural: list[str], ids: list[str], resolve: Step, ids_first: bool,
-    largest: dict[str, str], pick: dict[str, str] | None = None,
-) -> DataFrame:
-    """Look up and collapse in the cheaper order; the result has `ids`, the measures and labels."""
-    if ids_first:
-        return collapse(resolve(rows), ids, largest, pick)
-    return resolve(collapse(rows, natural, largest, pick))
+def _with_player(rows: DataFrame, players: DataFrame, hot: DataFrame) -> DataFrame:
+    return lookup(rows, players, "player_href", "href", {"player_id": "player_id"}, hot=hot)
 
 
 def fact_stats(
-    appearances: DataFrame, raw_players: DataFrame, players: DataFrame, clubs: DataFrame,
-    competitions: DataFrame, hot: Hot = None, ids_first: bool = True,
+    appearances: DataFrame, raw_players: DataFrame, players: DataFrame, clubs: DataFrame, competitions: DataFrame,
 ) -> DataFrame:
     """Season stats by player, listed club and competition.
 
     Stats name no club: each club that lists the player gets a row, past seasons included. The
     clubs are attached last, so that they do not multiply the rows that have to be collapsed.
     """
-    hot = hot or {}
-    listed = bridge(raw_players, "href", players, "player_id", "club_href", clubs, "club_id")
-
-    def competition(rows: DataFrame) -> DataFrame:
-        return lookup(
-            rows, competitions, "competition", "competition_name", {"competition_id": "competition_id"},
-            hot=hot.get("competition"),
-        )
-
+    listed = bridge(
+        raw_players, "href", players, "player_id", "club_href", clubs, "club_id",
+        hot=hot_keys(raw_players, "href", "club_href"),
+    )
     rows = appearances.select(
         "player_href", "competition", season_key(F.col("season")).alias("date_id"),
         "appearances", "goals", "assists", "yellow_cards", "red_cards",
         F.col("minutes").alias("minutes_played"),
     )
     rows = require(rows, "player_href", "competition", "date_id")
+    hot = hot_keys(rows, "player_href", "competition")
     counts = ["appearances", "goals", "assists", "yellow_cards", "red_cards", "minutes_played"]
-    measures = dict(zip(counts, counts))
-    if ids_first:
-        rows = _player(players, hot)(competition(rows))
-        rows = collapse(rows, ["player_id", "competition_id", "date_id"], measures)
-        rows = lookup(rows, listed, "player_id", "player_id", {"club_id": "club_id"})
-    else:
-        rows = competition(collapse(rows, ["player_href", "competition", "date_id"], measures))
-        ids = {"player_id": "player_id", "club_id": "club_id"}
-        rows = lookup(rows, listed, "player_href", "href", ids, hot=hot.get("player_href"))
+    rows = collapse(rows, ["player_href", "competition", "date_id"], dict(zip(counts, counts)))
+    rows = lookup(
+        rows, competitions, "competition", "competition_name", {"competition_id": "competition_id"}, hot=hot
+    )
+    ids = {"player_id": "player_id", "club_id": "club_id"}
+    rows = lookup(rows, listed, "player_href", "href", ids, hot=hot)
     return rows.select("player_id", "club_id", "competition_id", "date_id", *counts)
 
 
-def fact_injury(
-    injuries: DataFrame, players: DataFrame, hot: Hot = None, ids_first: bool = True
-) -> DataFrame:
+def fact_injury(injuries: DataFrame, players: DataFrame) -> DataFrame:
     """Injuries by player, first and last day; both days must be given."""
     days = ["start_date_id", "end_date_id"]
     rows = require(injuries, "from", "until", "player_href").select(
@@ -91,16 +61,17 @@ def fact_injury(
         date_key(cast_date(F.col("until"))).alias("end_date_id"),
         "injury", "days_out", "games_missed",
     )
-    rows = _collapse_with_ids(
-        rows, ["player_href", *days], ["player_id", *days], _player(players, hot), ids_first,
-        {"days_out": "days_out", "games_missed": "games_missed"}, {"injury_type": "injury"},
+    hot = hot_keys(rows, "player_href")
+    rows = collapse(
+        rows, ["player_href", *days], {"days_out": "days_out", "games_missed": "games_missed"},
+        {"injury_type": "injury"},
     )
+    rows = _with_player(rows, players, hot)
     return rows.select("player_id", *days, "injury_type", "days_out", "games_missed")
 
 
 def fact_transfer(
-    transfers: DataFrame, players: DataFrame, clubs: DataFrame, hot: Hot = None,
-    ids_first: bool = True, trim_names: bool = False,
+    transfers: DataFrame, players: DataFrame, clubs: DataFrame, trim_names: bool = False,
 ) -> DataFrame:
     """Transfers by player, both clubs and day.
 
@@ -110,54 +81,42 @@ def fact_transfer(
     def name(column: str):
         return strip_spaces(F.col(column)) if trim_names else F.col(column)
 
-    def resolve(rows: DataFrame) -> DataFrame:
-        roles = {"from_club_id": "from_club_name", "to_club_id": "to_club_name"}
-        return lookup_roles(_player(players, hot)(rows), clubs, roles, "club_name", "club_id", hot)
-
     rows = require(transfers, "date", "player_href", "from_club", "to_club").select(
         "player_href", name("from_club").alias("from_club_name"), name("to_club").alias("to_club_name"),
         date_key(cast_date(F.col("date"))).alias("date_id"), "market_value", "fee",
     )
+    hot = hot_keys(rows, "player_href", "from_club_name", "to_club_name")
     names = ["from_club_name", "to_club_name", "date_id"]
-    ids = ["player_id", "from_club_id", "to_club_id", "date_id", "from_club_name", "to_club_name"]
-    rows = _collapse_with_ids(
-        rows, ["player_href", *names], ids, resolve, ids_first,
-        {"market_value": "market_value", "transfer_fee": "fee"},
+    rows = collapse(
+        rows, ["player_href", *names], {"market_value": "market_value", "transfer_fee": "fee"}
+    )
+    roles = {"from_club_id": "from_club_name", "to_club_id": "to_club_name"}
+    rows = lookup_roles(_with_player(rows, players, hot), clubs, roles, "club_name", "club_id", hot)
+    return rows.select(
+        "player_id", "from_club_id", "to_club_id", "date_id", "from_club_name", "to_club_name",
+        "market_value", "transfer_fee",
     )
-    return rows.select(*ids, "market_value", "transfer_fee")
 
 
-def fact_market_value(
-    market_values: DataFrame, players: DataFrame, hot: Hot = None, ids_first: bool = True
-) -> DataFrame:
+def fact_market_value(market_values: DataFrame, players: DataFrame) -> DataFrame:
     """The highest value of a player on each day."""
     rows = require(market_values, "date", "player_href").select(
         "player_href", date_key(cast_date(F.col("date"))).alias("date_id"), "market_value"
     )
-    rows = _collapse_with_ids(
-        rows, ["player_href", "date_id"], ["player_id", "date_id"], _player(players, hot), ids_first,
-        {"market_value": "market_value"},
-    )
-    return rows.select("player_id", "date_id", "market_value")
+    hot = hot_keys(rows, "player_href")
+    rows = collapse(rows, ["player_href", "date_id"], {"market_value": "market_value"})
+    return _with_player(rows, players, hot).select("player_id", "date_id", "market_value")
 
 
-def fact_contract(
-    raw_players: DataFrame, players: DataFrame, clubs: DataFrame, hot: Hot = None,
-    ids_first: bool = True,
-) -> DataFrame:
+def fact_contract(raw_players: DataFrame, players: DataFrame, clubs: DataFrame) -> DataFrame:
     """The latest contract of each player at each listed club; both days must be given."""
-    def resolve(rows: DataFrame) -> DataFrame:
-        hot_clubs = (hot or {}).get("club_href")
-        return lookup(_player(players, hot)(rows), clubs, "club_href", "href", {"club_id": "club_id"}, hot=hot_clubs)
-
     rows = require(raw_players, "joined", "contract_until", "href", "club_href").select(
         F.col("href").alias("player_href"), "club_href",
         date_key(cast_date(F.col("joined"))).alias("joined_date_id"),
         date_key(cast_date(F.col("contract_until"))).alias("contract_until_id"),
     )
+    hot = hot_keys(rows, "player_href", "club_href")
     latest = [F.col(name).desc_nulls_last() for name in ("joined_date_id", "contract_until_id")]
-    if ids_first:
-        rows = first_per_key(resolve(rows), ["player_id", "club_id"], latest)
-    else:
-        rows = resolve(first_per_key(rows, ["player_href", "club_href"], latest))
+    rows = _with_player(first_per_key(rows, ["player_href", "club_href"], latest), players, hot)
+    rows = lookup(rows, clubs, "club_href", "href", {"club_id": "club_id"}, hot=hot)
     return rows.select("player_id", "club_id", "joined_date_id", "contract_until_id")

@@ -6,22 +6,16 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.operators.audit import audit_sources, audit_star
 from touchline.operators.collapse import table_counts
-from touchline.operators.lookups import hot_values
 from touchline.plans import dims, facts
 from touchline.plans.jobs import together
 from touchline.sources.entities import read_entities
 from touchline.sources.scratch import materialize, scratch_job
 from touchline.sources.star import StarWriter
 
-# A dimension of at most this many rows is broadcast as (key, id) pairs, some ten megabytes.
-# Joins to a larger one shuffle the facts, and a hot key among them is worth a counting pass.
-SMALL_DIMENSION_ROWS = 500_000
-
 
 class ConstraintError(ValueError):
     """The star breaks a rule; the previous one stays published."""
@@ -55,43 +49,12 @@ def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataF
 
     (competition, club), player, date = together(spark, competitions_and_clubs, players, dates)
     star = {"dim_competition": competition, "dim_club": club, "dim_player": player, "dim_date": date}
-    large = {name for name, dim in star.items() if dim.count() > SMALL_DIMENSION_ROWS}
-    competition, club, player = (
-        star[name] if name in large else F.broadcast(star[name])
-        for name in ("dim_competition", "dim_club", "dim_player")
-    )
-
-    def hot(source: str, **columns: str) -> dict[str, list]:
-        """Hot values of the key columns of a source whose dimension is large."""
-        return {
-            column: hot_values(raw[source], column) for column, dim in columns.items() if dim in large
-        }
-
-    def stats() -> DataFrame:
-        keys = hot("appearances", player_href="dim_player", competition="dim_competition")
-        small = not large & {"dim_player", "dim_competition"}
-        return facts.fact_stats(raw["appearances"], raw["players"], player, club, competition, keys, small)
-
-    def injuries() -> DataFrame:
-        keys = hot("injuries", player_href="dim_player")
-        return facts.fact_injury(raw["injuries"], player, keys, "dim_player" not in large)
-
-    def transfers() -> DataFrame:
-        keys = hot("transfers", player_href="dim_player", from_club="dim_club", to_club="dim_club")
-        keys.update({f"{side}_name": keys.get(side) for side in ("from_club", "to_club")})
-        return facts.fact_transfer(raw["transfers"], player, club, keys, not large & {"dim_player", "dim_club"})
-
-    def market_values() -> DataFrame:
-        keys = hot("market_values", player_href="dim_player")
-        return facts.fact_market_value(raw["market_values"], player, keys, "dim_player" not in large)
-
-    def contracts() -> DataFrame:
-        keys = hot("players", club_href="dim_club")
-        return facts.fact_contract(raw["players"], player, club, keys, not large & {"dim_player", "dim_club"})
-
     builders = {
-        "fact_stats": stats, "fact_injury": injuries, "fact_transfer": transfers,
-        "fact_market_value": market_values, "fact_contract": contracts,
+        "fact_stats": lambda: facts.fact_stats(raw["appearances"], raw["players"], player, club, competition),
+        "fact_injury": lambda: facts.fact_injury(raw["injuries"], player),
+        "fact_transfer": lambda: facts.fact_transfer(raw["transfers"], player, club),
+        "fact_market_value": lambda: facts.fact_market_value(raw["market_values"], player),
+        "fact_contract": lambda: facts.fact_contract(raw["players"], player, club),
     }
 
     def store(name: str) -> Callable[[], DataFrame]:

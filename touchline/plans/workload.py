@@ -23,7 +23,7 @@ from touchline.plans.jobs import together
 from touchline.plans.crawl import extract_entities
 from touchline.plans.load import build_star, land, load
 from touchline.sources.entities import read_entity, write_entity
-from touchline.sources.pages import spread, with_page_features
+from touchline.sources.pages import with_page_features
 from touchline.sources.scratch import materialize, scratch_root
 from touchline.sources.star import read_star
 
@@ -278,11 +278,11 @@ def left_lookup(spark, sf_dir):
 
 
 def salted_lookup(spark, sf_dir):
-    """Events with their user's name; the users with most events are spread over many groups."""
+    """Events with their user's name; users that outgrow a partition are spread over several groups."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     rows = lookups.lookup(
         events, table(spark, sf_dir, "customer"), "user_id", "c_custkey", {"c_name": "c_name"},
-        hot=lookups.hot_values(events, "user_id", 1 / 128),
+        hot=lookups.hot_keys(events, "user_id"),
     )
     return rows.select("event_id", "c_name")
 
@@ -587,7 +587,7 @@ def page_parent(spark, sf_dir):
 
 def competition_rows(spark, sf_dir):
     """Headings of the given pages, read as competition pages."""
-    pages = spread(table(spark, sf_dir, "pages")).select(F.lit(None).cast("string").alias("href"), "url", "html")
+    pages = table(spark, sf_dir, "pages").select(F.lit(None).cast("string").alias("href"), "url", "html")
     return extract.competition_rows(with_page_features(pages, "html"))
 
 
@@ -603,14 +603,9 @@ def _link(href: Column, shown: Column) -> Column:
     return _text('<td class="hauptlink x"><a href="', href, '">', shown, "</a>")
 
 
-def _orders_spread(spark, sf_dir) -> DataFrame:
-    columns = ["o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]
-    return spread(table(spark, sf_dir, "orders").select(*columns))
-
-
 def club_rows(spark, sf_dir):
     """One competition page per part, with two clubs and a row that is none."""
-    parts, key = spread(table(spark, sf_dir, "part")), F.col("p_partkey")
+    parts, key = table(spark, sf_dir, "part"), F.col("p_partkey")
     body = _item_table(
         _text(
             "<tr><td>", _link(_text("https://site.example/club/", key, "?s=1"), F.col("p_name")),
@@ -625,7 +620,7 @@ def club_rows(spark, sf_dir):
 
 def squad_links(spark, sf_dir):
     """One squad page per part with three listings of two players; each player once, first club wins."""
-    parts, size = spread(table(spark, sf_dir, "part")), F.col("p_size")
+    parts, size = table(spark, sf_dir, "part"), F.col("p_size")
     body = _text(
         _item_table(
             _text("<tr>", _link(_text("https://site.example/a/profil/spieler/", size, "#t"), F.lit("A"))),
@@ -643,7 +638,7 @@ def squad_links(spark, sf_dir):
 
 def player_rows(spark, sf_dir):
     """One profile page per customer."""
-    customers, nation = spread(table(spark, sf_dir, "customer")), F.col("c_nationkey")
+    customers, nation = table(spark, sf_dir, "customer"), F.col("c_nationkey")
 
     def line(label: str, *value) -> Column:
         return _text(
@@ -670,7 +665,7 @@ def player_rows(spark, sf_dir):
 
 def _stats_pages(spark, sf_dir) -> DataFrame:
     """One stats page per order: a season choice and a table of two competitions."""
-    orders, key = _orders_spread(spark, sf_dir), F.col("o_orderkey")
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
     year = F.year("o_orderdate")
     body = _text(
         '<select name="saison"><option value="">all<option value="', year, '" selected>x<option value="', year - 1,
@@ -696,7 +691,7 @@ def season_pages(spark, sf_dir):
 
 def injury_rows(spark, sf_dir):
     """One injuries page per order."""
-    orders, key = _orders_spread(spark, sf_dir), F.col("o_orderkey")
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
     day = F.date_format(F.to_date("o_orderdate"), "MMM d, yyyy")
     body = _item_table(
         _row("25/26", F.col("o_orderpriority"), day, "-", _text(key, " days"), "1"),
@@ -708,7 +703,7 @@ def injury_rows(spark, sf_dir):
 
 def transfer_rows(spark, sf_dir):
     """One payload per order with two transfers; cancelled-like orders have a broken payload."""
-    orders, key, day = _orders_spread(spark, sf_dir), F.col("o_orderkey"), F.to_date("o_orderdate")
+    orders, key, day = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.to_date("o_orderdate")
     whole = _text(
         '{"transfers": [{"from": {"clubName": "Club ', key, '"}, "to": null, "date": "x", "dateUnformatted": "',
         F.date_format(day, "yyyy-MM-dd"), '", "season": "22/23", "marketValue": "€', key, '.50m", "fee": "-"}, ',
@@ -721,7 +716,7 @@ def transfer_rows(spark, sf_dir):
 
 def market_value_rows(spark, sf_dir):
     """One payload per event with a value history of two entries; errors have a broken payload."""
-    events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     key = F.col("event_id")
     whole = _text(
         '{"list": [{"x": 1, "datum_mw": "', F.date_format(F.to_date("ts"), "dd/MM/yyyy"), '", "y": ', key,
@@ -734,8 +729,8 @@ def market_value_rows(spark, sf_dir):
 
 def _site(spark, sf_dir) -> DataFrame:
     """A site of pages: a competition and a club per part, five pages and payloads per customer."""
-    parts = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
-    customers = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     part, size, customer, nation = (F.col(c) for c in ("p_partkey", "p_size", "c_custkey", "c_nationkey"))
 
     def page(rows: DataFrame, path: Column, body: Column) -> DataFrame:
@@ -748,7 +743,9 @@ def _site(spark, sf_dir) -> DataFrame:
         )
 
     stats_path = _text("/p/leistungsdaten/spieler/", customer)
-    return _all([
+    profile = page(customers, _player_href(customer), _text("<h1><b>", F.col("c_name"), "</b></h1>"))
+    later = F.lit("2025-06-02").cast("timestamp")
+    site = _all([
         page(parts, _competition_href(part), _text(
             "<h1>", F.col("p_name"), "</h1>",
             _item_table(_text("<tr><td>", _link(_club_href(part), _text("Club ", part)))),
@@ -757,7 +754,8 @@ def _site(spark, sf_dir) -> DataFrame:
             _text("<tr>", _link(_player_href(part), F.lit("own"))),
             _text("<tr>", _link(_player_href(size), F.lit("shared"))),
         )),
-        page(customers, _player_href(customer), _text("<h1><b>", F.col("c_name"), "</b></h1>")),
+        profile,
+        profile,  # fetched twice
         page(customers, stats_path, stats("League", 2025, 2024)),
         page(customers, _text(stats_path, "?saison=2024"), stats("Cup", 2024, 2025)),
         page(customers, _text("/p/verletzungen/spieler/", customer), _item_table(
@@ -769,7 +767,10 @@ def _site(spark, sf_dir) -> DataFrame:
         page(customers, _text("/ceapi/marketValueDevelopment/graph/", customer), _text(
             '{"list": [{"datum_mw": "01/07/2020", "y": ', customer, "}]}",
         )),
-    ])
+    ]).withColumn("fetched", later)
+    # Each club's page was fetched before, when it listed nobody.
+    older = page(parts, _club_href(part), F.lit("<h1>soon</h1>")).withColumn("fetched", later - F.expr("interval 1 day"))
+    return site.unionByName(older)
 
 
 def crawl(spark, sf_dir):

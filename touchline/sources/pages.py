@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,20 +40,84 @@ _ENDS = {
 }
 _TABLE_PARTS = {"td", "th", "tr", "table"} | _SECTIONS
 
-# A comment, a raw element up to its end tag, a tag (quoted attribute values may hold `>`; a lone
-# quote ends nothing) or a declaration.
-_MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)
-    |<(?P<raw>script|style)\b[^>]*>(?P<content>.*?)(?=</(?P=raw)|\Z)
-    |<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)
-        (?P<written>[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*|[^>]*)>
-    |<[!?][^>]*>""",
-    re.IGNORECASE | re.DOTALL | re.VERBOSE,
-)
+_TAG = re.compile(r"<(/?)([a-z][^\s/>]*)", re.IGNORECASE)
+_RAW = re.compile(r"<(script|style)\b", re.IGNORECASE)
+_RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE) for tag in ("script", "style")}
+_QUOTE_OR_END = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
-# Output rows per Arrow batch.
+# Pages and bytes of pages parsed between two batches of output.
 _BATCH = 256
+_BATCH_BYTES = 8 << 20
+# The most bytes of pages that Spark may hand over at once.
+_INPUT_BYTES = 256 << 20
+
+
+class _Markup:
+    """The markup of a page, found in one pass forward.
+
+    Yields (start, stop, raw content, is an end tag, tag, what is written in it). Quoted attribute values
+    may hold `>`; where quotes do not pair up before the end of the page, the tag ends at the first `>`.
+    Every search is either used up by the tag it serves or remembered, so broken pages cost no more
+    than sound ones.
+    """
+
+    def __init__(self, html):
+        self.html = html
+        self.last_end = html.rfind(">")
+        self.open_quotes = set()  # quotes from which no tag end can be reached
+
+    def _tag_end(self, start):
+        """The place of the `>` that ends a tag."""
+        at, tried = start, []
+        while True:
+            found = _QUOTE_OR_END.search(self.html, at)
+            if found is None or found.start() in self.open_quotes:
+                break
+            if found.group() == ">":
+                return found.start()
+            tried.append(found.start())
+            closing = self.html.find(found.group(), found.end())
+            if closing < 0:
+                break
+            at = closing + 1
+        self.open_quotes.update(tried)
+        return self.html.find(">", start)
+
+    def __iter__(self):
+        html, at = self.html, 0
+        while (at := html.find("<", at)) >= 0:
+            if html.startswith("<!--", at):
+                stop = html.find("-->", at + 4)
+                stop = len(html) if stop < 0 else stop + 3
+                yield at, stop, None, False, None, ""
+                at = stop
+                continue
+            if at > self.last_end:  # no tag can end any more; only a comment can still begin
+                at = html.find("<!--", at)
+                if at < 0:
+                    return
+                continue
+            raw = _RAW.match(html, at)
+            if raw:
+                start = html.find(">", at) + 1
+                tag = raw.group(1).lower()
+                end = _RAW_END[tag].search(html, start)
+                stop = end.start() if end else len(html)
+                yield at, stop, html[start:stop], False, tag, ""
+                at = stop
+                continue
+            tag = _TAG.match(html, at)
+            if tag:
+                stop = self._tag_end(tag.end())
+                yield at, stop + 1, None, bool(tag.group(1)), tag.group(2).lower(), html[tag.end():stop]
+                at = stop + 1
+            elif html.startswith(("<!", "<?"), at):
+                stop = html.find(">", at) + 1
+                yield at, stop, None, False, None, ""
+                at = stop
+            else:
+                at += 1
 
 
 class _Element:
@@ -89,64 +154,55 @@ class _Page:
 
     def __init__(self, html):
         self.elements, self.by_tag = [], {}
-        self.texts, self.owners = [], []
-        self.open, self.open_tags = [], {}
+        self.texts, self.owners, self.owned = [], [], {}
+        self.open, self.open_at = [], {}  # open elements, and for each tag their places among them
         text_from = 0
-        for markup in _MARKUP.finditer(html):
-            start = markup.start()
+        for start, stop, content, end, tag, written in _Markup(html):
             if start > text_from:
                 self._text(html[text_from:start])
-            text_from = markup.end()
-            raw, content, end, tag, written = markup.groups()
-            if tag:
+            text_from = stop
+            if content is not None:
+                self._start(tag, "")
+                self._text(content, raw=True)
+            elif tag:
                 if end:
-                    self._end(tag.lower())
+                    self._end(tag)
                 else:
-                    self._start(tag.lower(), written)
-            elif raw:
-                self._start(raw.lower(), "")
-                self._text(content, raw=True)
+                    self._start(tag, written)
         self._text(html[text_from:])
         self._close(0)
 
     def _text(self, text, raw=False):
         if text:
+            owner = self.open[-1].index if self.open else -1
+            self.owned.setdefault(owner, []).append(len(self.texts))
             self.texts.append(unescape(text) if "&" in text and not raw else text)
-            self.owners.append(self.open[-1].index if self.open else -1)
+            self.owners.append(owner)
+
+    def _innermost(self, tags):
+        """The place of the innermost open element of some tags, -1 if none is open."""
+        return max((places[-1] for tag in tags if (places := self.open_at.get(tag))), default=-1)
 
     def _start(self, tag, written):
         stack, elements = self.open, self.elements
         if tag in _ENDS:
             ended, shields = _ENDS[tag]
-            for depth in range(len(stack) - 1, -1, -1):
-                above = stack[depth].tag
-                if above in shields:
-                    break
-                if above in ended:
-                    self._close(depth)
-                    break
+            depth = self._innermost(ended)
+            if depth > self._innermost(shields - ended):
+                self._close(depth)
         element = _Element(tag, written, stack[-1] if stack else None, len(elements), len(self.texts))
         elements.append(element)
-        if tag in self.by_tag:
-            self.by_tag[tag].append(element)
-        else:
-            self.by_tag[tag], self.open_tags[tag] = [element], 0
+        self.by_tag.setdefault(tag, []).append(element)
         if tag not in _VOID:
+            self.open_at.setdefault(tag, []).append(len(stack))
             stack.append(element)
-            self.open_tags[tag] += 1
 
     def _end(self, tag):
-        if not self.open_tags.get(tag):
-            return
-        stack = self.open
-        for depth in range(len(stack) - 1, -1, -1):
-            above = stack[depth].tag
-            if above == tag:
-                self._close(depth)
-                return
-            # A stray end tag inside a cell must not close the table around it.
-            if above == "table" or (above in _TABLE_PARTS and tag not in _TABLE_PARTS):
-                return
+        depth = self._innermost([tag])
+        # A stray end tag inside a cell must not close the table around it.
+        kept = {"table"} if tag in _TABLE_PARTS else _TABLE_PARTS
+        if depth > self._innermost(kept - {tag}):
+            self._close(depth)
 
     def _close(self, depth):
         """End the open elements from a depth on."""
@@ -154,7 +210,7 @@ class _Page:
         while len(self.open) > depth:
             element = self.open.pop()
             element.last, element.text_to = last, text_to
-            self.open_tags[element.tag] -= 1
+            self.open_at[element.tag].pop()
 
     def all(self, tag, class_name=None, within=None):
         """Elements by tag, optionally by class and below an element of another class."""
@@ -162,8 +218,7 @@ class _Page:
         if class_name:
             found = [element for element in found if element.has_class(class_name)]
         if within and found:
-            boxes = [element for element in self.elements if element.has_class(within)]
-            found = [element for element in found if any(box.holds(element) for box in boxes)]
+            found = _held(found, [element for element in self.elements if element.has_class(within)])
         return found
 
     def below(self, element, tag):
@@ -177,8 +232,7 @@ class _Page:
         return self.texts[element.text_from : element.text_to]
 
     def own_texts(self, element):
-        places = range(element.text_from, element.text_to)
-        return [self.texts[place] for place in places if self.owners[place] == element.index]
+        return [self.texts[place] for place in self.owned.get(element.index, [])]
 
     def inner_texts(self, element):
         """The texts of the elements below an element, without its own."""
@@ -186,6 +240,18 @@ class _Page:
         return [self.texts[place] for place in places if self.owners[place] != element.index]
 
 
+def _held(elements, boxes):
+    """The elements that lie in a box; both in document order, swept once."""
+    found, last, boxes = [], -1, iter(boxes)
+    box = next(boxes, None)
+    for element in elements:
+        while box is not None and box.index < element.index:
+            last, box = max(last, box.last), next(boxes, None)
+        if element.index <= last:
+            found.append(element)
+    return found
+
+
 def _first(values):
     return next((value for value in values if value is not None), None)
 
@@ -199,7 +265,7 @@ def _options(page, name):
 def _row(page, tr):
     cells = page.below(tr, "td")
     main = [cell for cell in cells if cell.has_class(fixed.MAIN_LINK_CLASS)]
-    links = [link for link in page.below(tr, "a") if any(cell.holds(link) for cell in main)] if main else []
+    links = _held(page.below(tr, "a"), main) if main else []
     return {
         "direct": tr.parent is not None and tr.parent.tag == "tbody",
         "main_href": links[0].attributes.get("href") if links else None,
@@ -211,8 +277,7 @@ def _row(page, tr):
 
 def _table(page, table):
     """The body rows of a table; rows of nested tables count as well."""
-    bodies = page.below(table, "tbody")
-    rows = [tr for tr in page.below(table, "tr") if any(body.holds(tr) for body in bodies)] if bodies else []
+    rows = _held(page.below(table, "tr"), page.below(table, "tbody"))
     return {"rows": [_row(page, tr) for tr in rows]}
 
 
@@ -243,14 +308,23 @@ def page_features_of(html: str | None) -> dict:
     }
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal rows over all cores if their files have fewer splits than the session has cores.
+def _check_batches(spark) -> None:
+    """Spark cuts what it hands to Python by bytes; a session that does not must say so."""
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    if not 0 < size <= _INPUT_BYTES:
+        raise ValueError("set spark.sql.execution.arrow.maxBytesPerBatch to 256m or less: pages are wide rows")
 
-    Parsing is the costly step, so a few large row groups must not decide how many tasks share
-    it. Call it on the narrowest form of the rows. Inputs of many files pass unchanged.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+def _parts(batch: pa.RecordBatch, body: str) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of few pages and few bytes, a page at least."""
+    start, size = 0, 0
+    for row, length in enumerate(pc.fill_null(pc.binary_length(batch.column(body)), 0).to_pylist()):
+        if row > start and (row - start == _BATCH or size + length > _BATCH_BYTES):
+            yield batch.slice(start, row - start)
+            start, size = row, 0
+        size += length
+    yield batch.slice(start)
 
 
 def with_page_features(pages: DataFrame, body: str) -> DataFrame:
@@ -260,6 +334,7 @@ def with_page_features(pages: DataFrame, body: str) -> DataFrame:
     and write the result where it is used more than once.
     """
     # Executors get this module by value, so they need no installed copy of the package.
+    _check_batches(pages.sparkSession)
     for module in (fixed, sys.modules[__name__]):
         cloudpickle.register_pickle_by_value(module)
     kept = [name for name in pages.columns if name != body]
@@ -269,8 +344,7 @@ def with_page_features(pages: DataFrame, body: str) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, _BATCH):
-                batch = whole.slice(start, _BATCH)
+            for batch in _parts(whole, body):
                 features = [page_features_of(text.as_py()) for text in batch.column(body)]
                 columns = [batch.column(name) for name in kept]
                 yield pa.RecordBatch.from_arrays(
