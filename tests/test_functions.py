@@ -36,6 +36,13 @@ def test_dates(evaluate):
         "may 5, 2003": date(2003, 5, 5), "September 5, 2003": date(2003, 9, 5),
         "15 May 2003": date(2003, 5, 15), "15 march 2003": date(2003, 3, 15),
         "  2003-5-1 ": date(2003, 5, 1),
+        "May 15 2003": date(2003, 5, 15), "15 May, 2003": date(2003, 5, 15), "Sat, 15 May 2003": date(2003, 5, 15),
+        "2003/05/15": date(2003, 5, 15), "15/05/03": date(2003, 5, 15), "15.05.99": date(1999, 5, 15),
+        "Sept 5, 2003": date(2003, 9, 5), "15th May 2003": date(2003, 5, 15), "May 1st, 2003": date(2003, 5, 1),
+        "2022-07-01T00:00:00+02:00": date(2022, 7, 1), "2022-07-01 00:00:00": date(2022, 7, 1),
+        "2022-07-01T23:59:59.123Z": date(2022, 7, 1), "Jul. 1, 2022": date(2022, 7, 1),
+        "Thursday 3 June 2004": date(2004, 6, 3), "05/15/2003": date(2003, 5, 15), "1/7/68": date(2068, 7, 1),
+        "15 May 2003, 10:30": date(2003, 5, 15), "15-May-2003": date(2003, 5, 15),
     })
 
 
@@ -93,6 +100,24 @@ def test_season_key(evaluate):
     check(evaluate, dates.season_key, {"2025": 20250701, "26": 260701, "0": None, "25/26": None, None: None})
 
 
+def test_unread_dates_are_told_from_missing_ones(evaluate):
+    check(evaluate, lambda c: dates.unread(c, dates.parse_date(c)), {
+        "May 15, 2003": False, "-": False, " N/A ": False, "": False, "unknown": False, "?": False, None: None,
+        "May 2003": True, "31/02/2003": True, "soon": True, "2022-07-01 25:00": True,
+    })
+
+
+def test_cast_date_off_plain_iso(evaluate):
+    check(evaluate, dates.cast_date, {
+        "2023/5/1": date(2023, 5, 1), "2023 5 1": date(2023, 5, 1), "2023\\5\\1": date(2023, 5, 1),
+        " 2023-01-01 \n": date(2023, 1, 1), "2023-01-01 10:00": date(2023, 1, 1), "2023-01-01T10:00:00Z": date(2023, 1, 1),
+        "2023-01-01 10:00:00.123 +02:00": date(2023, 1, 1), "2023/5/1 10:00:00": date(2023, 5, 1),
+        "2023-1-1 zzz": None, "2023-1-1zzz": None, "2023-5/1": None, "2023-01-01 25:00:00": None, "2023-01-01 10": None,
+        "2023-01-01 10:61:00": None, "20230101": None, "2023-13-1": None, "2023-02-30": None, "2023-001-01": None,
+        "2023-01-01T": None, "2023-1-1.": None, "+2023-01-01": None, "2023-01-01 24:00:00": date(2023, 1, 1), None: None,
+    })
+
+
 def test_cast_date_and_key(evaluate):
     check(evaluate, dates.cast_date, {
         "2023-05-01": date(2023, 5, 1), "2023-5-1": date(2023, 5, 1), "2023": None, "2023-5": None,

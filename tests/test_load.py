@@ -226,3 +226,53 @@ def test_lines(spark, tmp_path):
     good, bad = files.split_malformed(spark, str(tmp_path), "clubs")
     assert [row.href for row in good.collect()] == ["/a"]
     assert [row.line for row in bad.collect()] == ['{"name": broken']
+
+
+def test_numbers_may_be_written_as_texts_or_fractions(spark, tmp_path):
+    (tmp_path / "clubs.jsonl").write_text(
+        '{"href": "/a", "squad_size": "27", "total_market_value": 150000000.0, "avg_age": "26.5"}\n'
+        '{"href": "/b", "squad_size": 27.6, "total_market_value": 9007199254740993, "avg_age": 26}\n'
+        '{"href": "/c", "squad_size": "many", "total_market_value": null, "avg_age": {"x": 1}}\n'
+    )
+    got = files.read_entity(spark, str(tmp_path), "clubs")
+    assert got.schema == schemas.RAW["clubs"]
+    assert rows(got, "href", "squad_size", "total_market_value", "avg_age") == [
+        ("/a", 27, 150000000, 26.5), ("/b", 28, 9007199254740993, 26.0), ("/c", None, None, None),
+    ]
+    good, _ = files.split_malformed(spark, str(tmp_path), "clubs")
+    assert rows(good, *got.columns) == rows(got, *got.columns)
+
+
+def test_the_report_counts_what_did_not_stop_the_load(spark, raw, tmp_path):
+    data = str(tmp_path / "data")
+    odd = dict(raw)
+    stranger = spark.createDataFrame([("/p/odd", "Odd", "sometime")], "href STRING, name STRING, dob STRING")
+    odd["players"] = raw["players"].unionByName(stranger, allowMissingColumns=True)
+    for name, df in odd.items():
+        files.write_entity(df.coalesce(1), data, name)
+    (tmp_path / "data" / "clubs.jsonl" / "more.json").write_text('{"name": broken\n\n')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        loading.load(spark, data, str(tmp_path / "star"))
+    report = loading.load(spark, data, str(tmp_path / "star"), bad_lines="skip")
+    assert report["dim_player"] == 4
+    assert report.notes[("clubs", "malformed lines")] == 1
+    assert report.notes[("players", "unread date dob")] >= 1
+    assert report.notes[("dim_club", "ambiguous club_name")] == 2
+
+
+def test_each_of_two_loads_gets_its_own_turn(spark, tmp_path):
+    out = str(tmp_path / "star")
+    one, two = stars.StarWriter(spark, out), stars.StarWriter(spark, out)
+    folder = stars._Folder(spark, f"{out}/current")
+    assert folder.create(1, one.run) and not folder.create(1, two.run)
+    two.publish()
+    assert folder.names() == [1, 2] or sorted(folder.names()) == [1, 2]
+    assert folder.read(2) == two.run
+    for _ in range(3):
+        two.publish()
+    assert sorted(folder.names()) == [4, 5]
+
+
+def test_written_tables_are_not_landed_again(spark, raw):
+    once = loading.land(raw)
+    assert all(again is df for again, df in zip(loading.land(once).values(), once.values()))

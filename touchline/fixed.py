@@ -25,6 +25,12 @@ MONTHS_LONG = [
     "july", "august", "september", "october", "november", "december",
 ]
 
+MONTH_ALIASES = ["sept"]
+WEEKDAYS = "mon|monday|tue|tues|tuesday|wed|wednesday|thu|thur|thurs|thursday|fri|friday|sat|saturday|sun|sunday"
+
+# Texts that stand for a missing value.
+MISSING_MARKERS = ["-", "", "n/a", "?", "unknown"]
+
 # A season starts on this day of its year.
 SEASON_MONTH, SEASON_DAY = 7, 1
 

@@ -10,37 +10,56 @@ from touchline.functions.numbers import season_year
 from touchline.functions.text import strip_all
 
 # The first three letters of a month name, captured ahead of the whole name.
-_MONTH = r"(?=(\w{3}))(?:" + "|".join(fixed.MONTHS_LONG + fixed.MONTHS_SHORT) + ")"
+_MONTH = r"(?=(\w{3}))(?:" + "|".join(fixed.MONTHS_LONG + fixed.MONTH_ALIASES + fixed.MONTHS_SHORT) + r")\.?"
+_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
+_CLOCK = r"(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?"
+_ZONE = r"(?:\s*(?:z|utc|gmt|[+-]\d{2}(?::?\d{2})?))?"
 
-# Written forms and how each is put in the order year-month-day.
+# What is put aside, and the written forms with the order year-month-day that each is put in.
 _REORDER = [
-    (r"^(\d{1,2})([./-])(\d{1,2})\2(\d{4})$", "$4-$3-$1"),
-    (rf"(?i)^{_MONTH}\s+(\d{{1,2}}),\s*(\d{{4}})$", "$3-$1-$2"),
-    (rf"(?i)^(\d{{1,2}})\s+{_MONTH}\s+(\d{{4}})$", "$3-$2-$1"),
+    (rf"^(?:{fixed.WEEKDAYS})\.?,?\s+", ""),
+    (rf"(?<=\d)(?:t|,?\s+){_CLOCK}{_ZONE}$", ""),
+    (rf"^{_MONTH}\s+{_DAY}(?:\s*,\s*|\s+)(\d{{4}})$", "$3-$1-$2"),
+    (rf"^{_DAY}[\s.-]+(?:of\s+)?{_MONTH}(?:\s*[,-]\s*|\s+)(\d{{4}})$", "$3-$2-$1"),
+    (r"^(\d{4})([./])(\d{1,2})\2(\d{1,2})$", "$1-$3-$4"),
+    # The day comes first, unless only the second number can be one.
+    (r"^(\d{1,2})([./-])(1[3-9]|2\d|3[01])\2(\d{4}|\d{2})$", "$4-$1-$3"),
+    (r"^(\d{1,2})([./-])(\d{1,2})\2(\d{4}|\d{2})$", "$4-$3-$1"),
+    # Two digits of a year: 69 to 99 are of the last century.
+    (r"^(?=(?:69|[7-9]\d)-)", "19"),
+    (r"^(?=\d\d-)", "20"),
 ]
 _ISO = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
+# What a cast to a date takes: one separator, and after the date nothing but a real time.
+_CAST = rf"(?i)^\s*(\d{{4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})(?:[ t]+(?:{_CLOCK}|24:00(?::00)?){_ZONE})?\s*$"
 
 
 def parse_date(text: Column) -> Column:
-    """A date in one of the written forms, else NULL.
+    """A complete date in one of the written forms, else NULL.
 
-    Forms: `May 15, 2003`, `2003-05-15`, `15/05/2003`, `15.05.2003`, `15-05-2003`, `15 May 2003`;
-    month names short or long. Each form is rewritten to ISO text, which is cast once: no
-    row costs an exception, as trying one date pattern after the other would. The missing
-    markers are none of the forms and so give NULL as well.
+    Forms, with an optional weekday before and an optional time after: `May 15, 2003`, `May 15 2003`,
+    `15 May 2003`, `15th May, 2003`, `2003-05-15`, `2003/05/15`, `15/05/2003`, `15.05.2003`,
+    `15-05-2003`, `15/05/03`; month names short or long. Each form is rewritten to ISO text, which is
+    cast once: no row costs an exception, as trying one date pattern after the other would. The
+    missing markers are none of the forms and so give NULL as well; `unread` tells the two apart.
     """
-    value = strip_all(text)
+    value = F.lower(strip_all(text))
     for pattern, order in _REORDER:
         value = F.regexp_replace(value, pattern, order)
-    value = F.lower(value)
     for number, name in enumerate(fixed.MONTHS_SHORT, start=1):
         value = F.replace(value, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
     return F.regexp_extract(value, _ISO, 0).try_cast("date")
 
 
 def cast_date(text: Column) -> Column:
-    """Cast ISO text to a date; unlike the bare cast, a lone year or year-month gives NULL."""
-    return F.regexp_extract(text, r"^\s*\d{4}-\d{1,2}-\d{1,2}(?s).*", 0).try_cast("date")
+    """Cast ISO text to a date as SQL does: `2003-5-1`, `2003/05/01` and `2003 5 1` are dates, also with a
+    time behind them; anything else behind them, another order or a partial date gives NULL."""
+    return F.regexp_replace(F.regexp_extract(text, _CAST, 0), _CAST, "$1-$3-$4").try_cast("date")
+
+
+def unread(text: Column, date: Column) -> Column:
+    """Whether a text that says something was not read as a date."""
+    return date.isNull() & ~F.lower(strip_all(text)).isin(fixed.MISSING_MARKERS)
 
 
 def season_date(season: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline import schemas
+from touchline.functions.dates import cast_date, unread
 
 
 def _finding(df: DataFrame, table: str, rule: str, violations) -> DataFrame:
@@ -141,3 +142,27 @@ def audit_names(star: dict[str, DataFrame]) -> DataFrame:
         DataFrame.unionByName,
         [ambiguous_names(star[table], table, column) for table, column in schemas.JOINED_NAMES.items()],
     )
+
+
+def unread_dates(raw: dict[str, DataFrame]) -> DataFrame:
+    """Date texts of the raw tables that say something but are no date. A report, not a rule."""
+    found = []
+    for table, columns in schemas.DATE_TEXTS.items():
+        counts = raw[table].agg(
+            *[F.count_if(unread(F.col(f"`{name}`"), cast_date(F.col(f"`{name}`")))).alias(name) for name in columns]
+        )
+        listed = [
+            F.struct(F.lit(table).alias("table_name"), F.lit(f"unread date {name}").alias("rule"),
+                     F.col(f"`{name}`").alias("n_violations"))
+            for name in columns
+        ]
+        found.append(counts.select(F.inline(F.array(*listed))))
+    return reduce(DataFrame.unionByName, found)
+
+
+def malformed_lines(bad: dict[str, DataFrame]) -> DataFrame:
+    """Lines that are no JSON, by entity. A report, not a rule."""
+    return reduce(
+        DataFrame.unionByName,
+        [_finding(lines, table, "malformed lines", F.count(F.lit(1))) for table, lines in bad.items()],
+    )

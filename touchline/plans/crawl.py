@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline import fixed
 from touchline.operators import extract, frontier
-from touchline.plans.load import load
+from touchline.plans.load import LoadReport, load
 from touchline.sources.entities import default_seeds
 from touchline.sources.pages import with_page_features
 from touchline.sources.scratch import materialize, scratch_job
@@ -151,7 +151,7 @@ def extract_entities(
 def run(
     spark: SparkSession, pages: DataFrame, seeds: DataFrame | None, base_url: str, out: str,
     league: str | None = None, club: str | None = None, strict: bool = True,
-) -> dict[str, int]:
+) -> LoadReport:
     """From fetched pages to the published star; returns the load report."""
     with scratch_job(spark):
         return load(spark, extract_entities(pages, seeds, base_url, league, club), out, strict)

@@ -8,12 +8,12 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline import schemas
-from touchline.operators.audit import audit_sources, audit_star
+from touchline.operators.audit import audit_names, audit_sources, audit_star, malformed_lines, unread_dates
 from touchline.operators.collapse import table_counts
 from touchline.plans import dims, facts
 from touchline.plans.jobs import together
-from touchline.sources.entities import read_entities
-from touchline.sources.scratch import materialize, scratch_job
+from touchline.sources.entities import read_entities, read_good_lines
+from touchline.sources.scratch import is_written, materialize, scratch_job
 from touchline.sources.star import StarWriter
 
 
@@ -65,22 +65,36 @@ def build_star(raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataF
 
 
 def land(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Write the entities as Parquet: JSON is parsed once, and each later step scans only the
-    columns it needs."""
+    """Write the entities as Parquet, where that is not done yet: JSON is parsed once, and each later
+    step scans only the columns it needs."""
     spark = next(iter(raw.values())).sparkSession
-    writes = [partial(materialize, df, name) for name, df in raw.items()]
+    writes = [(lambda df=df: df) if is_written(df) else partial(materialize, df, name) for name, df in raw.items()]
     return dict(zip(raw, together(spark, *writes)))
 
 
+class LoadReport(dict):
+    """Table -> row count in load order, and in `notes` what did not stop the load but should be known:
+    (table_name, rule) -> number of malformed lines, unread dates and ambiguous names."""
+
+    notes: dict[tuple[str, str], int]
+
+
 def load(
-    spark: SparkSession, sources: str | dict[str, DataFrame], out: str, strict: bool = True
-) -> dict[str, int]:
+    spark: SparkSession, sources: str | dict[str, DataFrame], out: str, strict: bool = True,
+    bad_lines: str = "raise",
+) -> LoadReport:
     """Build the star from a folder of entity files (or from DataFrames) and publish it in `out`.
 
-    Returns table -> row count in load order. `strict` raises ConstraintError on the first
-    broken rule and leaves the star published before untouched.
+    `strict` raises ConstraintError on the first broken rule and leaves the star published before
+    untouched. Lines that are no JSON end the load, or with `bad_lines="skip"` are left out and counted.
     """
-    raw = read_entities(spark, sources) if isinstance(sources, str) else sources
+    bad: dict[str, DataFrame] = {}
+    if not isinstance(sources, str):
+        raw = sources
+    elif bad_lines == "skip":
+        raw, bad = read_good_lines(spark, sources)
+    else:
+        raw = read_entities(spark, sources)
     writer = StarWriter(spark, out)
     with scratch_job(spark):
         try:
@@ -88,12 +102,18 @@ def load(
             star = build_star(raw, writer.write)
             if strict:
                 _raise_if_broken(raw, star)
+            notes = unread_dates(raw).unionByName(audit_names(star))
+            if bad:
+                notes = notes.unionByName(malformed_lines(bad))
+            noted = notes.where("n_violations > 0").collect()  # one row per rule
         except BaseException:
             writer.discard()
             raise
     writer.publish()
-    report = table_counts(star).orderBy("position").collect()  # nine rows
-    return {row.table_name: row.n_rows for row in report}
+    counts = table_counts(star).orderBy("position").collect()  # nine rows
+    report = LoadReport((row.table_name, row.n_rows) for row in counts)
+    report.notes = {(row.table_name, row.rule): row.n_violations for row in noted}
+    return report
 
 
 def _raise_if_broken(raw: dict[str, DataFrame], star: dict[str, DataFrame]) -> None:

@@ -49,6 +49,12 @@ RAW = {
 
 ENTITIES = list(RAW)
 
+# Date texts of the raw entities.
+DATE_TEXTS = {
+    "players": ["dob", "joined", "contract_until"], "injuries": ["from", "until"], "transfers": ["date"],
+    "market_values": ["date"],
+}
+
 # API payloads: only the fields that are read.
 TRANSFER_PAYLOAD = (
     "struct<transfers: array<struct<`from`: struct<clubName: string>, to: struct<clubName: string>,"

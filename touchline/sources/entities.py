@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,18 +16,35 @@ def empty_entity(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], schemas.RAW[name])
 
 
+def _as_written(schema: T.StructType) -> T.StructType:
+    """The same fields as texts: a number may be written as `27`, `"27"` or `27.0`."""
+    return T.StructType([T.StructField(field.name, T.StringType()) for field in schema])
+
+
+def _typed(field: T.StructField, value: Column) -> Column:
+    """A text as the field's type, NULL if it is none; a whole number may be written with a fraction."""
+    if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+        return F.coalesce(value.try_cast(field.dataType), F.rint(value.try_cast("double")).try_cast(field.dataType))
+    return value.try_cast(field.dataType)
+
+
+def _typed_rows(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    return rows.select(*[_typed(field, F.col(f"`{field.name}`")).alias(field.name) for field in schema])
+
+
 def _scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The lines of a file or folder, None if there is none; a malformed line fails the job."""
+    """The lines of a file or folder, None if there is none; a line that is no JSON fails the job."""
     try:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        lines = spark.read.schema(_as_written(schema)).option("mode", "FAILFAST").json(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    return _typed_rows(lines, schema)
 
 
 def read_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON lines with a given schema. Blank lines are skipped; a malformed line fails the job."""
+    """JSON lines with a given schema. Blank lines are skipped; a line that is no JSON fails the job."""
     rows = _scan(spark, path, schema)
     if rows is None:
         raise FileNotFoundError(path)
@@ -46,7 +63,17 @@ def read_entity(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 def read_entities(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """All seven entities. Raises if not one of them holds a row."""
-    raw = {name: read_entity(spark, directory, name) for name in schemas.ENTITIES}
+    return _filled({name: read_entity(spark, directory, name) for name in schemas.ENTITIES}, directory)
+
+
+def read_good_lines(spark: SparkSession, directory: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All seven entities without the lines that are no JSON, and those lines by entity."""
+    split = {name: split_malformed(spark, directory, name) for name in schemas.ENTITIES}
+    good = _filled({name: rows for name, (rows, _) in split.items()}, directory)
+    return good, {name: lines for name, (_, lines) in split.items()}
+
+
+def _filled(raw: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
     if all(rows.isEmpty() for rows in raw.values()):
         raise FileNotFoundError(f"no entity rows found in {directory}")
     return raw
@@ -60,10 +87,12 @@ def split_malformed(spark: SparkSession, directory: str, name: str) -> tuple[Dat
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         lines = spark.createDataFrame([], "value STRING")
-    schema = T.StructType([*schemas.RAW[name].fields, T.StructField(_CORRUPT, T.StringType())])
+    written = _as_written(schemas.RAW[name])
+    schema = T.StructType([*written.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = lines.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("row"))
     bad = F.col(f"row.{_CORRUPT}").isNotNull()
-    return rows.where(~bad).select("row.*").drop(_CORRUPT), rows.where(bad).select(F.col("value").alias("line"))
+    good = _typed_rows(rows.where(~bad).select("row.*"), schemas.RAW[name])
+    return good, rows.where(bad).select(F.col("value").alias("line"))
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:

@@ -4,25 +4,41 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from weakref import WeakSet
 
 from pyspark.sql import DataFrame, SparkSession
 
 # The folder of the job at hand, where it has one of its own.
 _JOB: ContextVar[str | None] = ContextVar("scratch job", default=None)
+# The folders made so far, by application.
+_ROOTS: dict[str, str] = {}
+# Tables that materialize() has written and read back.
+_WRITTEN: WeakSet[DataFrame] = WeakSet()
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`; a local session without one gets a folder of its own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="touchline-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/touchline/{spark.sparkContext.applicationId}"
+    """The application's folder below `spark.checkpoint.dir`; a local session without that setting gets
+    a temporary one. It is deleted when the application ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _ROOTS:
+        root, local = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master.startswith("local")
+        if not root:
+            if not local:
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            root = tempfile.mkdtemp(prefix="touchline-")
+        root = f"{root.rstrip('/')}/touchline/{application}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not local and system.getScheme() == "file":
+            warnings.warn(f"{root} is a plain folder: every executor must see the same one", stacklevel=2)
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _ROOTS[application] = root
+    return _ROOTS[application]
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -40,7 +56,14 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     path = scratch_folder(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN.add(table)
+    return table
+
+
+def is_written(df: DataFrame) -> bool:
+    """Whether a table is one that materialize() has returned."""
+    return df in _WRITTEN
 
 
 def delete(spark: SparkSession, folder: str) -> None:
@@ -62,5 +85,5 @@ def scratch_job(spark: SparkSession) -> Iterator[None]:
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete what this application has written and not deleted yet; its DataFrames are void then."""
+    """Delete what this application has written so far, before it ends; its DataFrames are void then."""
     delete(spark, scratch_root(spark))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline import schemas
@@ -32,39 +32,77 @@ class StarWriter:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
     def publish(self, keep: int = 2) -> None:
-        """Make this run the current one: one more pointer row, newest wins.
+        """Make this run the current one: it takes the next free turn, and the last turn counts.
 
-        Of the runs before it, the last `keep` - 1 stay for readers that still use them.
+        A turn is a file that only one load can create, so of two loads at once each gets its own.
+        The last `keep` runs stay, for readers that still use them; older ones go with their turns.
         """
-        earlier = sorted(_pointers(self.spark, self.out), key=lambda row: row.turn)
-        turn = earlier[-1].turn + 1 if earlier else 1
-        pointer = self.spark.range(1).selectExpr(f"{turn}L AS turn", f"'{self.run}' AS run")
-        pointer.coalesce(1).write.mode("append").json(f"{self.out}/{_CURRENT}")
-        for row in earlier[: max(0, len(earlier) + 1 - keep)]:
-            delete(self.spark, f"{self.out}/{_RUNS}/{row.run}")
+        folder = _Folder(self.spark, f"{self.out}/{_CURRENT}")
+        turn = max(folder.names(), default=0) + 1
+        while not folder.create(turn, self.run):
+            turn += 1
+        for old in sorted(name for name in folder.names() if name <= turn)[:-keep]:
+            run = folder.read(old)
+            if run:
+                delete(self.spark, f"{self.out}/{_RUNS}/{run}")
+            folder.remove(old)
 
     def discard(self) -> None:
         """Delete the tables of a run that will not be published."""
         delete(self.spark, self.path)
 
 
-def _pointers(spark: SparkSession, out: str) -> list:
-    """One small row per load made so far."""
-    try:
-        rows = spark.read.schema("turn BIGINT, run STRING").json(f"{out.rstrip('/')}/{_CURRENT}")
-        return rows.collect()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+class _Folder:
+    """The turns taken so far: small files named by number, each holding the run that took it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.hadoop = spark._jvm.org.apache.hadoop.fs
+        self.path = self.hadoop.Path(path)
+        self.system = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, turn: int):
+        return self.hadoop.Path(self.path, f"{turn:012d}")
+
+    def names(self) -> list[int]:
+        if not self.system.exists(self.path):
             return []
-        raise
+        names = [status.getPath().getName() for status in self.system.listStatus(self.path)]
+        return [int(name) for name in names if name.isdigit()]
+
+    def create(self, turn: int, run: str) -> bool:
+        """Take a turn; False if another load was first."""
+        if self.system.exists(self._at(turn)):
+            return False
+        try:
+            out = self.system.create(self._at(turn), False)
+        except Py4JJavaError:
+            if self.system.exists(self._at(turn)):
+                return False
+            raise
+        out.write(bytearray(run.encode()))
+        out.close()
+        return True
+
+    def read(self, turn: int) -> str:
+        """The run of a turn; empty while it is being written."""
+        if not self.system.exists(self._at(turn)):
+            return ""
+        source = self.system.open(self._at(turn))
+        try:
+            return bytes(source.readAllBytes()).decode()
+        finally:
+            source.close()
+
+    def remove(self, turn: int) -> None:
+        self.system.delete(self._at(turn), False)
 
 
 def read_star(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The nine tables of the last published load."""
-    pointers = _pointers(spark, out)
-    if not pointers:
+    folder = _Folder(spark, f"{out.rstrip('/')}/{_CURRENT}")
+    run = next((run for turn in sorted(folder.names(), reverse=True) if (run := folder.read(turn))), None)
+    if run is None:
         raise FileNotFoundError(f"no star has been published in {out}")
-    run = max(pointers, key=lambda row: row.turn).run
     path = f"{out.rstrip('/')}/{_RUNS}/{run}"
     return {
         name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in schemas.STAR.items()
