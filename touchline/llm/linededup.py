@@ -117,8 +117,8 @@ def dedup_lines(
 ) -> DataFrame:
     """df with later copies of repeated runs of lines taken out of `text`; all rows and columns stay.
 
-    `removed` names a column for the number of lines taken out. The deletions are written, so that
-    Spark sees their size before it plans the join to the texts.
+    `removed` names a column for the number of lines taken out. Texts move once, to be joined to
+    their deletions: documents are merged by key at every size, as the deletions grow with the input.
     """
     gone = materialize(repeated_lines(df, doc_id, text, gram, run), "repeated-lines")
     names = [unused(df, f"_{name}") for name in (*_DOC, "gone")]
@@ -128,7 +128,7 @@ def dedup_lines(
     match = F.lit(True)
     for key, name in zip(_keys(doc_id, text), names):
         match = match & (key == F.col(name))
-    out = df.join(gone, match, "left")
+    out = df.join(gone.hint("merge"), match, "left")
     places, body = F.col(names[-1]), F.col(f"`{text}`")
     # The lines are bound once, in an array of one, and then taken by place.
     kept = F.transform(
