@@ -8,7 +8,6 @@ listings, seasons that are no year) come from column values.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,9 +21,11 @@ from touchline.plans import dims, facts
 from touchline.plans.jobs import together
 from touchline.plans.crawl import extract_entities
 from touchline.plans.load import build_star, land, load
-from touchline.sources.entities import read_entity, write_entity
+from touchline.sources.entities import (
+    default_seeds, read_entities, read_entity, read_seeds, split_malformed, write_entity,
+)
 from touchline.sources.pages import with_page_features
-from touchline.sources.scratch import materialize, scratch_root
+from touchline.sources.scratch import materialize, scratch_folder
 from touchline.sources.star import read_star
 
 BASE_URL = "https://site.example/"
@@ -69,10 +70,21 @@ def _as_entity(rows: DataFrame, entity: str, /, **values: Column) -> DataFrame:
     ])
 
 
+def _any_form(day: Column, key: Column) -> Column:
+    """An ISO date as one of five texts that a cast takes, by key."""
+    form = F.pmod(key, F.lit(5))
+    return (
+        F.when(form == 1, F.replace(day, F.lit("-"), F.lit("/"))).when(form == 2, F.replace(day, F.lit("-"), F.lit(" ")))
+        .when(form == 3, _text(day, " 10:30:00")).when(form == 4, _text(day, "T10:30")).otherwise(day)
+    )
+
+
 def raw_competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers; every tenth has the name of the one before it."""
+    named = F.col("s_suppkey") - F.when(F.col("s_suppkey") % 10 == 0, 1).otherwise(0)
     return _as_entity(
         table(spark, sf_dir, "supplier"), "competitions", type=F.lit("competition"),
-        name=F.col("s_name"), country=_text("Country ", F.col("s_nationkey")), season=F.lit("2025"),
+        name=_text("Supplier#", F.lpad(named.cast("string"), 9, "0")), country=_text("Country ", F.col("s_nationkey")), season=F.lit("2025"),
         href=_competition_href(F.col("s_suppkey")),
     )
 
@@ -96,11 +108,15 @@ def raw_players(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "players", type=F.lit("player"),
         name=_text(F.col("c_name"), F.when(F.col("again") == 1, F.lit(" II")).otherwise(F.lit(""))),
         href=_player_href(F.col("c_custkey")), club_href=_club_href(club),
-        dob=F.when(F.col("c_acctbal") < 0, F.lit("unknown")).otherwise(_text(nation + 1960, "-5-", nation + 1)),
+        dob=F.when(F.col("c_acctbal") < 0, F.lit("unknown")).otherwise(_text(
+            nation + 1960, "-5-", nation + 1, F.when(F.col("c_custkey") % 7 == 3, F.lit(" zzz")).otherwise(F.lit("")),
+        )),
         nationality=_text("Nation ", nation), position=F.col("c_mktsegment"),
         foot=F.when(F.col("c_acctbal") > 5000, F.lit("left")), height_cm=nation + 170,
-        joined=_text(nation + 2000 + F.col("again"), "-07-01"),
-        contract_until=F.when(F.col("c_acctbal") >= 0, _text(nation + 2005, "-06-30")),
+        joined=_any_form(_text(nation + 2000 + F.col("again"), "-07-01"), F.col("c_custkey")),
+        contract_until=F.when(
+            F.col("c_acctbal") >= 0, _any_form(_text(nation + 2005, "-06-30"), F.col("c_custkey"))
+        ),
     )
 
 
@@ -129,8 +145,8 @@ def raw_injuries(spark: SparkSession, sf_dir: str) -> DataFrame:
         **{
             "type": F.lit("injury"), "player_href": _player_href(F.col("o_custkey")),
             "season": F.year("o_orderdate").cast("string"), "injury": F.col("l_returnflag"),
-            "from": _day("o_orderdate"),
-            "until": F.when(F.col("l_linestatus") == "F", _day("l_shipdate")),
+            "from": _any_form(_day("o_orderdate"), F.col("o_orderkey")),
+            "until": F.when(F.col("l_linestatus") == "F", _any_form(_day("l_shipdate"), F.col("l_orderkey"))),
             "days_out": F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")),
             "games_missed": F.col("l_linenumber"),
         },
@@ -149,7 +165,7 @@ def raw_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_entity(
         table(spark, sf_dir, "orders"), "transfers", type=F.lit("transfer"),
         player_href=F.when(listed, _player_href(customer)).otherwise(_text("/x/profil/spieler/", customer)),
-        date=_day("o_orderdate"), season=F.date_format(F.to_date("o_orderdate"), "yy/MM"),
+        date=_any_form(_day("o_orderdate"), F.col("o_orderkey")), season=F.date_format(F.to_date("o_orderdate"), "yy/MM"),
         from_club=F.when(F.col("o_orderpriority") != "1-URGENT", _text("Club ", customer)), to_club=to_club,
         market_value=_floor("o_totalprice"), fee=F.floor(F.col("o_totalprice") / 2),
     )
@@ -245,20 +261,72 @@ def star_audit(spark, sf_dir):
     return audit.audit_star(_star(spark, sf_dir))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    out = scratch_folder(spark, "star")
+    load(spark, raw_entities(spark, sf_dir), out)
+    return read_star(spark, out)
+
+
 def published_star(spark, sf_dir):
     """The whole load, from raw rows to the published tables, counted as a reader finds them."""
-    out = f"{scratch_root(spark)}/star-{uuid.uuid4().hex}"
-    load(spark, raw_entities(spark, sf_dir), out)
-    return table_counts(read_star(spark, out))
+    return table_counts(_published(spark, sf_dir))
+
+
+def published_rows(spark, sf_dir):
+    """The whole load, and every row of every table as a reader finds it."""
+    def said(df: DataFrame) -> Column:
+        texts = [F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in df.columns if name != "avg_age"]
+        return F.concat_ws("|", *texts)
+
+    published = _published(spark, sf_dir)
+    return _all([df.select(F.lit(name).alias("table_name"), said(df).alias("said")) for name, df in published.items()])
+
+
+def unread_dates(spark, sf_dir):
+    """Date texts of the raw entities that are no date."""
+    return audit.unread_dates(raw_entities(spark, sf_dir))
 
 
 def entity_files(spark, sf_dir):
     """Transfers written as JSON lines and read back."""
-    folder = f"{scratch_root(spark)}/files-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "files")
     write_entity(raw_transfers(spark, sf_dir), folder, "transfers")
     return read_entity(spark, folder, "transfers")
 
 
+def seed_rows(spark, sf_dir):
+    """A seed per supplier, written as JSON lines and read back, and the built-in seeds."""
+    folder = scratch_folder(spark, "files")
+    seeds = table(spark, sf_dir, "supplier").select(
+        F.lit("competition").alias("type"), _competition_href(F.col("s_suppkey")).alias("href")
+    )
+    write_entity(seeds, folder, "seeds")
+    return read_seeds(spark, f"{folder}/seeds.jsonl").unionByName(default_seeds(spark))
+
+
+def parent_lines(spark, sf_dir):
+    """A club per part as a JSON line, every tenth broken off: the good rows and the bad lines."""
+    folder = scratch_folder(spark, "files")
+    name = _text('{"name": "Club ', F.col("p_partkey"), '", "squad')
+    rest = _text('_size": "', F.col("p_size"), '", "new": 1}')
+    line = F.when(F.col("p_partkey") % 10 == 0, name).otherwise(_text(name, rest))
+    table(spark, sf_dir, "part").select(F.explode(F.array(line, F.lit(" "))).alias("value")).write.text(f"{folder}/clubs.jsonl")
+    good, bad = split_malformed(spark, folder, "clubs")
+    return _all([
+        good.select(F.lit("good").alias("kind"), F.col("name").alias("said"), "squad_size"),
+        bad.select(F.lit("bad").alias("kind"), F.col("line").alias("said"), F.lit(None).cast("int").alias("squad_size")),
+    ])
+
+
+def missing_sources(spark, sf_dir):
+    """Two of seven entities as files, the others absent or empty: the rows that each one gives."""
+    folder = scratch_folder(spark, "files")
+    write_entity(raw_clubs(spark, sf_dir), folder, "clubs")
+    write_entity(table(spark, sf_dir, "customer").select(F.col("c_name").alias("name")), folder, "players")
+    write_entity(table(spark, sf_dir, "region").where("r_regionkey < 0").select("r_name"), folder, "injuries")
+    return table_counts(read_entities(spark, folder)).select(F.col("table_name").alias("entity"), F.col("n_rows").alias("n"))
+
+
 # --- single operators ---------------------------------------------------------------------
 
 
@@ -269,10 +337,11 @@ def dense_key(spark, sf_dir):
 
 
 def left_lookup(spark, sf_dir):
-    """Suppliers with the nation of their key, where that nation belongs to one region."""
-    nations = table(spark, sf_dir, "nation").where("n_regionkey = 1")
+    """Suppliers with the nation of their key; every fifth nation is asked for by a key that none has."""
+    key = F.col("s_nationkey")
+    suppliers = table(spark, sf_dir, "supplier").withColumn("asked", F.when(key % 5 == 1, -1).otherwise(key))
     rows = lookups.lookup(
-        table(spark, sf_dir, "supplier"), nations, "s_nationkey", "n_nationkey", {"n_name": "n_name"}, "left"
+        suppliers, table(spark, sf_dir, "nation"), "asked", "n_nationkey", {"n_name": "n_name"}, "left"
     )
     return rows.select("s_suppkey", "s_name", "n_name")
 
@@ -303,9 +372,9 @@ def latest_per_key(spark, sf_dir):
 
 
 def stub_members(spark, sf_dir):
-    """Customers named by orders but missing among those of one segment, numbered after them."""
-    customers = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
-    known = customers.select(F.col("c_custkey").cast("string").alias("name"))
+    """Customers named by orders but known under that name in one segment only, numbered after them."""
+    other = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("")).otherwise(F.lit("other "))
+    known = table(spark, sf_dir, "customer").select(_text(other, F.col("c_custkey")).alias("name"))
     known = keys.dense_key(known, ["name"], "member_id")
     names = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("name"))
     missing = lookups.missing_members(names, known, "name")
@@ -421,7 +490,7 @@ def audit_filled(spark, sf_dir):
 
 def audit_references(spark, sf_dir):
     orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    solvent = customers.where("c_acctbal >= 0")
+    solvent = customers.select(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("c_custkey"))
     events, lines = table(spark, sf_dir, "events"), table(spark, sf_dir, "lineitem")
     return _all([
         audit.foreign_key(orders, "orders", "o_custkey", customers, "c_custkey", "customer"),
@@ -454,20 +523,20 @@ def parse_money(spark, sf_dir):
 
 
 def parse_date(spark, sf_dir):
-    orders, priority = table(spark, sf_dir, "orders"), F.col("o_orderpriority")
-
-    def written(pattern: str) -> Column:
-        return F.date_format(F.to_date("o_orderdate"), pattern)
-
-    texts = (
-        F.when(priority == "1-URGENT", written("MMM d, yyyy"))
-        .when(priority == "2-HIGH", written("yyyy-MM-dd"))
-        .when(priority == "3-MEDIUM", written("dd/MM/yyyy"))
-        .when(priority == "5-LOW", written("d.M.yyyy"))
-        .otherwise(F.when(F.col("o_orderstatus") == "F", F.lit(" N/A ")).otherwise(written("MMM yyyy")))
+    """Order dates in thirteen written forms, a partial one and a missing marker, by key."""
+    orders = table(spark, sf_dir, "orders")
+    forms = [
+        "MMM d, yyyy", "yyyy-MM-dd", "dd/MM/yyyy", "d.M.yyyy", "MMM d yyyy", "d MMM, yyyy", "EEE, d MMM yyyy", "yyyy/MM/dd",
+        "dd/MM/yy", "MMMM d, yyyy", "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "yyyy-MM-dd HH:mm:ss", "d'th' MMMM yyyy", "MMM yyyy",
+    ]
+    written, day = F.lit(" N/A "), F.to_date("o_orderdate").cast("timestamp")
+    for number, form in enumerate(forms):
+        written = F.when(F.col("o_orderkey") % 15 == number, F.date_format(day, form)).otherwise(written)
+    rows = orders.select("o_orderkey", written.alias("text"), dates.parse_date(written).alias("day"))
+    return rows.select(
+        "o_orderkey", "day", dates.date_key(F.col("day")).alias("date_id"),
+        dates.unread(F.col("text"), F.col("day")).alias("unread"),
     )
-    rows = orders.select("o_orderkey", dates.parse_date(texts).alias("day"))
-    return rows.withColumn("date_id", dates.date_key(F.col("day")))
 
 
 def parse_numbers(spark, sf_dir):
@@ -535,12 +604,16 @@ def player_frontier(spark, sf_dir):
         _player_href(F.col("c_custkey")).alias("href"), (F.col("c_nationkey") + 2000).cast("string").alias("season")
     )
     stats = frontier.stats_frontier(players, BASE_URL)
+    # Every fourth link has no number, so there is nothing to ask the API for.
+    key = F.regexp_extract("href", r"(\d+)$", 1).cast("bigint")
+    unnumbered = F.when(key % 4 == 0, _text("/p/profil/spieler/x", key)).otherwise(F.col("href"))
+    asked = players.withColumn("href", unnumbered)
     kinds = {
         "stats": stats,
         "season": stats.withColumn("url", urls.with_season(F.col("url"), F.col("season"))),
         "injuries": frontier.injuries_frontier(players, BASE_URL),
-        "transfers": frontier.api_frontier(players, BASE_URL, "transfers"),
-        "market_values": frontier.api_frontier(players, BASE_URL, "market_values"),
+        "transfers": frontier.api_frontier(asked, BASE_URL, "transfers"),
+        "market_values": frontier.api_frontier(asked, BASE_URL, "market_values"),
     }
     return _all([df.select(F.lit(kind).alias("kind"), "href", "url") for kind, df in kinds.items()])
 
@@ -591,6 +664,22 @@ def competition_rows(spark, sf_dir):
     return extract.competition_rows(with_page_features(pages, "html"))
 
 
+def competition_pages(spark, sf_dir):
+    """A league page per part: the country as text or as a flag, and the season that is selected."""
+    parts, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    country = (
+        F.when(key % 3 == 0, _text('<div class="data-header__club"><a href="#"> ', F.col("p_brand"), " </a></div>"))
+        .when(key % 3 == 1, _text('<img class="data-header__box__flag" alt="Flag ', F.col("p_size"), '">'))
+        .otherwise(F.lit(""))
+    )
+    season = F.when(key % 2 == 0, _text('<option value="', F.col("p_size") + 2000, '" selected>x')).otherwise(F.lit(""))
+    body = _text(
+        "<h1> ", F.col("p_name"), "</h1>", country, '<select name="saison_id"><option value="1999">y', season, "</select>"
+    )
+    pages = parts.select(_competition_href(key).alias("href"), F.lit("http://x/").alias("url"), body.alias("body"))
+    return extract.competition_rows(with_page_features(pages, "body"))
+
+
 def _row(*cells) -> Column:
     return _text("<tr>", *[part for cell in cells for part in ("<td>", cell, "</td>")], "</tr>")
 
@@ -672,7 +761,7 @@ def _stats_pages(spark, sf_dir) -> DataFrame:
         '">y<option value="', year - 2, '">z</select>',
         _item_table(
             _row("", _text("<a>League</a> ", F.col("o_orderstatus")), key, "-", "7", "1", "-", "-", _text("1.", year, "'")),
-            _row("", F.col("o_orderpriority"), "3", key, "-", "-", "-", "2", "199'"),
+            _row("", F.col("o_orderpriority"), "3", key, "-", "-", "4", "2", "199'"),
             _row("", " ", "3", "3", "3", "3", "3", "3", "3"), _row("too", "short"),
         ),
     )
@@ -682,11 +771,15 @@ def _stats_pages(spark, sf_dir) -> DataFrame:
 
 def appearance_rows(spark, sf_dir):
     pages = _stats_pages(spark, sf_dir).withColumn("season", F.lit(None).cast("string"))
-    return extract.appearance_rows(pages).drop("type", "second_yellow_cards")
+    return extract.appearance_rows(pages).drop("type")
 
 
 def season_pages(spark, sf_dir):
-    return frontier.season_frontier(_stats_pages(spark, sf_dir), BASE_URL).select("href", "season", "url")
+    """Every season of every stats page; every third link has a parameter already."""
+    key = F.regexp_extract("href", r"(\d+)$", 1).cast("bigint")
+    tab = F.when(key % 3 == 0, F.lit("?tab=1")).otherwise(F.lit(""))
+    pages = _stats_pages(spark, sf_dir).withColumn("href", F.concat("href", tab))
+    return frontier.season_frontier(pages, BASE_URL).select("href", "season", "url")
 
 
 def injury_rows(spark, sf_dir):
@@ -797,11 +890,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         dim_competition, dim_club, dim_player, stub_competitions, stub_clubs, dim_date, fact_stats,
         fact_injury, fact_transfer, fact_market_value, fact_contract, star_counts, star_audit,
-        published_star, entity_files, dense_key, left_lookup, salted_lookup, first_per_key, latest_per_key, stub_members, daily_value,
+        published_star, published_rows, unread_dates, entity_files, seed_rows, parent_lines, missing_sources, dense_key, left_lookup, salted_lookup, first_per_key, latest_per_key, stub_members, daily_value,
         highest_value, collapse_lines, bridged_lines, role_lookup, date_table, season_dates, load_counts,
         audit_keys, audit_filled, audit_references, parse_money, parse_date, parse_numbers, info_box,
         normalize_url, direct_frontier, player_frontier, league_filter, league_codes, club_filter,
-        page_links, link_parents, page_parent, competition_rows, club_rows, squad_links, player_rows,
+        page_links, link_parents, page_parent, competition_rows, competition_pages, club_rows, squad_links, player_rows,
         appearance_rows, season_pages, injury_rows, transfer_rows, market_value_rows, crawl,
     )
 }
