@@ -1,5 +1,6 @@
 """Pages and payloads to entity rows."""
 
+import time
 from datetime import date
 
 import pytest
@@ -216,6 +217,68 @@ def test_pages_to_published_star(spark, site, seeds, tmp_path):
     assert (stats.date_id, stats.appearances, stats.goals) == (20250701, 30, 22)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_pages_count_once(spark, site, seeds, tmp_path):
+    old = spark.createDataFrame(
+        [(BASE + CLUB_HREF, "<h1>no squad yet</h1>", "2024-01-01"), (BASE + PLAYER_HREF, "<h1>Old</h1>", None)],
+        "url STRING, body STRING, fetched STRING",
+    )
+    fetched = site.withColumn("fetched", F.lit("2025-01-01"))
+    twice = fetched.unionByName(fetched).unionByName(old)
+    wanted = {name: df.count() for name, df in crawl.extract_entities(site, seeds, BASE).items()}
+    entities = crawl.extract_entities(twice, seeds, BASE)
+    assert {name: df.count() for name, df in entities.items()} == wanted
+    assert entities["players"].first().name != "Old"
+    crawl.run(spark, twice, seeds, BASE, str(tmp_path / "star"))  # no repeated link breaks the load
+    one = frontier.one_page_per_url(site.unionByName(site))  # without a fetch time: the least body
+    assert one.count() == site.count()
+    league = crawl.extract_entities(twice, seeds, BASE, league="GB1")
+    assert league["clubs"].count() == 2
+
+
+def test_hops_read_their_kind_and_features_only(site, seeds):
+    pages = crawl._Site(site, whole=True)
+    hops = {
+        "/wettbewerb/GB1": ("/wettbewerb/", crawl._HEADING), "/verein/281": ("/verein/", crawl._TABLES),
+        "/profil/spieler/418560": ("/profil/spieler/", crawl._PROFILE),
+        "/verletzungen/spieler/418560": ("/verletzungen/spieler/", crawl._TABLES),
+    }
+    for address, (path, features) in hops.items():
+        addresses = site.select("url").where(F.col("url").contains(address))
+        plan = plan_of(pages.pages_of(addresses, path, features))
+        assert "Contains(kind" in plan or "contains(kind" in plan.lower()
+        schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+        assert features[0] in schema and ("info_labels" in schema) == ("info_labels" in features)
+    assert not crawl.sure_path(site.select("url"), "/verein/")
+
+
+def test_a_crawl_without_seeds_starts_from_the_built_in_ones(site):
+    assert crawl.extract_entities(site, None, BASE)["competitions"].count() == 1
+
+
+@pytest.mark.parametrize("broken", [
+    "<a ", '<a b="x ', "<a '>\" ", '<a "<b \'>', "<!--", "<script>", "<", "<tbody><tr><td>", "<tbody></tbody><tr>", "<h1><i>",
+    "<td class='hauptlink'><a>",
+])
+def test_broken_pages_take_linear_time(broken):
+    start = time.perf_counter()
+    for box in ("", "<table class=items>"):
+        page_features_of(box + broken * (2_000_000 // len(broken)))
+    assert time.perf_counter() - start < 40
+
+
+def test_batches_are_bounded_whatever_the_session_says(spark, page):
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1g")
+    try:
+        with pytest.raises(ValueError, match="maxBytesPerBatch"):
+            page("<h1>x</h1>", "/a")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+
+
 def test_selections(spark, seeds):
     assert crawl.select_league(seeds, "ES1").count() == 1
     with pytest.raises(crawl.UnknownSelection, match="XYZ.*ES1, GB1"):
