@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import add_columns, list_array, texts_of, vocabulary
+from touchline.llm.common import SLICE_BYTES, add_columns, list_array, texts_of, vocabulary
 
 # Pieces that a worker remembers; beyond that it starts anew. Memory, not results, depends on it.
 CACHE_PIECES = 400_000
@@ -70,7 +70,8 @@ class RankQueue:
             if not self.groups[group]:
                 self.top &= self.top - 1
         parts = self.buckets.pop(rank)
-        return rank, np.unique(np.concatenate(parts)) if len(parts) > 1 else np.sort(parts[0])
+        at = np.sort(np.concatenate(parts) if len(parts) > 1 else parts[0])
+        return rank, at[np.flatnonzero(np.diff(at, prepend=-1))]
 
 
 class Merger:
@@ -168,7 +169,7 @@ class Merger:
             before[beyond[inner]] = at[inner]
             wanted[gone] = -1
             left = before[at]
-            enter(np.unique(np.concatenate([at, left[left >= 0]])), rank)
+            enter(np.concatenate([at, left[left >= 0]]), rank)
 
         keep = np.flatnonzero(alive)
         flat = token[keep].astype("<i4").tobytes()
@@ -283,14 +284,23 @@ def decode(df: DataFrame, rank_file: str, ids: str = "ids", decoded: str = "deco
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
         token = {rank: token for token, rank in read_ranks(raw.value).items()}
+        lengths = np.zeros(max(token) + 1, np.int64)
+        lengths[list(token)] = [len(one) for one in token.values()]
+        starts = np.cumsum(lengths) - lengths
+        table = np.frombuffer(b"".join(token[rank] for rank in sorted(token)), np.uint8)
 
         def compute(column: pa.Array) -> list[pa.Array]:
-            flat, rows, start = list(map(token.__getitem__, column.flatten().to_pylist())), [], 0
-            for length in pc.fill_null(pc.list_value_length(column), 0).to_pylist():
-                rows.append(b"".join(flat[start:start + length]))
-                start += length
-            return [pa.array(rows, pa.binary())]
+            numbers = column.flatten().to_numpy(zero_copy_only=False)
+            size = lengths[numbers]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            # Byte j of token i lies at starts[i] + j in the table.
+            at = np.repeat(starts[numbers] - ends[:-1], size) + np.arange(ends[-1])
+            rows = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+            offsets = ends[np.concatenate([[0], rows])].astype(np.int32)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(table[at])]
+            return [pa.Array.from_buffers(pa.binary(), len(column), buffers)]
 
         return compute
 
-    return add_columns(df.withColumn(ids, binary), ids, f"`{decoded}` binary", make)
+    # Places are counted byte by byte, so a slice needs some thirty times its size.
+    return add_columns(df.withColumn(ids, binary), ids, f"`{decoded}` binary", make, most=SLICE_BYTES // 4)

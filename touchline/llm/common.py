@@ -63,25 +63,26 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 
 def add_columns(
     df: DataFrame, column: str, schema: str, make: Callable[[], Callable[[pa.Array], Columns]],
-    keep: list[str] | None = None,
+    keep: list[str] | None = None, most: int = SLICE_BYTES,
 ) -> DataFrame:
     """Append the columns of `schema`, computed from `column` slice by slice in Python workers.
 
-    `make()` runs once per task and returns the function from an Arrow array to the new arrays.
+    A slice has about `most` bytes of the column. `make()` runs once per task and returns the function from an Arrow array to the new arrays.
     Columns of df pass through (those in `keep` only, if given); one that has the name of a new
-    column is replaced by it. Rows neither move nor change in number.
+    column, in any case, is replaced by it. Rows neither move nor change in number.
     """
     ship()
     fields = T._parse_datatype_string(schema).fields
     names = [field.name for field in fields]
-    kept = [name for name in (df.columns if keep is None else keep) if name not in names]
+    new = {name.lower() for name in names}
+    kept = [name for name in (df.columns if keep is None else keep) if name.lower() not in new]
     source = df.select(*[f"`{name}`" for name in dict.fromkeys([*kept, column])])
     out = T.StructType([*[source.schema[name] for name in kept], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, most):
                 columns = [part.column(name) for name in kept] + compute(part.column(column))
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, *names])
 
