@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.common import add_columns, texts_of, unused, vocabulary
+from touchline.llm.encoders import encoder_of
 from touchline.operators.keys import first_per_key
 
 CACHE_SCHEMA = "content BINARY, tokenizer BINARY, n_tokens BIGINT"
@@ -33,28 +34,15 @@ def read_cache(spark: SparkSession, folder: str) -> DataFrame:
         return spark.createDataFrame([], CACHE_SCHEMA)
 
 
-def _encoded(df: DataFrame, tokenizer: str, text: str) -> DataFrame:
-    """Add `n_tokens` of each text by the tokenizers library, with its defaults for a bare text."""
+def _encoded(df: DataFrame, tokenizer: str, pattern: str, text: str) -> DataFrame:
+    """Add `n_tokens` of each text as the tokenizers library counts them, with its defaults."""
     raw = vocabulary(df.sparkSession, tokenizer)
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_str(raw.value.decode())
-        encoder.no_truncation()
-        encoder.no_padding()
+        encode = encoder_of(raw.value, pattern)
 
         def compute(column: pa.Array) -> list[pa.Array]:
-            counts: list[int] = []
-            batch, size = [], 0
-            for one in texts_of(column):  # small batches: an encoding takes many times its text
-                batch.append(one)
-                size += len(one)
-                if size > 1 << 18:
-                    counts += map(len, encoder.encode_batch_fast(batch, add_special_tokens=False))
-                    batch, size = [], 0
-            counts += map(len, encoder.encode_batch_fast(batch, add_special_tokens=False))
-            return [pa.array(counts, pa.int64())]
+            return [pa.array([len(encode([one])[0]) for one in texts_of(column)], pa.int64())]
 
         return compute
 
@@ -62,11 +50,11 @@ def _encoded(df: DataFrame, tokenizer: str, text: str) -> DataFrame:
 
 
 def count_tokens(
-    df: DataFrame, tokenizer: str, cache: str, text: str = "text", n_tokens: str = "n_tokens"
+    df: DataFrame, tokenizer: str, pattern: str, cache: str, text: str = "text", n_tokens: str = "n_tokens"
 ) -> DataFrame:
     """Add `n_tokens`, the number of tokens of each whole text, and store the counts that `cache` lacks.
 
-    `tokenizer` is a tokenizer.json. The misses move once, by digest: map tasks send one row per
+    `tokenizer` is a tokenizer.json, `pattern` how a byte-level one splits texts. The misses move once, by digest: map tasks send one row per
     distinct text, so a text that fills a third of the table does not meet in one task.
     """
     spark = df.sparkSession
@@ -86,7 +74,7 @@ def count_tokens(
     known = stored().select("content")
     misses = texts.join(known, texts["_digest"] == known["content"], "left_anti")
     misses = first_per_key(misses, ["_digest"], [F.col("_digest")])
-    fresh = _encoded(misses, tokenizer, body).select(
+    fresh = _encoded(misses, tokenizer, pattern, body).select(
         F.col("_digest").alias("content"), F.lit(version).alias("tokenizer"), "n_tokens"
     )
     fresh.write.mode("append").parquet(cache)

@@ -14,7 +14,7 @@ rows are packed as often as they occur. An empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.common import ship, slices, texts_of, vocabulary
+from touchline.llm.encoders import encoder_of
 from touchline.sources.scratch import materialize
 
 # Remainders are cut at capacity/1 .. capacity/FINEST; what is shorter stays in one piece.
@@ -34,59 +35,6 @@ TASKS_PER_GROUP = 64
 # Sequence numbers: task (or group) above these bits, number within it below.
 _NUMBER_BITS = 32
 
-Encode = Callable[[list[str]], list[np.ndarray]]
-
-
-def byte_level_ids(raw: bytes) -> dict[bytes, int]:
-    """Token bytes -> id of a byte-level tokenizer.json without its special tokens.
-
-    Such a file writes each byte as a character: printable Latin-1 as itself, the other bytes, in
-    order, as the characters from U+0100 on.
-    """
-    import json
-
-    data = json.loads(raw)
-    special = {token["content"] for token in data["added_tokens"]}
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    other = [value for value in range(256) if value not in plain]
-    byte_of = {chr(value): value for value in plain}
-    byte_of |= {chr(0x100 + index): value for index, value in enumerate(other)}
-    return {
-        bytes(byte_of[c] for c in token): number
-        for token, number in data["model"]["vocab"].items() if token not in special
-    }
-
-
-def encoder_of(raw: bytes, pattern: str) -> Encode:
-    """A function from texts to ids for a byte-level tokenizer.json.
-
-    tiktoken gives the ids that the tokenizers library gives, special tokens in texts included, in a
-    third of its time; a text that its pattern engine refuses goes to tokenizers.
-    """
-    import json
-
-    import tiktoken
-    from tokenizers import Tokenizer
-
-    special = {token["content"]: token["id"] for token in json.loads(raw)["added_tokens"]}
-    fast = tiktoken.Encoding(
-        "pack", pat_str=pattern, mergeable_ranks=byte_level_ids(raw), special_tokens=special
-    )
-    slow = Tokenizer.from_str(raw.decode())
-    slow.no_truncation()
-    slow.no_padding()
-
-    def one(text: str) -> np.ndarray:
-        try:
-            return fast.encode_to_numpy(text, allowed_special="all")
-        except (KeyboardInterrupt, SystemExit):
-            raise
-        except BaseException:  # its pattern engine panics on runs of a million blanks
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    return lambda texts: [one(text) for text in texts]
-
-
 def cut(length: int, capacity: int) -> list[int]:
     """Lengths of the pieces of a document: whole sequences, class ends, and a short rest."""
     parts = [capacity] * (length // capacity)
@@ -154,7 +102,7 @@ def pack(
     """Pieces of all documents: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset),
     and with `with_ids` the token ids of each piece.
 
-    `tokenizer` is a byte-level tokenizer.json; each document ends with `end_id`. A sequence is all
+    `tokenizer` is a tokenizer.json (see `encoders`); each document ends with `end_id`. A sequence is all
     pieces of one sequence_id, gapless from offset 0, with at most `capacity` tokens. Texts are not
     moved; only the pieces of open bins are.
     """

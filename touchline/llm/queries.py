@@ -58,7 +58,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     sized = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
     counted = counts.count_tokens(
-        sized, public_tokenizers.path(PLAIN_TOKENIZER), scratch_folder(spark, "token-counts")
+        sized, public_tokenizers.path(PLAIN_TOKENIZER), public_tokenizers.PATTERN, scratch_folder(spark, "token-counts")
     )
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
