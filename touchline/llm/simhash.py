@@ -99,22 +99,23 @@ class Forest:
         self.label = np.arange(len(home))
 
     def meet(self, visitors: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Edges from visitors to one member of each component that they link to."""
+        """Links from visitors to one member of each component that they link to."""
         step = max(1, _BLOCK // max(1, len(self.home)))
         for start in range(0, len(visitors), step):
             block = visitors[start:start + step]
             close = np.bitwise_count(block[:, None] ^ self.home[None, :]) <= self.radius
             for row in np.flatnonzero(close.any(axis=1)).tolist():
-                roots = np.unique(self.label[close[row]])
-                for root in roots.tolist():
-                    if self.home[root] != block[row]:
-                        yield int(block[row]), int(self.home[root])
+                near = np.flatnonzero(close[row])
+                roots, first = np.unique(self.label[near], return_index=True)
+                for partner in near[first].tolist():
+                    if self.home[partner] != block[row]:
+                        yield int(block[row]), int(self.home[partner])
                 if len(roots) > 1:
                     self.label[np.isin(self.label, roots)] = roots[0]
 
 
 def links(distinct: DataFrame, radius: int = 3, column: str = "fingerprint") -> DataFrame:
-    """Edges (a, b) that connect exactly the fingerprints that links of at most `radius` bits connect.
+    """Pairs (a, b) of at most `radius` bits that connect all fingerprints which such pairs connect.
 
     `distinct` holds each fingerprint once. A fingerprint visits the tiles that can hold partners,
     in one direction of each tile pair; the number of visits has a fixed bound.
@@ -236,7 +237,7 @@ def near_duplicates(
         first.join(joined, "fingerprint", "left")
         .select("fingerprint", F.coalesce("component", "least").alias("component_id")), "components"
     )
-    marked = marked.select(*[f"`{name}`" for name in marked.columns if name != "component_id"])
+    marked = marked.select(*[f"`{name}`" for name in marked.columns if name.lower() != "component_id"])
     return marked.join(names, "fingerprint", "left")
 
 

@@ -59,7 +59,7 @@ def mark_revisits(
     revisits are written, so that Spark sees their size before it plans the join to the payloads.
     """
     raw = F.coalesce(F.col(f"`{payload}`").cast("binary"), F.lit(b""))
-    df = df.select(*[f"`{name}`" for name in df.columns if name not in (digest, size, refers_to)])
+    df = df.select(*[f"`{name}`" for name in df.columns if name.lower() not in (digest, size, refers_to)])
     df = df.withColumn(digest, base32_sha1(raw)).withColumn(size, F.octet_length(raw).cast("bigint"))
     rows = df.where(F.col(size) >= least_bytes).select(F.col(f"`{record_id}`").alias("id"), F.col(digest).alias("d"))
     least = rows.groupBy("d").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
