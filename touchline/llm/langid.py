@@ -13,7 +13,7 @@ is `und`. Rows with a null label are never learnt from. Ties go to the least lab
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import add_columns, texts_of
+from touchline.llm.common import add_columns, ship, slices, texts_of
 
 UNDETERMINED = "und"
 SLOTS = 1 << 15
@@ -174,26 +174,14 @@ def train(
         F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label"), F.col(f"`{key}`").alias("key")
     )
 
-    def make() -> Callable[[pa.Array], list[pa.Array]]:
-        table = letter_table()
-
-        def compute(column: pa.Array) -> list[pa.Array]:
-            # One row for a whole slice: how many of its texts have each slot.
-            df = np.zeros(SLOTS, np.int64)
-            texts = texts_of(column)
-            for text_ in texts:
-                df += ngram_counts(letters_of(text_, table)) > 0 if text_ else 0
-            packed = [df.astype("<i4").tobytes()] + [None] * (len(texts) - 1)
-            return [pa.array(packed, pa.binary())]
-
-        return compute
-
-    def slots_of(batches):
-        total, n = np.zeros(SLOTS, np.int64), 0
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, total, n = letter_table(), np.zeros(SLOTS, np.int64), 0
         for batch in batches:
-            for raw in batch.column(0):
-                if raw.is_valid:
-                    total += np.frombuffer(raw.as_py(), "<i4")
+            for part in slices(batch, "text"):
+                for one in texts_of(part.column("text")):
+                    letters = letters_of(one, table)
+                    if len(letters):
+                        total += ngram_counts(letters) > 0
             n += batch.num_rows
         filled = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -202,7 +190,8 @@ def train(
         )
 
     # Each task sends one row per slot, added up before and after the shuffle.
-    partial = add_columns(rows, "text", "df binary", make, keep=[]).mapInArrow(slots_of, "slot int, n bigint")
+    ship()
+    partial = rows.select("text").mapInArrow(frequencies, "slot int, n bigint")
     found = partial.groupBy("slot").agg(F.sum("n").alias("n")).collect()  # SLOTS + 1 rows at most
     df = np.zeros(SLOTS + 1)
     for row in found:
