@@ -31,6 +31,8 @@ SEED = 42
 QUARTERS = 4
 # Fingerprints that a task holds at a time; a larger tile is held in several chunks.
 CHUNK = 1 << 14
+# Edges that one task of a round of components writes.
+EDGES_PER_FILE = 100_000
 _SPAN = 17  # a quarter has 0 to 16 bits set
 _BLOCK = 1 << 21  # comparisons per numpy step
 
@@ -125,7 +127,7 @@ def links(distinct: DataFrame, radius: int = 3, column: str = "fingerprint") ->
     tiles = fps.withColumn("tile", _tile(F.col("fp")))
     # At most 17 ** 4 rows, whatever the input, of two integers.
     sizes = materialize(
-        tiles.groupBy("tile").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "tiles"
+        tiles.groupBy("tile").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")).coalesce(1), "tiles"
     )
     counts = [F.bit_count(F.shiftrightunsigned("fp", 16 * q).bitwiseAND(F.lit(0xFFFF).cast("bigint")))
               for q in range(QUARTERS)]
@@ -188,8 +190,10 @@ def components(edges: DataFrame) -> DataFrame:
     current = materialize(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
-    last = None
+    last, edges_left = None, current.count()
     while True:
+        # Rounds never have more edges than the one before; a few edges need no more than a few files.
+        files = max(1, -(-edges_left // EDGES_PER_FILE))
         # Each node's larger neighbours are pointed to the least of the node and its neighbours.
         both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -199,13 +203,13 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(smaller, "a").select(
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")
         )
-        current = materialize(small.where("a <> b").distinct(), "edges")
+        current = materialize(small.where("a <> b").distinct().coalesce(files), "edges")
         state = current.agg(
             F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")
         ).first()
         if state == last:
             break
-        last = state
+        last, edges_left = state, state.n
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
