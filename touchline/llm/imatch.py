@@ -47,9 +47,7 @@ def lexicon(df: DataFrame, text: str = "text", size: int = LEXICON, most_share:
     counted = materialize(seen.groupBy("term").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
     total, n = counted.agg(F.sum("df")).first()[0] or 0, df.count()
     least = max(2, -(-total // size))
-    return materialize(
-        counted.where((F.col("df") >= least) & (F.col("df") <= most_share * n)).select("term"), "lexicon"
-    )
+    return counted.where((F.col("df") >= least) & (F.col("df") <= most_share * n)).select("term")
 
 
 def fingerprint(kept: Column, whole: Column) -> Column:
@@ -116,16 +114,14 @@ def edit_likeness(df: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     docs = _keyed(df, doc_id, text)
     # Only keys and lengths are put in order; the documents get their neighbours by join.
     short = docs.select(*_KEY, F.length("body").alias("n")).distinct()
-    numbered = materialize(dense_key(short, _KEY, "no"), "order")
+    numbered = dense_key(short, _KEY, "no")  # read from a written table
     count = numbered.count()
     here = numbered.select(*_KEY, "no", "n")
     before = numbered.select(  # each document as the one before its next
         F.when(F.col("no") == count, 1).otherwise(F.col("no") + 1).alias("no"),
         *[F.col(name).alias(f"to_{name}") for name in _KEY], F.floor(F.col("n") / 2).cast("int").alias("borrowed"),
     )
-    plan = materialize(here.join(before, "no"), "neighbours")
-
-    placed = docs.join(plan, _KEY)
+    placed = docs.join(here.join(before, "no"), _KEY)
     lent = placed.select(
         *[F.col(f"to_{name}").alias(name) for name in _KEY], F.expr("substring(body, 1, borrowed)").alias("lent")
     )
@@ -148,7 +144,9 @@ def edit_likeness(df: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
 
     # The rows of a document are together since the join of the texts: its terms need no shuffle,
     # neither to meet the lexicon (at most `size` integers, sent to all) nor to be put together again.
-    pairs = terms.select(*_KEY, "no", "n", "sha", whole(0), whole(1), F.explode(F.concat(tagged(0), tagged(1))).alias("one"))
+    # The hashes of all terms come before the explode, or they would be taken anew for every term.
+    pairs = terms.select(*_KEY, "no", "n", "sha", whole(0), whole(1), F.concat(tagged(0), tagged(1)).alias("both"))
+    pairs = pairs.select(*_KEY, "no", "n", "sha", "all0", "all1", F.explode("both").alias("one"))
     pairs = pairs.select(*_KEY, "no", "n", "sha", "all0", "all1", "one.*")
     banded = pairs.join(F.broadcast(known.withColumn("known", F.lit(True))), "term", "left").where("known or term is null")
 
@@ -173,7 +171,7 @@ def edit_likeness(df: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
         likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
     )
     rows = docs.select(*_KEY)
-    out = rows.join(materialize(result, "likeness"), _KEY)
+    out = rows.join(result, _KEY)
     id_ = F.when(~F.col("no_id"), F.col("id")).alias(doc_id)
     return out.select(
         id_, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
