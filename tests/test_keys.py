@@ -132,3 +132,13 @@ def test_dense_keys_are_long_unless_asked(spark):
     df = spark.createDataFrame([("x",)], "k STRING")
     assert keys.dense_key(df, ["k"], "id", 2**31).first().id == 2**31 + 1
     assert dict(keys.dense_key(df, ["k"], "id", kind="int").dtypes)["id"] == "int"
+
+
+def test_collapse_takes_the_least_label_without_sorting_rows(spark):
+    from touchline.operators.collapse import collapse
+
+    rows = [(k % 5, k % 3, ["b", "a", None, "ab"][k % 4]) for k in range(60)] + [(9, None, None)]
+    df = spark.createDataFrame(rows, "k INT, v INT, label STRING")
+    got = collapse(df, ["k"], {"most": "v"}, {"least": "label"})
+    assert "SortAggregate" not in plan_of(got)
+    assert sorted(map(tuple, got.collect())) == [(k, "a", 2) for k in range(5)] + [(9, None, None)]

@@ -29,13 +29,19 @@ def hot_keys(df: DataFrame, *columns: str) -> DataFrame:
     of a column than there are partitions can be hot, and the table may be sent to every task. The
     columns are counted in one pass, combined before the shuffle. Values are compared as texts.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = [F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value")) for name in columns]
+    # One more entry a row, without column and value, counts the rows themselves.
+    nothing = F.lit(None).cast("string")
+    entries.append(F.struct(nothing.alias("column"), nothing.alias("value")))
     counted = df.select(F.inline(F.array(*entries))).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("n") * partitions / df.count()  # NULL counts among the rows, but joins nothing
-    hot = counted.where(F.col("value").isNotNull() & (share > 1))
-    return materialize(hot.select("column", "value", F.ceil(4 * share).cast("int").alias("ways")), "hot-keys")
+    counted = counted.where(F.col("column").isNull() | F.col("value").isNotNull())
+    # No more values than this can be hot, so these hold all of them.
+    top = materialize(counted.orderBy(F.desc("n")).limit(partitions * len(columns) + 1), "hot-keys")
+    total = top.where(F.col("column").isNull()).select("n").first()
+    share = F.col("n") * partitions / (total.n if total else 1)
+    hot = top.where(F.col("column").isNotNull() & (share > 1))
+    return hot.select("column", "value", F.ceil(4 * share).cast("int").alias("ways"))
 
 
 def lookup(

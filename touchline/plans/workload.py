@@ -655,6 +655,13 @@ def page_parent(spark, sf_dir):
     return found.select("parent_id", "page_id", "url")
 
 
+def _dealt(spark, sf_dir, name: str, key: str) -> DataFrame:
+    """The rows of a table, dealt over the shuffle partitions by key: each becomes a page of many times
+    its size, and a table of a few megabytes would be one task's."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, name).repartition(partitions, key)
+
+
 # --- extraction ---------------------------------------------------------------------------
 
 
@@ -694,7 +701,7 @@ def _link(href: Column, shown: Column) -> Column:
 
 def club_rows(spark, sf_dir):
     """One competition page per part, with two clubs and a row that is none."""
-    parts, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    parts, key = _dealt(spark, sf_dir, "part", "p_partkey"), F.col("p_partkey")
     body = _item_table(
         _text(
             "<tr><td>", _link(_text("https://site.example/club/", key, "?s=1"), F.col("p_name")),
@@ -709,7 +716,7 @@ def club_rows(spark, sf_dir):
 
 def squad_links(spark, sf_dir):
     """One squad page per part with three listings of two players; each player once, first club wins."""
-    parts, size = table(spark, sf_dir, "part"), F.col("p_size")
+    parts, size = _dealt(spark, sf_dir, "part", "p_partkey"), F.col("p_size")
     body = _text(
         _item_table(
             _text("<tr>", _link(_text("https://site.example/a/profil/spieler/", size, "#t"), F.lit("A"))),
@@ -727,7 +734,7 @@ def squad_links(spark, sf_dir):
 
 def player_rows(spark, sf_dir):
     """One profile page per customer."""
-    customers, nation = table(spark, sf_dir, "customer"), F.col("c_nationkey")
+    customers, nation = _dealt(spark, sf_dir, "customer", "c_custkey"), F.col("c_nationkey")
 
     def line(label: str, *value) -> Column:
         return _text(
@@ -754,7 +761,7 @@ def player_rows(spark, sf_dir):
 
 def _stats_pages(spark, sf_dir) -> DataFrame:
     """One stats page per order: a season choice and a table of two competitions."""
-    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    orders, key = _dealt(spark, sf_dir, "orders", "o_orderkey"), F.col("o_orderkey")
     year = F.year("o_orderdate")
     body = _text(
         '<select name="saison"><option value="">all<option value="', year, '" selected>x<option value="', year - 1,
@@ -784,7 +791,7 @@ def season_pages(spark, sf_dir):
 
 def injury_rows(spark, sf_dir):
     """One injuries page per order."""
-    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    orders, key = _dealt(spark, sf_dir, "orders", "o_orderkey"), F.col("o_orderkey")
     day = F.date_format(F.to_date("o_orderdate"), "MMM d, yyyy")
     body = _item_table(
         _row("25/26", F.col("o_orderpriority"), day, "-", _text(key, " days"), "1"),

@@ -41,6 +41,8 @@ _ENDS = {
 _TABLE_PARTS = {"td", "th", "tr", "table"} | _SECTIONS
 
 _TAG = re.compile(r"<(/?)([a-z][^\s/>]*)", re.IGNORECASE)
+# A tag without quotes behind its name, as most are.
+_PLAIN_TAG = re.compile(r"""<(/?)([a-z][^\s/>"']*)([^>"']*)>""", re.IGNORECASE)
 _RAW = re.compile(r"<(script|style)\b", re.IGNORECASE)
 _RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE) for tag in ("script", "style")}
 _QUOTE_OR_END = re.compile("[>\"']")
@@ -85,15 +87,24 @@ class _Markup:
         return self.html.find(">", start)
 
     def __iter__(self):
-        html, at = self.html, 0
+        html, at, last_end = self.html, 0, self.last_end
+        plain = _PLAIN_TAG.match
         while (at := html.find("<", at)) >= 0:
+            if at < last_end and (tag := plain(html, at)):
+                end, name, written = tag.groups()
+                name = name.lower()
+                if end or not name.startswith(("script", "style")):
+                    stop = tag.end()
+                    yield at, stop, None, end == "/", name, written
+                    at = stop
+                    continue
             if html.startswith("<!--", at):
                 stop = html.find("-->", at + 4)
                 stop = len(html) if stop < 0 else stop + 3
                 yield at, stop, None, False, None, ""
                 at = stop
                 continue
-            if at > self.last_end:  # no tag can end any more; only a comment can still begin
+            if at > last_end:  # no tag can end any more; only a comment can still begin
                 at = html.find("<!--", at)
                 if at < 0:
                     return
@@ -181,14 +192,19 @@ class _Page:
 
     def _innermost(self, tags):
         """The place of the innermost open element of some tags, -1 if none is open."""
-        return max((places[-1] for tag in tags if (places := self.open_at.get(tag))), default=-1)
+        found, open_at = -1, self.open_at
+        for tag in tags:
+            places = open_at.get(tag)
+            if places and places[-1] > found:
+                found = places[-1]
+        return found
 
     def _start(self, tag, written):
         stack, elements = self.open, self.elements
         if tag in _ENDS:
             ended, shields = _ENDS[tag]
             depth = self._innermost(ended)
-            if depth > self._innermost(shields - ended):
+            if depth >= 0 and depth > self._innermost(shields):
                 self._close(depth)
         element = _Element(tag, written, stack[-1] if stack else None, len(elements), len(self.texts))
         elements.append(element)
@@ -198,10 +214,13 @@ class _Page:
             stack.append(element)
 
     def _end(self, tag):
-        depth = self._innermost([tag])
-        # A stray end tag inside a cell must not close the table around it.
-        kept = {"table"} if tag in _TABLE_PARTS else _TABLE_PARTS
-        if depth > self._innermost(kept - {tag}):
+        places = self.open_at.get(tag)
+        if not places:
+            return
+        # A stray end tag inside a cell must not close the table around it. (The tag itself may be among
+        # those asked for: it lies no deeper than its own place.)
+        depth = places[-1]
+        if depth >= self._innermost(("table",) if tag in _TABLE_PARTS else _TABLE_PARTS):
             self._close(depth)
 
     def _close(self, depth):
