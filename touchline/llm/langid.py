@@ -209,8 +209,8 @@ def train(
                 letters = letters_of(text_, table)
                 found = ngram_counts(letters) if len(letters) else np.zeros(SLOTS, np.int64)
                 at = np.flatnonzero(found)
-                slots.append(at.astype("<i4").tobytes())
-                counts.append(found[at].astype("<i4").tobytes())
+                slots.append(at.astype("<u2").tobytes())
+                counts.append(found[at].astype("<u4").tobytes())
             return [pa.array(slots, pa.binary()), pa.array(counts, pa.binary())]
 
         return compute
@@ -225,10 +225,12 @@ def train(
         return None
     data = []
     for name, slots, counts in sample:
-        at = np.frombuffer(slots, "<i4")
+        at = np.frombuffer(slots, "<u2")
         dense = np.zeros(SLOTS, np.int64)
-        dense[at] = np.frombuffer(counts, "<i4")
-        data.append((*features_of(dense, idf), labels.index(name)))
+        dense[at] = np.frombuffer(counts, "<u4")
+        filled, values = features_of(dense, idf)
+        data.append((filled.astype(np.int32), values.astype(np.float32), labels.index(name)))
+    del sample
     back = [row for index, row in enumerate(data) if index % 5 == 4]
     weights, bias = fit_ftrl([row for index, row in enumerate(data) if index % 5 != 4], len(labels))
     temperature = 1.0
