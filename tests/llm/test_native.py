@@ -205,6 +205,34 @@ def test_a_hot_passage_is_left_once(spark):
     assert got[7] == (words("d7", 10), 3)  # the blank lines after it are part of the run
 
 
+def brute_gone(texts, run=50):
+    """The lines in any run of `run` words or more that occurs earlier, over all runs."""
+    seen, gone = set(), [set() for _ in texts]
+    for doc, text in enumerate(texts):
+        lines = text.split("\n")
+        for start in range(len(lines)):
+            for stop in range(start + 1, len(lines) + 1):
+                part = tuple(lines[start:stop])
+                if sum(max(1, len(line.split())) for line in part) >= run:
+                    if part in seen:
+                        gone[doc].update(range(start, stop))
+                    seen.add(part)
+    return gone
+
+
+def test_runs_whose_grams_stand_alone_before(spark):
+    line, rest = words("hot", 30), words("m", 25)
+    assert deduped(spark, [line, f"{line}\n{rest}", f"{line}\n{rest}"])[2] == ("", 2)
+    rnd, texts = random.Random(11), []
+    for at in range(250):  # blocks of few lines, so that their grams meet in many contexts
+        pool = [words(f"g{at}l{i}", rnd.choice((3, 9, 20, 26, 30, 48, 60))) for i in range(5)] + [""]
+        texts += ["\n".join(rnd.choices(pool, k=rnd.randint(1, 7))) for _ in range(5)]
+    got, gone = deduped(spark, texts), brute_gone(texts)
+    for at, text in enumerate(texts):
+        left = [line for place, line in enumerate(text.split("\n")) if place not in gone[at]]
+        assert got[at] == ("\n".join(left), len(gone[at]))
+
+
 def test_line_dedup_of_awkward_rows(awkward, none):
     out = linededup.dedup_lines(awkward)
     assert out.columns == awkward.columns

@@ -3,10 +3,12 @@
 Lines are hashed. A gram is the least number of lines from a line on that hold `gram` words (a line
 without words counts as one). Of all grams that start within `guarantee - gram` words from a line the
 one with the least hash is selected, so every run of lines with `guarantee` words has a selected gram
-inside it, and the same one in every document. Selected grams are joined to the first position (by
-document id, then place) that holds the same gram, extended over equal lines to the left and to the
-right (as far as `guarantee` words; beyond that the run has other selected grams), and where the run
-has `guarantee` words or more its later copy is deleted. First copies always stay.
+inside it, and the same one in every document. Around each selected gram that occurs twice, the runs are
+taken that hold `guarantee` words with the least number of lines: from each line before the gram on, and
+up to each line after it. They are joined to the first position (by document id, then place) of the same
+run, key and neighbouring lines alike, and the lines of its later copies are deleted. A line within any
+longer repeated run lies in such a run inside it, so all lines of all later copies go. First copies stay,
+but for lines that belong to a later copy of another run.
 
 Null text stays null. Rows that repeat an id and text are one document and all get its result; a null
 id comes after all others, and documents of one id are ordered by a hash of their text. Texts that lose
@@ -81,12 +83,44 @@ def _selected(lines: DataFrame, gram: int, run: int) -> DataFrame:
     return rows.where("key is not null and most = key").drop("least", "most", "at")
 
 
-def _equal_ahead(own: str, other: str) -> tuple[Column, Column]:
-    """How many lines outwards are equal, and their words."""
-    same = F.zip_with(own, other, lambda a, b: F.coalesce(a["hash"] == b["hash"], F.lit(False)))
-    n = F.when(F.array_contains(same, False), F.array_position(same, False).cast("int") - 1).otherwise(F.size(same))
-    words = F.aggregate(F.slice(F.col(own), F.lit(1), n), F.lit(0).cast("bigint"), lambda sum_, one: sum_ + one["words"])
-    return n, words
+def _reach(side: str) -> Column:
+    """The words of the first 0, 1, 2, ... lines outwards."""
+    return F.transform(
+        F.sequence(F.lit(0), F.size(side)),
+        lambda n: F.aggregate(F.slice(F.col(side), F.lit(1), n), F.lit(0).cast("bigint"), lambda sum_, one: sum_ + one["words"]),
+    )
+
+
+def _contexts(run: int) -> Column:
+    """(lines to the left, lines to the right) of the runs around a gram: from each line that begins
+    less than `run` words before it, and up to each that ends less than `run` words after it, the least
+    number of lines that make `run` words together with the gram."""
+    left, right = F.col("reach_left"), F.col("reach_right")
+
+    def ended(own: Column, other: Column) -> Column:
+        """For each number of lines on one side, the least number on the other; the size where all are too few."""
+        near = F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda n: F.get(own, n) < run)
+        return F.transform(near, lambda n: F.struct(
+            n.alias("own"), F.size(F.filter(other, lambda words: words < run - F.col("size") - F.get(own, n))).alias("other")
+        ))
+
+    ahead = F.transform(ended(left, right), lambda one: F.struct(one["own"].alias("l"), one["other"].alias("r")))
+    back = F.transform(ended(right, left), lambda one: F.struct(one["other"].alias("l"), one["own"].alias("r")))
+    return F.array_distinct(F.filter(F.concat(ahead, back), lambda one: (one["l"] < F.size(left)) & (one["r"] < F.size(right))))
+
+
+def _runs(grams: DataFrame, run: int) -> DataFrame:
+    """(document, from, to, key, context) of the runs of `run` words around the grams."""
+    rows = grams.withColumns({"reach_left": _reach("left"), "reach_right": _reach("right")})
+    rows = rows.select(*_DOC, "place", "n", "key", "left", "right", F.explode(_contexts(run)).alias("one")).select("*", "one.*")
+
+    def hashes(side: str, n: str) -> Column:
+        return F.transform(F.slice(F.col(side), F.lit(1), F.col(n)), lambda line: line["hash"])
+
+    return rows.select(
+        *_DOC, (F.col("place") - F.col("l")).alias("from"), (F.col("place") + F.col("n") - 1 + F.col("r")).alias("to"),
+        "key", F.xxhash64("l", "r", hashes("left", "l"), hashes("right", "r")).alias("context"),
+    )
 
 
 def repeated_lines(
@@ -96,18 +130,11 @@ def repeated_lines(
     chosen = materialize(_selected(_lines(df, doc_id, text), gram, run), "grams")
     # Most grams occur once: only their hashes move.
     twice = chosen.groupBy("key").count().where("count > 1").select("key")
-    shared = materialize(chosen.join(twice, "key", "left_semi"), "shared-grams")
-    place = F.struct(*_DOC, "place")
-    first = shared.groupBy("key").agg(
-        F.min(F.struct(place.alias("first"), F.col("left").alias("left0"), F.col("right").alias("right0"))).alias("f")
-    ).select("key", "f.*")
-    pairs = shared.join(first, "key").where(place != F.col("first"))
-    (n_left, w_left), (n_right, w_right) = _equal_ahead("left", "left0"), _equal_ahead("right", "right0")
-    runs = pairs.select(
-        *_DOC, (F.col("place") - n_left).alias("from"), (F.col("place") + F.col("n") - 1 + n_right).alias("to"),
-        (F.col("size") + w_left + w_right).alias("words"),
-    ).where(F.col("words") >= run)
-    gone = runs.select(*_DOC, F.explode(F.sequence("from", "to")).alias("place")).distinct()
+    runs = materialize(_runs(chosen.join(twice, "key", "left_semi"), run), "runs")
+    place = F.struct(*_DOC, "from")
+    first = runs.groupBy("key", "context").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+    later = runs.join(first.where("copies > 1"), ["key", "context"]).where(place != F.col("first"))
+    gone = later.select(*_DOC, F.explode(F.sequence("from", "to")).alias("place")).distinct()
     return gone.groupBy(*_DOC).agg(F.collect_list("place").alias("gone"))
 
 
