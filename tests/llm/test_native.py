@@ -127,6 +127,22 @@ def test_edit_likeness_of_awkward_rows(spark, awkward, none):
     assert alone.edited_sha256 == hashlib.sha256(b"one two" + b"one tw").hexdigest()
 
 
+def test_terms_outside_the_band_are_compared(spark):
+    def liked(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+        return [row.near_edited for row in sorted(imatch.edit_likeness(df).collect(), key=lambda row: row.doc_id)]
+
+    rnd = random.Random(3)
+    # A third are near copies, whose terms are too common; the others share terms of the band, that the edits bring in.
+    hot = [words("hot", 80) + f" one{at}" if at % 3 == 0 else
+           " ".join(f"w{rnd.randrange(4000)}" for _ in range(80)) for at in range(240)]
+    found = liked(hot)
+    ours, others = found[::3], found[1::3]  # both are followed by a text of the others
+    assert sum(one > 0 for one in ours) > 40  # 0 in all of them if only terms of the band count
+    assert sum(ours) / len(ours) > 0.5 * sum(others) / len(others) > 0
+    assert sum(liked([words(f"t{at}x", 80) for at in range(20)])) > 0.5  # too few documents for a band
+
+
 def test_lexicon_is_the_band(spark):
     # "every" is too common, "rare" occurs once; the others lie in the band.
     rows = [(at, f"every w{at % 7} w{at % 11} {'rare' if at == 3 else ''}") for at in range(100)]

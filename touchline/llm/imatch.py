@@ -7,8 +7,11 @@ that of the kept terms in the subset. The subsets keep a quarter to a 256th of t
 some of them survive a small edit of a long text and some a large edit of a short one. Two
 fingerprints are alike by the share of equal hashes among those that are filled in either.
 
-Terms are the lower-cased runs of letters and digits. A text without a lexicon term has the hash of all
-of its terms in every place; one without any term has empty places, as null and empty texts do.
+Terms are the lower-cased runs of letters and digits. Where a subset has no lexicon term of a text, the
+hash is that of all of its terms in the subset. So a text whose terms all lie outside the band (those of a
+large group of copies are too common, those of a small table too rare) is compared like any other, and so
+is its edited text, whose borrowed half may bring lexicon terms. Places without any term are empty, all of
+them in texts that have none, as in null and empty ones.
 Documents follow each other by id, null last, then by a hash of their text; rows that repeat an id and
 text are one document, and each gets its result. A single document follows itself.
 """
@@ -50,15 +53,15 @@ def lexicon(df: DataFrame, text: str = "text", size: int = LEXICON, most_share:
     return counted.where((F.col("df") >= least) & (F.col("df") <= most_share * n)).select("term")
 
 
-def fingerprint(kept: Column, whole: Column) -> Column:
-    """The hashes of the subsets over the sorted lexicon terms of a text, as an array; null where a
-    subset has none of them. A text without any has `whole` in every place."""
+def fingerprint(terms: Column) -> Column:
+    """The hashes of the subsets over the sorted terms of a text, as an array; null where a subset has
+    none of them."""
     words = F.struct(*[
-        F.transform(kept, lambda term: F.struct(term.alias("term"), F.xxhash64(term, F.lit(word)).alias("bits"))).alias(f"w{word}")
+        F.transform(terms, lambda term: F.struct(term.alias("term"), F.xxhash64(term, F.lit(word)).alias("bits"))).alias(f"w{word}")
         for word in sorted({word for word, _, _ in _fields()})  # the hashes whose bits say which subsets a term is in
     ])
     hashes = F.transform(F.array(words), lambda bound: F.array(*[_subset(bound[f"w{w}"], at, mask) for w, at, mask in _fields()]))
-    return F.when(F.size(kept) > 0, F.get(hashes, F.lit(0))).otherwise(F.array_repeat(whole, len(_fields())))
+    return F.get(hashes, F.lit(0))
 
 
 def _fields() -> list[tuple[int, int, int]]:
@@ -134,33 +137,41 @@ def edit_likeness(df: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     )
 
     def tagged(which: int) -> Column:
-        # The null keeps a text without terms in the table.
-        found = F.transform(F.col(f"t{which}"), lambda term: F.struct(F.lit(which).alias("which"), term.alias("term")))
-        return F.concat(found, F.array(F.struct(F.lit(which).alias("which"), F.lit(None).cast("bigint").alias("term"))))
-
-    def whole(which: int) -> Column:
-        ordered = F.sort_array(F.col(f"t{which}"))
-        return F.when(F.size(f"t{which}") > 0, F.xxhash64(ordered)).alias(f"all{which}")
+        # The one without a term keeps a text without terms in the table, and carries the hashes of all.
+        none = F.lit(None).cast("array<bigint>")
+        found = F.transform(
+            F.col(f"t{which}"), lambda term: F.struct(F.lit(which).alias("which"), term.alias("term"), none.alias("all"))
+        )
+        every = F.struct(
+            F.lit(which).alias("which"), F.lit(None).cast("bigint").alias("term"),
+            fingerprint(F.sort_array(F.col(f"t{which}"))).alias("all"),
+        )
+        return F.concat(found, F.array(every))
 
     # The rows of a document are together since the join of the texts: its terms need no shuffle,
     # neither to meet the lexicon (at most `size` integers, sent to all) nor to be put together again.
     # The hashes of all terms come before the explode, or they would be taken anew for every term.
-    pairs = terms.select(*_KEY, "no", "n", "sha", whole(0), whole(1), F.concat(tagged(0), tagged(1)).alias("both"))
-    pairs = pairs.select(*_KEY, "no", "n", "sha", "all0", "all1", F.explode("both").alias("one"))
-    pairs = pairs.select(*_KEY, "no", "n", "sha", "all0", "all1", "one.*")
+    pairs = terms.select(*_KEY, "no", "n", "sha", F.explode(F.concat(tagged(0), tagged(1))).alias("one"))
+    pairs = pairs.select(*_KEY, "no", "n", "sha", "one.*")
     banded = pairs.join(F.broadcast(known.withColumn("known", F.lit(True))), "term", "left").where("known or term is null")
 
     def kept(which: int) -> Column:
         return F.sort_array(F.collect_set(F.when((F.col("which") == which) & F.col("known"), F.col("term")))).alias(f"k{which}")
 
+    def whole(which: int) -> Column:
+        return F.first(F.when(F.col("which") == which, F.col("all")), ignorenulls=True).alias(f"all{which}")
+
+    def printed(which: int) -> Column:
+        own = F.zip_with(fingerprint(F.col(f"k{which}")), f"all{which}", lambda banded, every: F.coalesce(banded, every))
+        return as_text(own)
+
     # Rows that repeat an id and text become one here.
     marked = banded.groupBy(*_KEY).agg(
-        *[F.first(name).alias(name) for name in ("no", "n", "sha", "all0", "all1")], kept(0), kept(1)
+        *[F.first(name).alias(name) for name in ("no", "n", "sha")], whole(0), whole(1), kept(0), kept(1)
     )
     marked = materialize(marked.select(
         *_KEY, "no", "n", F.lower(F.hex("sha")).alias("edited_sha256"),
-        as_text(fingerprint(F.col("k0"), F.col("all0"))).alias("fingerprint"),
-        as_text(fingerprint(F.col("k1"), F.col("all1"))).alias("edited_fingerprint"),
+        printed(0).alias("fingerprint"), printed(1).alias("edited_fingerprint"),
     ), "fingerprints")
     following = marked.select(
         F.when(F.col("no") == 1, count).otherwise(F.col("no") - 1).alias("no"), F.col("fingerprint").alias("next")
