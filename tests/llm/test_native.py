@@ -63,6 +63,23 @@ def test_spans_equal_brute_force(spark, awkward):
         assert [(one.start, one.rank, one.stop, one.kind) for one in row.findings] == wanted
 
 
+def test_keys_behind_joints_are_found_whole(spark):
+    rnd, texts = random.Random(5), []
+    for digits in ("0123456789ABCDEF", "0123456789abcdef"):
+        for before in ("", "/", "k=", "id_", "KEY=", "DB_KEY=", "a/b-"):
+            for n in (20, 23, 32, 40, 64):
+                texts += [(before, "".join(rnd.choices(digits, k=n))) for _ in range(3)]
+    df = spark.createDataFrame([(at, f"see {a}{key} now", len(a) + 4, len(key)) for at, (a, key) in enumerate(texts)],
+                               "doc_id INT, text STRING, start INT, n INT")
+    cover = [
+        max((min(one.stop, row.start + row.n) - max(one.start, row.start) for one in row.findings), default=0) / row.n
+        for row in secrets.scan(df).collect()
+    ]
+    assert sum(one >= 0.9 for one in cover) >= 0.95 * len(cover)
+    number = spark.createDataFrame([("id_12345678901234567890987, a/31415926535897932384626",)], "text STRING")
+    assert secrets.scan(number).first().findings == []
+
+
 def test_scan_keeps_rows_and_clashing_columns(awkward, none):
     df = awkward.withColumnRenamed("start", "findings").withColumnRenamed("mark", "_assign")
     rows = secrets.scan(df)

@@ -3,8 +3,10 @@
 Base kinds are found by pattern. Beyond them, every candidate string (a run of characters of keys
 and encodings) is read through a sliding window: the counts of its characters change by the one that
 comes in and the one that goes out, and so does the sum that gives the window's Shannon entropy. A
-window is hot from a threshold on that depends on the candidate's character class. The span from the
-first hot window to the last is a finding unless the candidate is on the allow-list or the span lies
+window is hot from a threshold on that depends on the candidate's character class. Each part between
+joints is read in the same way by its own class, so that a name or path before a key does not hide it:
+those in hex always, others where no window of the whole is hot.
+The span from the first hot window to the last is a finding unless the candidate is on the allow-list or the span lies
 inside a base finding.
 
 Null and empty texts have no findings. Rows neither move nor change in number; repeated rows have
@@ -51,11 +53,13 @@ BASE = (
 ENTROPY = "entropy"
 WINDOW = 20
 CANDIDATE = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+JOINT, PART = "[+/_=-]", "[A-Za-z0-9]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+HEX = "^([0-9a-f]+|[0-9A-F]+)$"
 # Character classes, narrowest first, with the entropy (bits a character) from which a window is hot.
 CLASSES = (
     ("^[0-9]+$", None),  # plain numbers are no secrets
-    ("^([0-9a-f]+|[0-9A-F]+)$", 3.0),
+    (HEX, 3.0),
     ("^[A-Za-z]+$", 4.1),
     ("^[A-Za-z0-9]+$", 3.5),
     ("^.*$", 3.8),
@@ -150,8 +154,30 @@ def _suspicious(candidate: Column) -> Column:
     for pattern in ALLOW:
         allowed = allowed | candidate.rlike(pattern)
     none = F.struct(F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("stop"))
-    threshold = _threshold(candidate)
-    return F.when(~allowed & threshold.isNotNull(), hot_range(candidate, threshold)).otherwise(none)
+
+    def hot(string: Column) -> Column:
+        threshold = _threshold(string)
+        return F.when(threshold.isNotNull(), hot_range(string, threshold)).otherwise(none)
+
+    def moved(part: Column) -> Column:
+        return F.transform(F.array(hot(part["hit"])), lambda own: F.struct(
+            (part["start"] + own["start"]).alias("start"), (part["start"] + own["stop"]).alias("stop"),
+            part["hit"].rlike(HEX).alias("hex"),
+        ))
+
+    parts = F.flatten(F.transform(_located(candidate, PART), moved))
+    parts = F.when(candidate.rlike(JOINT), parts).otherwise(F.array().cast("array<struct<start:int,stop:int,hex:boolean>>"))
+
+    def joined(whole: Column) -> Column:
+        counted = F.filter(parts, lambda part: part["hex"] | whole["start"].isNull())
+        return F.concat(F.array(whole), F.transform(counted, lambda part: F.struct(part["start"], part["stop"])))
+
+    ranges = F.get(F.transform(F.array(hot(candidate)), joined), F.lit(0))
+    spanned = F.transform(F.array(ranges), lambda all_: F.struct(
+        F.array_min(F.transform(all_, lambda one: one["start"])).alias("start"),
+        F.array_max(F.transform(all_, lambda one: one["stop"])).alias("stop"),
+    ))
+    return F.when(~allowed, F.get(spanned, F.lit(0))).otherwise(none)
 
 
 def scan(df: DataFrame, text: str = "text", findings: str = "findings") -> DataFrame:
