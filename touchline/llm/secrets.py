@@ -228,22 +228,53 @@ def as_text(findings: Column) -> Column:
     )
 
 
+def _merged(spans: Column) -> Column:
+    """Spans (start, stop) in order, those that overlap as one."""
+    def step(so_far: Column, one: Column) -> Column:
+        last = F.get(so_far, F.size(so_far) - 1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], one["stop"]).alias("stop"))
+        return F.when(
+            one["start"] < last["stop"], F.concat(F.slice(so_far, F.lit(1), F.size(so_far) - 1), F.array(longer))
+        ).otherwise(F.concat(so_far, F.array(one)))
+
+    return F.aggregate(F.sort_array(spans), F.array().cast("array<struct<start:int,stop:int>>"), step)
+
+
 def redact(df: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
-    """Replace the secrets in the texts by `mask`, kind after kind; all other text stays as it is.
+    """Replace all findings of scan() in the texts by `mask`, overlapping ones by one; all other text stays.
 
-    Where a candidate holds a hot range, the whole candidate goes.
+    Where a candidate holds a hot range, the whole candidate goes. What is left is searched once more
+    for candidates, as a finding can have kept one on the allow-list.
     """
-    def replaced(body: Column, pattern: str, bad) -> Column:
-        hits, parts = F.regexp_extract_all(body, F.lit(pattern), F.lit(0)), F.split(body, pattern, -1)
-        pieces = F.zip_with(
-            parts, hits, lambda part, hit: F.concat(part, F.coalesce(F.when(bad(hit), F.lit(mask)).otherwise(hit), F.lit("")))
-        )
-        return F.when(body.rlike(pattern), F.array_join(pieces, "")).otherwise(body)
+    findings, spans = unused(df, "_findings"), unused(df, "_spans")
+    column = F.col(f"`{text}`")
+    df = scan(df, text, findings)
 
-    def bad_of(kind: Kind):
-        return lambda hit: _is_finding(kind, hit)
+    def span(one: Column) -> Column:
+        return F.struct(one["start"].alias("start"), one["stop"].alias("stop"))
 
-    column = F.col(f"`{text}`")
-    for kind in BASE:
-        df = df.withColumn(text, replaced(column, kind.pattern, bad_of(kind)))
-    return df.withColumn(text, replaced(column, CANDIDATE, lambda hit: _suspicious(hit)["start"].isNotNull()))
+    random = F.filter(F.col(findings), lambda one: one["kind"] == ENTROPY)
+    candidates = F.filter(
+        _located(column, CANDIDATE),
+        lambda whole: F.exists(random, lambda one: (one["start"] >= whole["start"]) & (one["stop"] <= whole["stop"])),
+    )
+    candidates = F.when(F.size(random) > 0, candidates).otherwise(F.lit(None))
+    known = F.transform(F.filter(F.col(findings), lambda one: one["kind"] != ENTROPY), span)
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    df = df.withColumn(spans, _merged(F.concat(known, F.coalesce(F.transform(candidates, span), none))))
+
+    def after(at: Column) -> Column:
+        return F.coalesce(F.get(F.col(spans), at)["stop"], F.lit(0))
+
+    pieces = F.transform(
+        F.col(spans), lambda one, at: F.concat(column.substr(after(at - 1) + 1, one["start"] - after(at - 1)), F.lit(mask))
+    )
+    rest = column.substr(after(F.size(spans) - 1) + 1, F.length(column))
+    df = df.withColumn(text, F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(column))
+    df = df.drop(findings, spans)
+
+    hits, parts = F.regexp_extract_all(column, F.lit(CANDIDATE), F.lit(0)), F.split(column, CANDIDATE, -1)
+    pieces = F.zip_with(parts, hits, lambda part, hit: F.concat(
+        part, F.coalesce(F.when(_suspicious(hit)["start"].isNotNull(), F.lit(mask)).otherwise(hit), F.lit(""))
+    ))
+    return df.withColumn(text, F.when(column.rlike(CANDIDATE), F.array_join(pieces, "")).otherwise(column))
