@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, counts, imatch, langid, linededup, packing, quality, secrets, simhash, warc
+from touchline.llm import (
+    bpe, counts, imatch, langid, linededup, packing, quality, secrets, simhash, spelling, toxicity, trie, warc,
+)
 from touchline.sources.scratch import scratch_folder
 
 # Vocabulary files of public tokenizers, by name in their folder.
@@ -19,6 +21,10 @@ TOKEN_LIMIT = 512
 CAPACITY = 2048
 END_ID = 1
 SHINGLE, RADIUS = 3, 3
+TOXIC_FROM = 0.3
+# Of every SPOIL words one, by hash, loses a letter; conversations begin with turns of another one.
+SPOIL = 199
+CONVERSATIONS, START_TURNS = 5, 9
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +125,35 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(docs, removed="n_removed").select("doc_id", "text", "n_removed")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from the labels of documents that are not held out, score all."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels.where(~langid.held_out("doc_id")))
+    scored = toxicity.predict(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie over all rebuilt conversations."""
+    found = trie.turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    rebuilt = trie.sequences(found, trie.shared_starts(CONVERSATIONS, START_TURNS), CONVERSATIONS, START_TURNS)
+    return trie.prefix_nodes(rebuilt)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.group_variants(spelling.count_words(_documents(spark, sf_dir), spoil=SPOIL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_byte_bpe, op2_language_id, op3_quality, op4_token_counts, op5_secrets, op6_imatch, op7_warc, op8_simhash,
-        op9_packing, op10_line_dedup,
+        op9_packing, op10_line_dedup, op11_toxicity, op12_prefix_trie, op13_spelling,
     )
 }
 
@@ -134,7 +164,99 @@ _DIGIT = """substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
     16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
     + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT, 1)"""
 
+def _crc32(values: str) -> str:
+    """The CRC-32 of a list of bytes."""
+    byte = "list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b))"
+    return f"xor(list_reduce({values}, lambda c, b: {byte}, 4294967295::BIGINT), 4294967295)"
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_prefix_trie": f"""
+        WITH turns AS (
+            SELECT conv_id, md5(coalesce(role, '') || ' ' || coalesce(text, '')) AS turn,
+                   strlen(coalesce(text, '')) AS size,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (
+            SELECT DISTINCT conv_id, list_transform(range(1, len(conv_id::VARCHAR) + 1),
+                   lambda i: ord(substr(conv_id::VARCHAR, i, 1))::BIGINT) AS digits FROM turns),
+        starts AS (SELECT conv_id, {_crc32("digits")} % {START_TURNS} AS h FROM ids),
+        rebuilt AS (
+            SELECT s.conv_id, t.place, t.turn, t.size FROM starts s JOIN turns t
+              ON t.conv_id = s.conv_id - s.conv_id % {CONVERSATIONS} AND t.place < s.h
+            UNION ALL
+            SELECT s.conv_id, t.place, t.turn, t.size FROM starts s JOIN turns t
+              ON t.conv_id = s.conv_id AND t.place >= s.h),
+        paths AS (
+            SELECT s.conv_id, coalesce(list(r.turn ORDER BY r.place) FILTER (r.turn IS NOT NULL), []) AS path,
+                   coalesce(list(r.size ORDER BY r.place) FILTER (r.turn IS NOT NULL), []) AS sizes
+            FROM starts s LEFT JOIN rebuilt r ON r.conv_id = s.conv_id GROUP BY s.conv_id),
+        steps AS (
+            SELECT conv_id, unnest(range(0, len(path) + 1)) AS depth, path, sizes FROM paths),
+        nodes AS (
+            SELECT array_to_string(path[1:depth], ' ') AS node, depth, min(conv_id) AS conv_id, count(*) AS n,
+                   any_value(CASE WHEN depth > 0 THEN sizes[depth] ELSE 0 END) AS size,
+                   any_value(path[1:depth]) AS path,
+                   string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth) AS ends
+            FROM steps GROUP BY ALL),
+        links AS (
+            SELECT *, array_to_string(path[1:depth - 1], ' ') AS above FROM nodes WHERE depth > 0),
+        children AS (SELECT above, depth - 1 AS depth, count(*) AS n_children FROM links GROUP BY ALL),
+        own AS (
+            SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n
+            LEFT JOIN children c ON c.above = n.node AND c.depth = n.depth),
+        spread AS (
+            SELECT path, unnest(range(0, depth + 1)) AS depth, (n_children = 0)::INT AS leaf, (n - 1) * size AS saved
+            FROM own),
+        sums AS (
+            SELECT array_to_string(path[1:depth], ' ') AS node, depth, sum(leaf) AS leaves, sum(saved) AS saved
+            FROM spread GROUP BY ALL)
+        SELECT o.conv_id::BIGINT AS conv_id, o.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id,
+               o.n::BIGINT AS n_convs, o.n_children::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves,
+               s.saved::BIGINT AS saved_tokens, sha256(coalesce(o.ends, '')) AS ends_sha256
+        FROM own o JOIN sums s ON s.node = o.node AND s.depth = o.depth
+        LEFT JOIN links l ON l.node = o.node AND l.depth = o.depth
+        LEFT JOIN nodes p ON p.node = l.above AND p.depth = l.depth - 1""",
+    "op13_spelling": f"""
+        WITH RECURSIVE runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') || ':' AS doc, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+            FROM documents),
+        low AS (
+            SELECT doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM runs GROUP BY ALL),
+        codes AS (
+            SELECT *, list_transform(range(1, len(doc || run) + 1), lambda i: unicode(substr(doc || run, i, 1))) AS code
+            FROM low WHERE len(run) >= {spelling.LEAST_LETTERS}),
+        hashed AS (
+            SELECT run, n, {_crc32("flatten(list_transform(code, lambda c: CASE WHEN c < 128 THEN [c::BIGINT] ELSE [(192 + (c >> 6))::BIGINT, (128 + (c & 63))::BIGINT] END))")} AS h
+            FROM codes),
+        spoilt AS (
+            SELECT CASE WHEN h % {SPOIL} = 0 THEN substr(run, 1, (h % len(run))::INT) || substr(run, (h % len(run))::INT + 2)
+                   ELSE run END AS word, n FROM hashed),
+        words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM spoilt WHERE len(word) >= {spelling.LEAST_LETTERS}
+            GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+        places AS (SELECT word, n, unnest(range(0, len(word))) AS i FROM words),
+        masked AS (
+            SELECT word, n, substr(word, 1, i) || '*' || substr(word, i + 2) AS mask,
+                   substr(word, 1, i) || substr(word, i + 2) AS less FROM places),
+        shorter AS (SELECT DISTINCT m.word AS a, m.n AS n_a, w.word AS b, w.n AS n_b FROM masked m JOIN words w ON w.word = m.less),
+        near AS (
+            SELECT l.word, r.word AS near, r.n FROM masked l JOIN masked r ON l.mask = r.mask AND l.word <> r.word
+            UNION ALL SELECT a, b, n_b FROM shorter UNION ALL SELECT b, a, n_a FROM shorter),
+        ranked AS (
+            SELECT *, count(*) OVER (PARTITION BY word) AS n_near,
+                   row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS rank FROM near),
+        forms AS (
+            SELECT w.word, w.n, coalesce(r.n_near, 0)::BIGINT AS n_near,
+                   CASE WHEN r.n >= {spelling.RATIO} * w.n THEN r.near END AS form,
+                   CASE WHEN r.n >= {spelling.RATIO} * w.n THEN r.n END AS form_n
+            FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.rank = 1),
+        follow AS (
+            SELECT word, word AS root FROM forms
+            UNION ALL SELECT f.word, o.form FROM follow f JOIN forms o ON o.word = f.root WHERE o.form IS NOT NULL)
+        SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM forms f
+        JOIN follow t ON t.word = f.word JOIN forms e ON e.word = t.root WHERE e.form IS NULL""",
     "op7_warc": f"""
         WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
         digests AS (
