@@ -158,6 +158,46 @@ def test_archives_are_read_back_whole(spark, split):
             assert (row.record_type, row.refers_to, row.n_bytes) == ("revisit", str(first[body or ""]), 0)
 
 
+@pytest.mark.parametrize("split, n", [("128m", 200_000), ("300k", 60_000), ("700b", 60)])
+def test_no_record_is_lost_whatever_payloads_end_in(spark, split, n):
+    """Payloads that end in parts of the separator, at all lengths: a reader's buffer ends within some."""
+    ends = F.array(*[F.lit(end) for end in ("\r\n", "\r\n\r\n", "\r", "\n\r\n", "\r\n\r\nWARC/1.", "WARC/1", "")])
+    body = F.concat(F.repeat(F.lit("x"), (F.col("id") % 61).cast("int")), F.col("id").cast("string"), F.get(ends, (F.col("id") % 7).cast("int")))
+    df = spark.range(n).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), body.alias("html")).coalesce(1)
+    folder = scratch_folder(spark, "warc-test")
+    warc.write_warc(df, folder, "page_id", "url", "html")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = warc.read_warc(spark, folder)
+        want = df.select(F.col("page_id").cast("string").alias("record_id"), warc.base32_sha1(F.col("html").cast("binary")).alias("digest"))
+        got = found.select("record_id", "digest")
+        assert got.count() == n and want.exceptAll(got).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_broken_archive_is_no_short_one(spark, tmp_path):
+    """A file cut short, one with a wrong length, one that does not begin with a record."""
+    def record(text, length=None):
+        return f"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {len(text) if length is None else length}\r\n\r\n{text}\r\n\r\n"
+
+    sound = record("one") + record("two\r\n")
+    (tmp_path / "sound").mkdir()
+    (tmp_path / "sound" / "a.warc").write_bytes(sound.encode())
+    assert warc.read_warc(spark, str(tmp_path / "sound")).count() == 2
+    for name, text, whole in (
+        ("cut", sound[:-6], 1), ("short", record("one") + record("three", 2) + record("x"), 2), ("head", "x" + sound, 0),
+    ):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.warc").write_bytes(text.encode())
+        with pytest.raises(warc.BrokenArchive):
+            warc.read_warc(spark, str(folder))
+        assert warc.read_warc(spark, str(folder), broken="skip").count() == whole
+
+
 def test_small_payloads_may_all_be_responses(spark):
     df = spark.createDataFrame([(1, "tiny"), (2, "tiny"), (3, "a larger body"), (4, "a larger body")], "page_id INT, html STRING")
     marked = {row.page_id: row.refers_to for row in warc.mark_revisits(df, "page_id", "html", least_bytes=5).collect()}

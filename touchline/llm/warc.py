@@ -4,12 +4,14 @@ Writing: one record per row, through Spark's text sink, so any file system works
 payloads (of a given least size) the one with the least id is a response, the others are revisits
 of it without a block.
 
-Reading: files are read in splits. Whatever follows the record separator and the magic is only a
+Reading: files are read in splits, cut at the magic, no part of which recurs inside it, so that no cut is
+missed whatever stands before. What follows the record separator and the magic is only a
 candidate, since payloads may hold both. A task emits each candidate with the offset of its successor
 (its start + header + Content-Length + separator), and where the chain from it leaves the split.
 Pointer jumping over these exits, from the start of each file, finds the candidates at which the true
 chain enters each split; only candidates on the chain from there are records. A record whose payload
-holds the separator is put together again, over the end of a split too.
+holds the magic is put together again, over the end of a split too. A chain that does not end where its
+file ends raises BrokenArchive, unless the records before the break are asked for.
 
 Null payload is empty. Null ids are written as empty and read as null; among equal payloads a null id
 is never the least, and if all are null all are responses. Rows that repeat an id and payload are
@@ -36,12 +38,16 @@ from touchline.sources.scratch import materialize
 MAGIC = "WARC/1."
 LINE = "\r\n"
 SEPARATOR = LINE + LINE
-BOUNDARY = SEPARATOR + MAGIC
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _HEX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
+class BrokenArchive(ValueError):
+    """A file whose records do not follow each other up to its end."""
+
+
 def base32_sha1(data: Column) -> Column:
     """The SHA-1 of bytes in upper-case base32: four groups of 40 bits, 8 digits each."""
     digits = F.sha1(data)
@@ -94,7 +100,7 @@ def write_warc(
         line("WARC-Target-URI", F.translate(F.coalesce(F.col(f"`{uri}`").cast("string"), F.lit("")), LINE, "  ")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         line("WARC-Payload-Length", F.col("payload_bytes").cast("string")),
-        F.when(revisit, line("WARC-Refers-To", urn("refers_to"))).otherwise(""),
+        F.when(revisit, F.concat(line("WARC-Refers-To", urn("refers_to")), line("WARC-Profile", F.lit(PROFILE)))).otherwise(""),
         line("Content-Type", F.lit("text/html")),
         line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("payload_bytes").cast("string"))),
         F.lit(LINE),
@@ -143,12 +149,17 @@ class _Open:
 
 @dataclass
 class _Split:
-    """The pieces of one split, in order; offsets count from the split's first piece."""
+    """The pieces of one split, in order; offsets count from the split's first piece.
+
+    What stands before the first piece of a later split is not seen here: it counts as a separator, and
+    the chain decides.
+    """
 
     file: str
     block: int
     at: int = 0
     pieces: int = 0
+    separated: bool = True
     chain: list[tuple[int, int]] = field(default_factory=list)
     open: list[_Open] = field(default_factory=list)
 
@@ -158,13 +169,11 @@ class _Split:
 
     def take(self, piece: bytes, keep: bool) -> Iterator[dict]:
         """Rows of the records that this piece completes."""
-        if self.pieces == 0 and self.block == 0:
-            start = len(MAGIC) if piece.startswith(MAGIC.encode()) else None
-            head = piece[len(MAGIC):] if start else b""
-        else:
-            start, head = self.at, piece
+        # The first piece of a file stands before the first magic.
+        start = None if self.pieces == 0 and self.block == 0 else self.at
+        separated, self.separated = self.separated, piece.endswith(SEPARATOR.encode()) or start is None
         if self.open:
-            more, still = BOUNDARY.encode() + piece, []
+            more, still = MAGIC.encode() + piece, []
             for one in self.open:
                 one.parts.append(more[: one.missing])
                 one.missing -= len(one.parts[-1])
@@ -174,16 +183,16 @@ class _Split:
                     yield self._finish(one.row, b"".join(one.parts), keep)
             self.open = still
         self.pieces += 1
-        self.at += len(piece) + len(BOUNDARY)
-        found = parse_header(head) if start is not None else None
+        self.at += len(piece) + len(MAGIC)
+        found = parse_header(piece) if start is not None and separated else None
         if found is None:
             return
         headers, skip, length = found
-        successor = start + skip + length + len(BOUNDARY)
+        successor = start + skip + length + len(SEPARATOR) + len(MAGIC)
         self.chain.append((start, successor))
         row = {"kind": RECORD, "file": self.file, "block": self.block, "at": start, "successor": successor}
         row |= {name: headers.get(key, b"").decode("utf-8", "replace") for name, key in _FIELDS.items()}
-        content = head[skip: skip + length]
+        content = piece[skip: skip + length]
         if len(content) < length:
             self.open.append(_Open(row, [content], length - len(content)))
         else:
@@ -205,8 +214,8 @@ class _Split:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """What stands between boundaries, in file order within each split."""
-    return spark.read.option("lineSep", BOUNDARY).text(path).select(
+    """What stands between one magic and the next, in file order within each split."""
+    return spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("value").cast("binary").alias("piece"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
@@ -241,7 +250,7 @@ def _scan(spark: SparkSession, path: str, keep: bool) -> DataFrame:
 
 
 def _entries(scan: DataFrame, splits: DataFrame) -> DataFrame:
-    """(file, place): the absolute offsets at which the true chain enters splits."""
+    """(file, place): the absolute offsets at which the true chain enters splits, its end included."""
     exits = scan.where(F.col("kind") == EXIT).join(splits, ["file", "block"]).select(
         "file", (F.col("base") + F.col("at")).alias("place"), (F.col("base") + F.col("successor")).alias("next")
     )
@@ -251,24 +260,27 @@ def _entries(scan: DataFrame, splits: DataFrame) -> DataFrame:
     jump = materialize(exits.join(possible, ["file", "place"], "left_semi"), "exits")
     longest = splits.groupBy("file").count().agg(F.max("count")).first()[0] or 1
     hops = 1
-    while hops < longest:  # after each round, twice as many splits lie behind one jump
+    while hops <= longest:  # after each round, twice as many splits lie behind one jump
         reached = reached.unionByName(
             reached.join(jump, ["file", "place"]).select("file", F.col("next").alias("place"))
         ).distinct()
         reached = materialize(reached, "reached")
         again = jump.select("file", F.col("place").alias("next"), F.col("next").alias("far"))
         hops *= 2
-        if hops < longest:
+        if hops <= longest:
             jump = materialize(jump.join(again, ["file", "next"]).select("file", "place", F.col("far").alias("next")), "exits")
     return reached
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payload: bool = False, broken: str = "raise") -> DataFrame:
     """The records of a folder of uncompressed archives: (file, offset, record_type, record_id, date,
     uri, refers_to, header_digest, header_length, n_bytes, digest), and `payload` if asked for.
 
-    `n_bytes` and `digest` are those of the block as read.
+    `n_bytes` and `digest` are those of the block as read. A file that is cut short or broken raises
+    BrokenArchive; with `broken="skip"` its records up to the break are read.
     """
+    if broken not in ("raise", "skip"):
+        raise ValueError(f"broken is 'raise' or 'skip', not {broken!r}")
     ship()
     scan = materialize(_scan(spark, path, payload), "warc-scan")
     totals = scan.where(F.col("kind") == TOTAL).select("file", "block", F.col("at").alias("size"))
@@ -279,7 +291,14 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
     )
     # The split that an entry lies in: the last one of its file that starts no later.
     place = splits.select("file", "block", "base", (F.col("base") + F.col("size")).alias("stop"))
-    entries = _entries(scan, splits).join(place, "file").where("place >= base and place < stop").select(
+    reached = _entries(scan, splits)
+    if broken == "raise":
+        ends = splits.groupBy("file").agg(F.max(F.col("base") + F.col("size")).alias("place"))
+        lost = ends.join(reached, ["file", "place"], "left_anti")
+        first, n = lost.agg(F.min("file"), F.count("*")).first()
+        if n:
+            raise BrokenArchive(f"{n} file(s) whose records do not reach the end, {first} first")
+    entries = reached.join(place, "file").where("place >= base and place < stop").select(
         "file", "block", (F.col("place") - F.col("base")).alias("at")
     )
     chain = scan.where(F.col("kind") == RECORD).select("file", "block", "at", "successor")
@@ -336,19 +355,19 @@ def _complete(spark: SparkSession, path: str, found: DataFrame, splits: DataFram
                 if where != place:
                     place, at = where, 0
                 starts.append(at)
-                at += len(piece) + len(BOUNDARY)
+                at += len(piece) + len(MAGIC)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array(starts, pa.int64()), batch.column(0)],
                 ["file", "block", "piece_at", "piece"],
             )
 
-    boundary = F.lit(BOUNDARY.encode())
+    magic = F.lit(MAGIC.encode())
     pieces = _pieces(spark, path).mapInArrow(run, "file string, block bigint, piece_at bigint, piece binary")
     pieces = pieces.join(splits.select("file", "block", "base"), ["file", "block"]).select(
-        "file", (F.col("base") + F.col("piece_at") - len(BOUNDARY)).alias("start"),
-        F.concat(boundary, F.col("piece")).alias("bytes"),
+        "file", (F.col("base") + F.col("piece_at") - len(MAGIC)).alias("start"),
+        F.concat(magic, F.col("piece")).alias("bytes"),
     )
-    gap = F.col("base") + F.col("size") - len(BOUNDARY)  # the boundary after the split's last piece
+    gap = F.col("base") + F.col("size") - len(MAGIC)  # the magic after the split's last piece
     wanted = cut.select("file", "block", "at", gap.alias("first"), (gap + F.col("missing")).alias("stop"))
     inside = F.substring(F.col("bytes"), F.lit(1), (F.col("stop") - F.col("start")).cast("int"))
     rest = (
