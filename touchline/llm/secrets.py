@@ -7,15 +7,18 @@ window is hot from a threshold on that depends on the candidate's character clas
 joints is read in the same way by its own class, so that a name or path before a key does not hide it:
 those in hex always, others where no window of the whole is hot.
 The span from the first hot window to the last is a finding unless the candidate is on the allow-list or the span lies
-inside a base finding.
+inside a base finding. A word of the allow-list in one part does not hide a key in another.
 
-Null and empty texts have no findings. Rows neither move nor change in number; repeated rows have
-equal results. Offsets count code points, the end is exclusive.
+Null and empty texts have no findings, an empty table none at all. Rows neither move nor change in
+number; repeated rows have equal results, and a column that has the name of the result is replaced. The
+cost is in proportion to the text and its matches, however long it is. Offsets count code points, the
+end is exclusive.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -64,33 +67,69 @@ CLASSES = (
     ("^[A-Za-z0-9]+$", 3.5),
     ("^.*$", 3.8),
 )
-# Candidates that look random but are not: identifiers, alphabets, placeholders, words with joints.
-ALLOW = (
+# Candidates that look random but are not: as a whole identifiers and words with joints; alphabets and
+# placeholders wherever they stand, in a whole candidate or in a part between joints, which they allow.
+ALLOW_WHOLE = (
     "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
+    "^[-+/_=]*([A-Za-z]+[-+/_=]+)+[A-Za-z]*$",
+)
+ALLOW_WORDS = (
     "(?i)abcdefghij|0123456789|qwertyuiop",
     "(?i)example|placeholder|changeme|dummy|redacted",
-    "^[-+/_=]*([A-Za-z]+[-+/_=]+)+[A-Za-z]*$",
 )
+# Values that are folded together at a time.
+PART_OF = 256
 MASK = "[secret]"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value taken once however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _before(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of integers, the fold (from 0) of all before it.
+
+    An array that grows by one at each step is copied each time; so the values are folded in parts of
+    PART_OF, then the parts: the cost stays in proportion to the values.
+    """
+    zero = F.lit(0)
+
+    def running(own: Column, start: Column) -> Column:
+        begin = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(own, begin, lambda state, value: F.struct(
+            fold(state["at"], value).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out")
+        ))["out"]
+
+    def cut(all_: Column) -> Column:
+        places = F.sequence(zero, F.floor((F.size(all_) - 1) / PART_OF).cast("int"))
+        return F.transform(places, lambda place: F.slice(all_, place * PART_OF + 1, F.lit(PART_OF)))
+
+    def joined(parts: Column) -> Column:
+        starts = running(F.transform(parts, lambda part: F.aggregate(part, zero, fold)), zero)
+        return F.flatten(F.zip_with(parts, starts, running))
+
+    return _bound(values, lambda all_: F.when(F.size(all_) > 0, _bound(cut(all_), joined)).otherwise(
+        F.array().cast("array<int>")
+    ))
+
+
 def _located(text: Column, pattern: str) -> Column:
     """All leftmost matches as an array of (start, stop, hit). Texts without a match cost one search."""
     hits, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    steps = F.zip_with(
+    sizes = F.zip_with(
         F.slice(parts, 1, F.size(hits)), hits,
         lambda part, hit: F.struct(F.length(part).alias("gap"), F.length(hit).alias("size"), hit.alias("hit")),
     )
     none = F.array().cast("array<struct<start:int,stop:int,hit:string>>")
 
-    def step(so_far: Column, one: Column) -> Column:
-        start = so_far["at"] + one["gap"]
-        stop = start + one["size"]
-        span = F.struct(start.alias("start"), stop.alias("stop"), one["hit"].alias("hit"))
-        return F.struct(stop.alias("at"), F.concat(so_far["spans"], F.array(span)).alias("spans"))
+    def placed(all_: Column) -> Column:
+        starts = _before(F.transform(all_, lambda one: one["gap"] + one["size"]), lambda at, step: at + step)
+        return F.zip_with(all_, starts, lambda one, at: F.struct(
+            (at + one["gap"]).alias("start"), (at + one["gap"] + one["size"]).alias("stop"), one["hit"].alias("hit")
+        ))
 
-    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.when(text.rlike(pattern), F.aggregate(steps, begin, step)["spans"]).otherwise(none)
+    return F.when(text.rlike(pattern), _bound(sizes, placed)).otherwise(none)
 
 
 def _is_finding(kind: Kind, hit: Column) -> Column:
@@ -148,16 +187,21 @@ def hot_range(candidate: Column, threshold: Column) -> Column:
     )
 
 
+def _allowed(string: Column, patterns: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for pattern in patterns:
+        found = found | string.rlike(pattern)
+    return found
+
+
 def _suspicious(candidate: Column) -> Column:
     """The hot range of a candidate that is not allowed; nulls otherwise."""
-    allowed = F.lit(False)
-    for pattern in ALLOW:
-        allowed = allowed | candidate.rlike(pattern)
     none = F.struct(F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("stop"))
 
     def hot(string: Column) -> Column:
         threshold = _threshold(string)
-        return F.when(threshold.isNotNull(), hot_range(string, threshold)).otherwise(none)
+        judged = threshold.isNotNull() & ~_allowed(string, ALLOW_WORDS)
+        return F.when(judged, hot_range(string, threshold)).otherwise(none)
 
     def moved(part: Column) -> Column:
         return F.transform(F.array(hot(part["hit"])), lambda own: F.struct(
@@ -172,52 +216,61 @@ def _suspicious(candidate: Column) -> Column:
         counted = F.filter(parts, lambda part: part["hex"] | whole["start"].isNull())
         return F.concat(F.array(whole), F.transform(counted, lambda part: F.struct(part["start"], part["stop"])))
 
-    ranges = F.get(F.transform(F.array(hot(candidate)), joined), F.lit(0))
-    spanned = F.transform(F.array(ranges), lambda all_: F.struct(
+    ranges = _bound(hot(candidate), joined)
+    spanned = _bound(ranges, lambda all_: F.struct(
         F.array_min(F.transform(all_, lambda one: one["start"])).alias("start"),
         F.array_max(F.transform(all_, lambda one: one["stop"])).alias("stop"),
     ))
-    return F.when(~allowed, F.get(spanned, F.lit(0))).otherwise(none)
+    return F.when(~_allowed(candidate, ALLOW_WHOLE), spanned).otherwise(none)
 
 
-def scan(df: DataFrame, text: str = "text", findings: str = "findings") -> DataFrame:
-    """Add `findings`, an array of (start, rank, stop, kind) by start, then kind in the order given.
+def _found(whole: Column) -> Column:
+    """All findings as an array of (start, rank, stop, kind, first, last), by start, then kind; first to
+    last is what is to be masked: the span, or the candidate that a hot range lies in.
 
-    `rank` is the place of the kind: the base kinds in their order, then entropy.
+    What lies inside a base finding is known by the greatest end of those that start no later.
     """
-    df = df.select(*[f"`{name}`" for name in df.columns if name.lower() != findings.lower()])
-    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    raw = [unused(df, f"_{kind.name}") for kind in BASE]
-    candidates, base = unused(df, "_candidates"), unused(df, "_base")
+    def of_kind(rank: int, kind: Kind) -> Column:
+        found = F.filter(_located(whole, kind.pattern), lambda span: _is_finding(kind, span["hit"]))
+        return F.transform(found, lambda span: F.struct(
+            span["start"].alias("start"), F.lit(rank).alias("rank"), span["stop"].alias("stop"),
+            F.lit(kind.name).alias("kind"), span["start"].alias("first"), span["stop"].alias("last"),
+        ))
 
-    def ranked(rank: int, name: str, start: Column, stop: Column) -> Column:
-        return F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"), F.lit(name).alias("kind")
-        )
+    def moved(span: Column) -> Column:
+        return _bound(_suspicious(span["hit"]), lambda hot: F.struct(
+            (span["start"] + hot["start"]).alias("start"), F.lit(len(BASE)).alias("rank"),
+            (span["start"] + hot["stop"]).alias("stop"), F.lit(ENTROPY).alias("kind"),
+            span["start"].alias("first"), span["stop"].alias("last"),
+        ))
 
-    out = df.withColumns(
-        {column: _located(whole, kind.pattern) for column, kind in zip(raw, BASE)}
-        | {candidates: _located(whole, CANDIDATE)}
-    )
+    random = F.filter(F.transform(_located(whole, CANDIDATE), moved), lambda span: span["start"].isNotNull())
+    by_kind = [of_kind(rank, kind) for rank, kind in enumerate(BASE)]
 
-    def of_kind(rank: int, column: str, kind: Kind) -> Column:
-        found = F.filter(F.col(column), lambda span: _is_finding(kind, span["hit"]))
-        return F.transform(found, lambda span: ranked(rank, kind.name, span["start"], span["stop"]))
+    def new(all_: Column) -> Column:
+        ends = _before(
+            F.transform(all_, lambda one: F.when(one["rank"] < len(BASE), one["stop"]).otherwise(0)),
+            lambda most, stop: F.greatest(most, stop),
+        )
+        kept = F.filter(
+            F.zip_with(all_, ends, lambda one, end: F.struct(one.alias("one"), ((one["rank"] < len(BASE)) | (end < one["stop"])).alias("new"))),
+            lambda pair: pair["new"],
+        )
+        return F.transform(kept, lambda pair: pair["one"])
 
-    by_kind = [of_kind(rank, column, kind) for rank, (column, kind) in enumerate(zip(raw, BASE))]
-    out = out.withColumn(base, F.concat(*by_kind))
+    return _bound(F.sort_array(F.concat(*by_kind, random)), new)
 
-    def moved(span: Column) -> Column:
-        hot = _suspicious(span["hit"])
-        return F.struct((span["start"] + hot["start"]).alias("start"), (span["start"] + hot["stop"]).alias("stop"))
 
-    hot = F.filter(F.transform(F.col(candidates), moved), lambda span: span["start"].isNotNull())
-    new = F.filter(
-        hot,
-        lambda span: ~F.exists(F.col(base), lambda known: (known["start"] <= span["start"]) & (known["stop"] >= span["stop"])),
-    )
-    new = F.transform(new, lambda span: ranked(len(BASE), ENTROPY, span["start"], span["stop"]))
-    return out.withColumn(findings, F.sort_array(F.concat(F.col(base), new))).drop(*raw, candidates, base)
+def scan(df: DataFrame, text: str = "text", findings: str = "findings") -> DataFrame:
+    """Add `findings`, an array of (start, rank, stop, kind) by start, then kind in the order given.
+
+    `rank` is the place of the kind: the base kinds in their order, then entropy.
+    """
+    df = df.select(*[f"`{name}`" for name in df.columns if name.lower() != findings.lower()])
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    return df.withColumn(findings, F.transform(_found(whole), lambda one: F.struct(*[
+        one[name].alias(name) for name in ("start", "rank", "stop", "kind")
+    ])))
 
 
 def as_text(findings: Column) -> Column:
@@ -228,50 +281,48 @@ def as_text(findings: Column) -> Column:
     )
 
 
-def _merged(spans: Column) -> Column:
-    """Spans (start, stop) in order, those that overlap as one."""
-    def step(so_far: Column, one: Column) -> Column:
-        last = F.get(so_far, F.size(so_far) - 1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], one["stop"]).alias("stop"))
-        return F.when(
-            one["start"] < last["stop"], F.concat(F.slice(so_far, F.lit(1), F.size(so_far) - 1), F.array(longer))
-        ).otherwise(F.concat(so_far, F.array(one)))
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """The text with its spans (first, last), by first, replaced: those that overlap by one mask.
 
-    return F.aggregate(F.sort_array(spans), F.array().cast("array<struct<start:int,stop:int>>"), step)
+    Characters have four bytes each while they are cut out, so that a place is found without reading all
+    before it. Each cut-out is read behind a byte order mark, which goes, so that its own would stay.
+    """
+    mark = b"\x00\x00\xfe\xff"
+
+    def cut(raw: Column) -> Column:
+        def part(start: Column, stop: Column) -> Column:
+            size = F.greatest(stop - start, F.lit(0))
+            return F.decode(F.concat(F.lit(mark), F.substring(raw, start * 4 + 1, size * 4)), "UTF-32")
+
+        def pieces(all_: Column) -> Column:
+            ends = _before(F.transform(all_, lambda one: one["last"]), lambda most, last: F.greatest(most, last))
+
+            def piece(one: Column, end: Column) -> Column:
+                # A span that begins inside those before it goes on with their mask.
+                return F.when(one["first"] < end, F.lit("")).otherwise(F.concat(part(end, one["first"]), F.lit(mask)))
+
+            rest = part(F.array_max(F.transform(all_, lambda one: one["last"])), (F.octet_length(raw) / 4).cast("int"))
+            return F.concat(F.array_join(F.zip_with(all_, ends, piece), ""), rest)
+
+        return _bound(spans, pieces)
+
+    return _bound(F.encode(text, "UTF-32"), cut)
 
 
 def redact(df: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
     """Replace all findings of scan() in the texts by `mask`, overlapping ones by one; all other text stays.
 
     Where a candidate holds a hot range, the whole candidate goes. What is left is searched once more
-    for candidates, as a finding can have kept one on the allow-list.
+    for candidates, as a finding can have kept one on the allow-list. Bytes that are no UTF-8 become
+    U+FFFD in a text that holds a secret; null stays null.
     """
-    findings, spans = unused(df, "_findings"), unused(df, "_spans")
+    found = unused(df, "_found")
     column = F.col(f"`{text}`")
-    df = scan(df, text, findings)
-
-    def span(one: Column) -> Column:
-        return F.struct(one["start"].alias("start"), one["stop"].alias("stop"))
-
-    random = F.filter(F.col(findings), lambda one: one["kind"] == ENTROPY)
-    candidates = F.filter(
-        _located(column, CANDIDATE),
-        lambda whole: F.exists(random, lambda one: (one["start"] >= whole["start"]) & (one["stop"] <= whole["stop"])),
-    )
-    candidates = F.when(F.size(random) > 0, candidates).otherwise(F.lit(None))
-    known = F.transform(F.filter(F.col(findings), lambda one: one["kind"] != ENTROPY), span)
-    none = F.array().cast("array<struct<start:int,stop:int>>")
-    df = df.withColumn(spans, _merged(F.concat(known, F.coalesce(F.transform(candidates, span), none))))
-
-    def after(at: Column) -> Column:
-        return F.coalesce(F.get(F.col(spans), at)["stop"], F.lit(0))
-
-    pieces = F.transform(
-        F.col(spans), lambda one, at: F.concat(column.substr(after(at - 1) + 1, one["start"] - after(at - 1)), F.lit(mask))
-    )
-    rest = column.substr(after(F.size(spans) - 1) + 1, F.length(column))
-    df = df.withColumn(text, F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(column))
-    df = df.drop(findings, spans)
+    df = df.withColumn(found, _found(F.make_valid_utf8(F.coalesce(column.cast("string"), F.lit("")))))
+    masked = _masked(F.make_valid_utf8(column), F.sort_array(F.transform(
+        F.col(found), lambda one: F.struct(one["first"].alias("first"), one["last"].alias("last"))
+    )), mask)
+    df = df.withColumn(text, F.when(F.size(found) > 0, masked).otherwise(column)).drop(found)
 
     hits, parts = F.regexp_extract_all(column, F.lit(CANDIDATE), F.lit(0)), F.split(column, CANDIDATE, -1)
     pieces = F.zip_with(parts, hits, lambda part, hit: F.concat(
