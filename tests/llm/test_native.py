@@ -8,6 +8,7 @@ import time
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from touchline.llm import imatch, linededup, secrets
@@ -175,10 +176,7 @@ def test_edit_likeness(documents):
         assert row.edited_sha256 == hashlib.sha256(new[doc].encode()).hexdigest()
         assert by_text.setdefault(docs[doc], row.fingerprint) == row.fingerprint
         assert by_edit.setdefault(new[doc], row.edited_fingerprint) == row.edited_fingerprint
-        pairs = [
-            (a, b) for a, b in zip(row.fingerprint.split("."), following.fingerprint.split(".")) if (a, b) != ("-", "-")
-        ]
-        same = 1.0 if row.fingerprint == following.fingerprint else sum(a == b for a, b in pairs) / max(1, len(pairs))
+        same = brute_likeness(row.fingerprint, following.fingerprint)
         assert row.near_next == pytest.approx(same) and 0 <= row.near_edited <= 1
     assert len({row.fingerprint for row in rows.values()}) > 0.9 * len(by_text)
     shorter = [row for row in rows.values() if row.n_chars > 500]
@@ -229,6 +227,75 @@ def test_lexicon_is_the_band(spark):
     assert imatch.lexicon(df, size=5, most_share=0.5).count() <= 5
 
 
+def brute_print(text, lexicon):
+    """The fingerprint of a text from its definition, with the hash function of the xxhash library."""
+    def of_long(value, seed):
+        return xxhash.xxh64_intdigest(int(value).to_bytes(8, "little", signed=True), seed & (2 ** 64 - 1))
+
+    def signed(value):
+        return value - 2 ** 64 if value >> 63 else value
+
+    terms = {signed(xxhash.xxh64_intdigest(word.encode(), 42)) for word in re.findall(r"[^\W_]+", text.lower())}
+    own = terms & lexicon if len(terms & lexicon) >= imatch.FEW else set()
+    return "/".join(".".join(brute_places(sorted(some), of_long)) for some in (own, terms))
+
+
+def brute_places(own, of_long):
+    out, word, at = [], 1, 0
+    for count, bits in imatch.SUBSETS:
+        for _ in range(count):
+            if at + bits > 64:
+                word, at = word + 1, 0
+            inside = []
+            for term in own:
+                mixed = xxhash.xxh64_intdigest(word.to_bytes(4, "little"), of_long(term, 42))
+                if not mixed >> at & ((1 << bits) - 1):
+                    inside.append(term)
+            at += bits
+            value = 42
+            for term in inside:
+                value = of_long(term, value)
+            out.append(f"{value:016x}"[:8] if inside else "-")
+    return out
+
+
+def brute_likeness(a, b):
+    """Of two fingerprint texts."""
+    banded, every = zip(*[one.split("/") for one in (a, b)])
+    parts = banded if all(set(one) - set("-.") for one in banded) else every
+    pairs = [pair for pair in zip(*[one.split(".") for one in parts]) if pair != ("-", "-")]
+    return 1.0 if a == b else sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+
+
+def test_fingerprints_equal_those_by_definition(spark, documents):
+    """Lexicon, subsets, fallback, edited text and likeness, all from the texts."""
+    docs = documents.where("length(text) < 4000").limit(60).unionByName(
+        spark.createDataFrame([(9001, "few terms"), (9002, None), (9003, "only rare wordlings qzx here")], "doc_id BIGINT, text STRING"),
+        allowMissingColumns=True,
+    ).select("doc_id", "text")
+    docs = spark.createDataFrame(docs.collect(), docs.schema).repartition(3)
+    texts = {row.doc_id: row.text or "" for row in docs.collect()}
+    size, counts = 1 << 18, Counter()
+    for text in texts.values():
+        counts.update({word for word in re.findall(r"[^\W_]+", text.lower())})
+    twice = {word: n for word, n in counts.items() if n > 1}
+    least = max(2, -(-sum(twice.values()) // size))
+    band = {word for word, n in twice.items() if least <= n <= imatch.MOST_SHARE * len(texts)}
+    assert band
+    known = {xxhash.xxh64_intdigest(word.encode(), 42) for word in band}
+    known = {value - 2 ** 64 if value >> 63 else value for value in known}
+    assert {row.term for row in imatch.lexicon(docs, size=size).collect()} == known
+    order = sorted(texts)
+    new = dict(zip(order, edited([texts[doc] for doc in order])))
+
+    for row in imatch.edit_likeness(docs, size=size).collect():
+        assert row.fingerprint == brute_print(texts[row.doc_id], known)
+        assert row.edited_fingerprint == brute_print(new[row.doc_id], known)
+        following = texts[order[(order.index(row.doc_id) + 1) % len(order)]]
+        assert row.near_edited == pytest.approx(brute_likeness(row.fingerprint, row.edited_fingerprint))
+        assert row.near_next == pytest.approx(brute_likeness(row.fingerprint, brute_print(following, known)))
+
+
 def test_fingerprint_stage_uses_no_python(documents):
     plan = plan_of(imatch.edit_likeness(documents))
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
@@ -295,8 +362,9 @@ def test_a_hot_passage_is_left_once(spark):
 
 
 def brute_gone(texts, run=50):
-    """The lines in any run of `run` words or more that occurs earlier, over all runs."""
-    seen, gone = set(), [set() for _ in texts]
+    """The lines in any run of `run` words or more that occurs earlier, over all runs; where a copy overlaps
+    the first one, that one's lines stay."""
+    seen, gone = {}, [set() for _ in texts]
     for doc, text in enumerate(texts):
         lines = text.split("\n")
         for start in range(len(lines)):
@@ -304,8 +372,10 @@ def brute_gone(texts, run=50):
                 part = tuple(lines[start:stop])
                 if sum(max(1, len(line.split())) for line in part) >= run:
                     if part in seen:
-                        gone[doc].update(range(start, stop))
-                    seen.add(part)
+                        first, end = seen[part]
+                        gone[doc].update(range(max(start, end) if first == doc else start, stop))
+                    else:
+                        seen[part] = doc, stop
     return gone
 
 
@@ -322,6 +392,32 @@ def test_runs_whose_grams_stand_alone_before(spark):
         assert got[at] == ("\n".join(left), len(gone[at]))
 
 
+def test_a_periodic_text_keeps_its_first_run(spark):
+    a, b = words("a", 10), words("b", 10)
+    texts = ["\n".join([a] * 100), "\n".join([a, b] * 40), "\n".join(["x", *[b] * 60]), "\n".join([a] * 7)]
+    got, gone = deduped(spark, texts), brute_gone(texts)
+    assert got[0] == ("\n".join([a] * 5), 95) and got[1] == ("\n".join([a, b, a, b, a]), 75)
+    assert got[2][0] == "\n".join(["x", *[b] * 5]) and got[3] == ("", 7)
+    assert [row[1] for row in got.values()] == [len(lines) for lines in gone]
+
+
+@pytest.mark.parametrize("kind", ["string", "decimal(20,0)", "date", "binary"])
+def test_ids_of_any_type(spark, kind):
+    passage = words("p", 60)
+    ids = ["2024-01-01", "2024-01-02", None, "2024-01-02"] if kind == "date" else ["3", "11", None, "11"]
+    texts = [f"one\n{passage}", f"two\n{passage}", passage, f"two\n{passage}"]
+    df = spark.createDataFrame(list(zip(ids, texts)), "id STRING, text STRING").selectExpr(f"cast(id as {kind}) as doc_id", "text")
+    first = "11" if kind in ("string", "binary") else ids[0]  # texts are ordered as texts
+    out = linededup.dedup_lines(df)
+    assert out.schema == df.schema
+    kept = out.where(F.instr("text", passage) > 0).select(F.col("doc_id").cast("string")).collect()
+    assert {row.doc_id for row in kept} == {first} and out.count() == 4
+    marks = imatch.edit_likeness(df)
+    assert dict(marks.dtypes)["doc_id"] == kind and marks.count() == 4
+    same = marks.where(F.col("doc_id").cast("string") == ids[1])
+    assert same.count() == 2 and same.distinct().count() == 1
+
+
 def test_line_dedup_of_awkward_rows(awkward, none):
     out = linededup.dedup_lines(awkward)
     assert out.columns == awkward.columns

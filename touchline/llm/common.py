@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts handed to one step of a Python worker at a time; a longer text makes a step of its own.
@@ -95,6 +96,13 @@ def list_array(values: pa.Array, lengths) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
+def filled(df: DataFrame, name: str) -> Column:
+    """A column with a value of its own type in place of null, to be told apart by a flag beside it."""
+    kind = df.schema[name].dataType
+    none = {T.StringType(): "", T.BinaryType(): b"", T.DateType(): "1970-01-01", T.BooleanType(): False}.get(kind, 0)
+    return F.coalesce(F.col(f"`{name}`"), F.lit(none).cast(kind))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df does not have yet."""
     taken = {column.lower() for column in df.columns}

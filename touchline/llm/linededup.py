@@ -8,20 +8,26 @@ taken that hold `guarantee` words with the least number of lines: from each line
 up to each line after it. They are joined to the first position (by document id, then place) of the same
 run, key and neighbouring lines alike, and the lines of its later copies are deleted. A line within any
 longer repeated run lies in such a run inside it, so all lines of all later copies go. First copies stay,
-but for lines that belong to a later copy of another run.
-
-Null text stays null. Rows that repeat an id and text are one document and all get its result; a null
-id comes after all others, and documents of one id are ordered by a hash of their text. Texts that lose
-all lines become empty. Lines are compared by 64-bit hashes.
+but for lines that belong to a later copy of another run: where a later copy overlaps the first one, as
+in a text that repeats a line over and over, the lines of the first stay.
+
+Null text stays null. Ids may be of any type. Rows that repeat an id and text are one document and all
+get its result; a null id comes after all others, and documents of one id are ordered by a hash of their
+text. Texts that lose all lines become empty. Lines are compared by 64-bit hashes. Texts are taken
+whole, however long; a task sorts the lines of a document and holds as many as a run has words. An empty
+table gives an empty one. Other columns stay, and one with the name of the new column is replaced.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchline.llm.common import unused
+from touchline.llm.common import filled, unused
 from touchline.sources.scratch import materialize
 
 GRAM_WORDS = 25
@@ -30,11 +36,10 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _DOC = ["no_id", "id", "mark"]
 
 
-def _keys(doc_id: str, text: str) -> list[Column]:
-    """A document's key: its id (0 with a flag if null) and a hash of its text. Ids keep their type."""
-    id_ = F.col(f"`{doc_id}`")
+def _keys(df: DataFrame, doc_id: str, text: str) -> list[Column]:
+    """A document's key: its id (with a flag if null) and a hash of its text. Ids keep their type."""
     return [
-        id_.isNull().alias("no_id"), F.coalesce(id_, F.lit(0)).alias("id"),
+        F.col(f"`{doc_id}`").isNull().alias("no_id"), filled(df, doc_id).alias("id"),
         F.xxhash64(F.col(f"`{text}`")).alias("mark"),
     ]
 
@@ -42,7 +47,7 @@ def _keys(doc_id: str, text: str) -> list[Column]:
 def _lines(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(document, place, hash, words, words before) of every line; a document's lines lie together."""
     body = F.col(f"`{text}`")
-    rows = df.where(body.isNotNull()).select(*_keys(doc_id, text), F.posexplode(F.split(body, "\n", -1)).alias("place", "line"))
+    rows = df.where(body.isNotNull()).select(*_keys(df, doc_id, text), F.posexplode(F.split(body, "\n", -1)).alias("place", "line"))
     rows = rows.select(
         *_DOC, "place", F.xxhash64("line").alias("hash"),
         F.greatest(F.lit(1), F.regexp_count("line", F.lit(_WORD))).cast("bigint").alias("words"),
@@ -131,10 +136,14 @@ def repeated_lines(
     # Most grams occur once: only their hashes move.
     twice = chosen.groupBy("key").count().where("count > 1").select("key")
     runs = materialize(_runs(chosen.join(twice, "key", "left_semi"), run), "runs")
-    place = F.struct(*_DOC, "from")
+    place = F.struct(*_DOC, "from", "to")
     first = runs.groupBy("key", "context").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     later = runs.join(first.where("copies > 1"), ["key", "context"]).where(place != F.col("first"))
-    gone = later.select(*_DOC, F.explode(F.sequence("from", "to")).alias("place")).distinct()
+    # A copy that begins within the first one, in the same document, leaves that one's lines.
+    inside = reduce(and_, [F.col(name) == F.col(f"first.{name}") for name in _DOC])
+    start = F.when(inside, F.greatest(F.col("from"), F.col("first.to") + 1)).otherwise(F.col("from"))
+    gone = later.withColumn("from", start).where(F.col("from") <= F.col("to"))
+    gone = gone.select(*_DOC, F.explode(F.sequence("from", "to")).alias("place")).distinct()
     return gone.groupBy(*_DOC).agg(F.collect_list("place").alias("gone"))
 
 
@@ -153,7 +162,7 @@ def dedup_lines(
         df = df.select(*[f"`{name}`" for name in df.columns if name.lower() != removed.lower()])
     gone = gone.toDF(*names)
     match = F.lit(True)
-    for key, name in zip(_keys(doc_id, text), names):
+    for key, name in zip(_keys(df, doc_id, text), names):
         match = match & (key == F.col(name))
     out = df.join(gone.hint("merge"), match, "left")
     places, body = F.col(names[-1]), F.col(f"`{text}`")
