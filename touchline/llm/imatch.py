@@ -7,13 +7,15 @@ that of the kept terms in the subset. The subsets keep a quarter to a 256th of t
 some of them survive a small edit of a long text and some a large edit of a short one. Two
 fingerprints are alike by the share of equal hashes among those that are filled in either.
 
-Terms are the lower-cased runs of letters and digits. Where a subset has no lexicon term of a text, the
-hash is that of all of its terms in the subset. So a text whose terms all lie outside the band (those of a
-large group of copies are too common, those of a small table too rare) is compared like any other, and so
-is its edited text, whose borrowed half may bring lexicon terms. Places without any term are empty, all of
-them in texts that have none, as in null and empty ones.
+Terms are the lower-cased runs of letters and digits. A text with fewer than FEW lexicon terms is too
+poor in them (those of a large group of copies are too common, those of a small table too rare): its
+places are empty, and it is compared by a second part of the fingerprint, the hashes of all terms of a
+text in each subset. Two texts that both have their lexicon terms are compared by these alone. Places
+without any term are empty, all of them in texts that have no term, as null and empty ones.
 Documents follow each other by id, null last, then by a hash of their text; rows that repeat an id and
-text are one document, and each gets its result. A single document follows itself.
+text are one document, and each gets its result. A single document follows itself. Ids may be of any
+type that has an order; texts are taken whole, however long, and an empty table gives an empty result.
+The result has the columns named there alone, so that no other can clash with them.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.common import filled
 from touchline.operators.keys import dense_key
 from touchline.sources.scratch import materialize
 
@@ -28,6 +31,8 @@ from touchline.sources.scratch import materialize
 LEXICON = 1 << 18
 # A term that more than this share of the documents has is too common.
 MOST_SHARE = 0.05
+# Lexicon terms that a text must have to be compared by them.
+FEW = 4
 _TERM_GAP = r"[^\p{L}\p{N}]+"
 # Random subsets: how many of each, and the bits of a term's hash that must be 0 for it to be in one.
 SUBSETS = ((4, 2), (6, 4), (8, 6), (4, 8))
@@ -90,20 +95,28 @@ def as_text(hashes: Column) -> Column:
     )
 
 
-def likeness(one: Column, other: Column) -> Column:
-    """The share of equal parts among those filled in either of two fingerprint texts, 0 to 1."""
+def _share(one: Column, other: Column) -> Column:
+    """The share of equal places among those filled in either of two parts, 0 to 1."""
     pairs = F.filter(
         F.arrays_zip(F.split(one, "[.]").alias("a"), F.split(other, "[.]").alias("b")),
         lambda pair: (pair["a"] != "-") | (pair["b"] != "-"),
     )
     same = F.size(F.filter(pairs, lambda pair: pair["a"] == pair["b"]))
-    return F.when(one == other, F.lit(1.0)).when(F.size(pairs) == 0, F.lit(0.0)).otherwise(same / F.size(pairs))
+    return F.when(F.size(pairs) == 0, F.lit(0.0)).otherwise(same / F.size(pairs))
+
+
+def likeness(one: Column, other: Column) -> Column:
+    """How much alike two fingerprint texts are, 0 to 1: by their lexicon terms, or by all terms if one
+    of them has too few of those."""
+    banded, every = ([F.substring_index(text, "/", at) for text in (one, other)] for at in (1, -1))
+    poor = ~banded[0].rlike("[0-9a-f]") | ~banded[1].rlike("[0-9a-f]")
+    return F.when(one == other, F.lit(1.0)).when(poor, _share(*every)).otherwise(_share(*banded))
 
 
 def _keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     id_, body = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return df.select(
-        id_.isNull().alias("no_id"), F.coalesce(id_, F.lit(0)).alias("id"), F.xxhash64(body).alias("mark"), body.alias("body")
+        id_.isNull().alias("no_id"), filled(df, doc_id).alias("id"), F.xxhash64(body).alias("mark"), body.alias("body")
     )
 
 
@@ -162,8 +175,8 @@ def edit_likeness(df: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
         return F.first(F.when(F.col("which") == which, F.col("all")), ignorenulls=True).alias(f"all{which}")
 
     def printed(which: int) -> Column:
-        own = F.zip_with(fingerprint(F.col(f"k{which}")), f"all{which}", lambda banded, every: F.coalesce(banded, every))
-        return as_text(own)
+        own = F.when(F.size(f"k{which}") >= FEW, F.col(f"k{which}")).otherwise(F.array().cast("array<bigint>"))
+        return F.concat(as_text(fingerprint(own)), F.lit("/"), as_text(F.col(f"all{which}")))
 
     # Rows that repeat an id and text become one here.
     marked = banded.groupBy(*_KEY).agg(
