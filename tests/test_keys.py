@@ -142,3 +142,49 @@ def test_collapse_takes_the_least_label_without_sorting_rows(spark):
     got = collapse(df, ["k"], {"most": "v"}, {"least": "label"})
     assert "SortAggregate" not in plan_of(got)
     assert sorted(map(tuple, got.collect())) == [(k, "a", 2) for k in range(5)] + [(9, None, None)]
+
+
+def _counted(spark, df):
+    """df through a step that counts its rows each time they are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), seen
+
+
+def test_dense_key_computes_its_rows_once(spark):
+    rows, seen = _counted(spark, spark.range(500).selectExpr("cast(id * 7 % 500 as string) as name"))
+    got = {(row.name, row.id) for row in keys.dense_key(rows, ["name"], "id").collect()}
+    assert got == {(name, at + 1) for at, name in enumerate(sorted(str(n) for n in range(500)))}
+    assert seen.value == 500
+
+
+def test_collapse_computes_its_rows_once(spark):
+    from touchline.operators.collapse import collapse, collapse_with_hot_keys
+
+    source = spark.range(900).selectExpr("cast(id % 30 as string) k", "id % 7 v", "concat('l', id % 4) label")
+    rows, seen = _counted(spark, source)
+    once = sorted(map(tuple, collapse(rows, ["k"], {"most": "v"}, {"least": "label"}).collect()))
+    assert seen.value == 900 and len(once) == 30
+    out, hot = collapse_with_hot_keys(rows, ["k"], {"most": "v"}, ["k"], {"least": "label"})
+    assert sorted(map(tuple, out.collect())) == once and hot is None and seen.value == 1800
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_keys_sketched_while_rows_are_written_are_those_counted(spark, kind):
+    key = F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") + 100).cast(kind)
+    df, seen = _counted(spark, spark.range(3000).select("id", key.alias("fk")))
+    table, hot = lookups.with_hot_keys(df, "rows", "fk", "id")
+    assert seen.value == 3000  # no pass of its own
+    assert [tuple(row) for row in hot.collect()] == [("fk", "5", 6)] == [tuple(row) for row in lookups.hot_keys(table, "fk").collect()]
+    assert sorted(map(tuple, table.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_no_rows_have_no_hot_keys(spark):
+    none = spark.range(10).join(spark.range(20, 30), "id").select("id")
+    table, hot = lookups.with_hot_keys(none, "rows", "id")
+    assert hot is None and table.count() == 0 and lookups.hot_keys(none, "id").count() == 0

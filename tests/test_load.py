@@ -276,3 +276,47 @@ def test_each_of_two_loads_gets_its_own_turn(spark, tmp_path):
 def test_written_tables_are_not_landed_again(spark, raw):
     once = loading.land(raw)
     assert all(again is df for again, df in zip(loading.land(once).values(), once.values()))
+
+
+def test_rows_and_nulls_are_counted_while_tables_are_written(spark, raw, star, tmp_path):
+    writer = stars.StarWriter(spark, str(tmp_path))
+    written = {name: writer.write(name, df) for name, df in star.items()}
+    assert writer.rows == {name: df.count() for name, df in star.items()}
+    odd = star["dim_player"].selectExpr("player_id", "nullif(href, '/p/ann') href", *star["dim_player"].columns[2:])
+    written["dim_player"] = stars.StarWriter(spark, str(tmp_path / "odd"))
+    known = written.pop("dim_player")
+    written["dim_player"] = known.write("dim_player", odd)
+    writer.nulls["dim_player"] = known.nulls["dim_player"]
+    assert known.nulls == {"dim_player": {"href": 1}}
+    columns = ("table_name", "rule", "n_violations")
+    assert rows(audit.audit_star(written, writer.nulls), *columns) == rows(audit.audit_star(written), *columns)
+
+
+def test_an_empty_star_is_counted(spark, raw, tmp_path):
+    report = loading.load(spark, {name: df.limit(0) for name, df in raw.items()}, str(tmp_path))
+    assert set(report.values()) == {0} and len(report) == 9
+
+
+def test_a_load_that_dies_leaves_the_old_star_and_no_scratch(spark, raw, tmp_path, monkeypatch):
+    from touchline.sources import scratch
+
+    out = str(tmp_path / "star")
+    loading.load(spark, raw, out)
+    before = {name: rows(df, *df.columns) for name, df in stars.read_star(spark, out).items()}
+    runs = set((tmp_path / "star" / "runs").iterdir())
+    folders = []
+    monkeypatch.setattr(scratch, "delete", lambda spark, folder, real=scratch.delete: (folders.append(folder), real(spark, folder)))
+
+    def dies(*args):
+        raise KeyboardInterrupt("killed in the last fact")
+
+    monkeypatch.setattr(loading.facts, "fact_contract", dies)
+    with pytest.raises(KeyboardInterrupt):
+        loading.load(spark, {name: df.limit(1) for name, df in raw.items()}, out)
+    assert {name: rows(df, *df.columns) for name, df in stars.read_star(spark, out).items()} == before
+    assert set((tmp_path / "star" / "runs").iterdir()) == runs
+    (job,) = [folder for folder in folders if "/job-" in folder]
+    path = spark._jvm.org.apache.hadoop.fs.Path(job)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    monkeypatch.undo()
+    loading.load(spark, raw, out)  # and the next load goes through

@@ -120,13 +120,22 @@ def _all_references(star: dict[str, DataFrame]) -> DataFrame:
     return sums.select(F.inline(F.array(*listed)))
 
 
-def audit_star(star: dict[str, DataFrame]) -> DataFrame:
+def audit_star(star: dict[str, DataFrame], nulls: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """Every rule of the star, one row each.
 
     Keys are counted table by table in their own types; all references share one aggregation and
-    one join. Everything is one job, whatever the number of rules.
+    one join. Everything is one job, whatever the number of rules. NULLs that were counted while the
+    tables were written, `nulls` = {table: {column: n}}, are not counted again.
     """
-    filled = [not_null(star[table], table, columns) for table, columns in schemas.REQUIRED_COLUMNS.items()]
+    if nulls is None:
+        filled = [not_null(star[table], table, columns) for table, columns in schemas.REQUIRED_COLUMNS.items()]
+    else:
+        found = [
+            (table, f"not null {column}", nulls[table][column])
+            for table, columns in schemas.REQUIRED_COLUMNS.items() for column in columns
+        ]
+        spark = next(iter(star.values())).sparkSession
+        filled = [spark.createDataFrame(found, "table_name string, rule string, n_violations bigint")]
     return reduce(DataFrame.unionByName, [_all_keys(star), _all_references(star), *filled])
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from touchline.functions.dates import date_key
 from touchline.operators.keys import dense_key
+from touchline.operators.lookups import with_hot_keys
+from touchline.sources.scratch import materialize
 
 
 def collapse(
@@ -18,17 +20,39 @@ def collapse(
 
     `largest` and `pick` map new names to columns of df. A measure without any value stays
     NULL. `pick` takes the least value, one legal choice where any is allowed. Spark can take the
-    minimum of a text only by sorting all rows, so labels are numbered in their order first; the
-    aggregation then holds numbers alone, in a hash table on both sides of the shuffle.
+    minimum of a text only by sorting all rows, so they are collapsed with their labels as further keys
+    first, in one pass; labels are then numbered in their order from that written remainder, and a second
+    aggregation takes the least number. Both hold keys and numbers alone, in hash tables on both sides of
+    the shuffle.
     """
+    rows = _by_labels(df, keys, largest, pick or {})
+    return _least_labels(materialize(rows, "collapsed"), keys, largest, pick) if pick else rows
+
+
+def collapse_with_hot_keys(
+    df: DataFrame, keys: list[str], largest: dict[str, str], columns: list[str], pick: dict[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """`collapse`, and the hot values of some key columns (see `lookups.with_hot_keys`): the collapsed rows
+    are written once, and sketched by the tasks that write them."""
+    rows, hot = with_hot_keys(_by_labels(df, keys, largest, pick or {}), "collapsed", *columns)
+    return (_least_labels(rows, keys, largest, pick) if pick else rows), hot
+
+
+def _by_labels(df: DataFrame, keys: list[str], largest: dict[str, str], pick: dict[str, str]) -> DataFrame:
+    """The measures by keys and labels."""
+    labels = [F.col(old).alias(f"_of_{new}") for new, old in pick.items()]
+    return df.groupBy(*keys, *labels).agg(*[F.max(old).alias(new) for new, old in largest.items()])
+
+
+def _least_labels(df: DataFrame, keys: list[str], largest: dict[str, str], pick: dict[str, str]) -> DataFrame:
+    """The rows of `_by_labels`, written, by keys alone."""
     picked, numbered = [], {}
-    for new, old in (pick or {}).items():
-        labels = dense_key(df.select(F.col(old).alias("_label")).dropna().distinct(), ["_label"], "_number")
+    for new in pick:
+        labels = dense_key(df.select(F.col(f"_of_{new}").alias("_label")).dropna().distinct(), ["_label"], "_number")
         numbered[new] = labels
-        df = df.join(labels, df[old] == labels["_label"], "left").withColumnRenamed("_number", f"_{new}").drop("_label")
+        df = df.join(labels, df[f"_of_{new}"] == labels["_label"], "left").withColumnRenamed("_number", f"_{new}").drop("_label")
         picked.append(F.min(f"_{new}").alias(f"_{new}"))
-    measures = [F.max(old).alias(new) for new, old in largest.items()]
-    rows = df.groupBy(*keys).agg(*picked, *measures)
+    rows = df.groupBy(*keys).agg(*picked, *[F.max(new).alias(new) for new in largest])
     for new, labels in numbered.items():
         names = labels.select(F.col("_label").alias(new), F.col("_number").alias("_of"))
         rows = rows.join(names, rows[f"_{new}"] == names["_of"], "left").drop(f"_{new}", "_of")

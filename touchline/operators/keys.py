@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchline.sources.scratch import materialize
+from touchline.sources.scratch import materialize, settled
 
 # monotonically_increasing_id() holds the partition above this bit and the row number below it.
 _ROW_BITS = 33
@@ -21,14 +21,15 @@ def dense_key(
     pull the table into one task. Here the rows are range-partitioned and sorted in place,
     each keeps its (slice, row) position, and the slice sizes (one row per partition) give
     each slice its first number. The positions are written before they are counted, since a
-    second run of the range sampling could cut the slices elsewhere.
+    second run of the range sampling could cut the slices elsewhere. The sampling reads the rows once
+    more, so anything dearer than a scan is written before it: joins and aggregations run once.
 
     `order_by` must be unique together; then the numbers do not depend on the partitioning
     and equal values cannot pile up in one slice.
     """
     ordering = [F.col(name).asc_nulls_last() for name in order_by]
     placed = materialize(
-        df.repartitionByRange(*ordering)
+        settled(df, f"{id_col}-rows").repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
         .withColumn("_place", F.monotonically_increasing_id()),
         id_col,

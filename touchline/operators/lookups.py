@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.sources.scratch import materialize
+from touchline.sources.scratch import materialize, watched
 
 
 def project(df: DataFrame, mapping: dict[str, Column]) -> DataFrame:
@@ -21,27 +22,53 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(reduce(and_, [F.col(name).isNotNull() for name in columns]))
 
 
+# Values that a sketch of a key column holds for each partition, besides a base: its counts are exact up to
+# so many different values, and beyond that too great by a small share of a partition at most.
+_HELD_PER_PARTITION, _HELD_BASE = 16, 10_000
+
+
+def _heavy(spark: SparkSession, columns: tuple[str, ...]) -> dict[str, Column]:
+    """A mergeable sketch of the most frequent values of each column; NULL can be one of them."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = min(_HELD_BASE + _HELD_PER_PARTITION * partitions, 1_000_000)
+    return {name: F.expr(f"approx_top_k(cast(`{name}` as string), {min(partitions + 2, held)}, {held})") for name in columns}
+
+
+def _spread(spark: SparkSession, columns: tuple[str, ...], seen: dict) -> list[tuple[str, str, int]]:
+    """(column, value, ways) of the values that outgrow a partition's fair share of the rows."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = []
+    for name in columns:
+        for item in seen.get(name) or ():
+            share = item["count"] * partitions / seen["_rows"]
+            if share > 1 and item["item"] is not None:
+                found.append((name, item["item"], math.ceil(4 * share)))
+    return found
+
+
 def hot_keys(df: DataFrame, *columns: str) -> DataFrame:
     """(column, value, ways): the values of key columns that outgrow a partition's fair share.
 
     A value is hot if it has more rows than one shuffle partition would get of all rows; it is to be
     spread over groups of about a quarter of that share, which hash evenly enough. So no more values
     of a column than there are partitions can be hot, and the table may be sent to every task. The
-    columns are counted in one pass, combined before the shuffle. Values are compared as texts.
+    columns are read in one pass that moves sketches only. Values are compared as texts. For rows that
+    are written anyway, `with_hot_keys` takes no pass at all.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = [F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value")) for name in columns]
-    # One more entry a row, without column and value, counts the rows themselves.
-    nothing = F.lit(None).cast("string")
-    entries.append(F.struct(nothing.alias("column"), nothing.alias("value")))
-    counted = df.select(F.inline(F.array(*entries))).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.where(F.col("column").isNull() | F.col("value").isNotNull())
-    # No more values than this can be hot, so these hold all of them.
-    top = materialize(counted.orderBy(F.desc("n")).limit(partitions * len(columns) + 1), "hot-keys")
-    total = top.where(F.col("column").isNull()).select("n").first()
-    share = F.col("n") * partitions / (total.n if total else 1)
-    hot = top.where(F.col("column").isNotNull() & (share > 1))
-    return hot.select("column", "value", F.ceil(4 * share).cast("int").alias("ways"))
+    taken = [F.count(F.lit(1)).alias("_rows"), *[value.alias(name) for name, value in _heavy(df.sparkSession, columns).items()]]
+    seen = df.agg(*taken).first().asDict()  # one row, of bounded size
+    return df.sparkSession.createDataFrame(_spread(df.sparkSession, columns, seen), _HOT)
+
+
+def with_hot_keys(df: DataFrame, name: str, *columns: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows, written, and the hot values of their key columns (as `hot_keys` gives them), None if there
+    are none: the tasks that write the rows sketch them on the way."""
+    table = materialize(df, name, watch=_heavy(df.sparkSession, columns))
+    hot = _spread(df.sparkSession, columns, watched(table))
+    return table, df.sparkSession.createDataFrame(hot, _HOT) if hot else None
+
+
+_HOT = "column string, value string, ways int"
 
 
 def lookup(
@@ -90,7 +117,7 @@ def lookup_roles(
 
 def bridge(
     links: DataFrame, link_key: str, near: DataFrame, near_id: str, link_fk: str, far: DataFrame,
-    far_id: str, dim_key: str = "href", hot: DataFrame | None = None,
+    far_id: str, dim_key: str = "href",
 ) -> DataFrame:
     """Resolve a link table to ids of both ends: one row (link_key, near_id, far_id) per link.
 
@@ -98,6 +125,7 @@ def bridge(
     dimensions, and repeated links are dropped before they can fan out.
     """
     pairs = require(links.select(link_key, link_fk), link_key, link_fk).distinct()
+    pairs, hot = with_hot_keys(pairs, "links", link_key, link_fk)
     pairs = lookup(pairs, near, link_key, dim_key, {near_id: near_id}, hot=hot)
     pairs = lookup(pairs, far, link_fk, dim_key, {far_id: far_id}, hot=hot)
     return pairs.select(link_key, near_id, far_id)

@@ -9,7 +9,7 @@ from touchline.functions.dates import cast_date, season_date
 from touchline.functions.text import strip_spaces
 from touchline.operators.collapse import date_feed, date_spine
 from touchline.operators.keys import append_members, dense_key, first_per_key
-from touchline.operators.lookups import hot_keys, lookup, missing_members, project, require
+from touchline.operators.lookups import lookup, missing_members, project, require, with_hot_keys
 
 
 def _numbered(rows: DataFrame, id_col: str) -> DataFrame:
@@ -29,10 +29,10 @@ def dim_competition(competitions: DataFrame) -> DataFrame:
 
 def dim_club(clubs: DataFrame, competitions: DataFrame) -> DataFrame:
     """Clubs with link and name, numbered by link; an unknown competition gives a NULL id."""
-    rows = require(clubs, "href", "name")
+    columns = ("href", "name", "competition_href", "squad_size", "avg_age", "total_market_value")
+    rows, hot = with_hot_keys(require(clubs, "href", "name").select(*columns), "clubs", "competition_href")
     rows = lookup(
-        rows, competitions, "competition_href", "href", {"competition_id": "competition_id"}, how="left",
-        hot=hot_keys(rows, "competition_href"),
+        rows, competitions, "competition_href", "href", {"competition_id": "competition_id"}, how="left", hot=hot
     )
     rows = project(rows, {
         "href": F.col("href"), "club_name": F.col("name"), "competition_id": F.col("competition_id"),

@@ -2,9 +2,10 @@
 
 One plan for every size: a fact is first collapsed on its natural keys, which combines repeats before
 any row moves and spreads a hot player over all of that player's dates; then the ids are looked up,
-without a forced strategy. Key values that outgrow a partition are counted beforehand, in one pass
-over the key columns, and spread over several groups (see `operators.lookups.hot_keys`). The order is
-free because a natural key maps to one id, or a repeated name to several.
+without a forced strategy. The raw rows are read once: the collapsed ones are written, and the tasks
+that write them sketch the values of their keys, so that those which outgrow a partition are spread
+over several groups (see `operators.lookups.with_hot_keys`). The order is free because a natural key
+maps to one id, or a repeated name to several.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from pyspark.sql import functions as F
 
 from touchline.functions.dates import cast_date, date_key, season_key
 from touchline.functions.text import strip_spaces
-from touchline.operators.collapse import collapse
+from touchline.operators.collapse import collapse_with_hot_keys
 from touchline.operators.keys import first_per_key
-from touchline.operators.lookups import bridge, hot_keys, lookup, lookup_roles, require
+from touchline.operators.lookups import bridge, lookup, lookup_roles, require, with_hot_keys
+from touchline.plans.jobs import together
 
 
-def _with_player(rows: DataFrame, players: DataFrame, hot: DataFrame) -> DataFrame:
+def _with_player(rows: DataFrame, players: DataFrame, hot: DataFrame | None) -> DataFrame:
     return lookup(rows, players, "player_href", "href", {"player_id": "player_id"}, hot=hot)
 
 
@@ -31,19 +33,22 @@ def fact_stats(
     Stats name no club: each club that lists the player gets a row, past seasons included. The
     clubs are attached last, so that they do not multiply the rows that have to be collapsed.
     """
-    listed = bridge(
-        raw_players, "href", players, "player_id", "club_href", clubs, "club_id",
-        hot=hot_keys(raw_players, "href", "club_href"),
-    )
     rows = appearances.select(
         "player_href", "competition", season_key(F.col("season")).alias("date_id"),
         "appearances", "goals", "assists", "yellow_cards", "red_cards",
         F.col("minutes").alias("minutes_played"),
     )
     rows = require(rows, "player_href", "competition", "date_id")
-    hot = hot_keys(rows, "player_href", "competition")
     counts = ["appearances", "goals", "assists", "yellow_cards", "red_cards", "minutes_played"]
-    rows = collapse(rows, ["player_href", "competition", "date_id"], dict(zip(counts, counts)))
+
+    def collapsed() -> tuple[DataFrame, DataFrame | None]:
+        keys = ["player_href", "competition"]
+        return collapse_with_hot_keys(rows, [*keys, "date_id"], dict(zip(counts, counts)), keys)
+
+    def bridged() -> DataFrame:
+        return bridge(raw_players, "href", players, "player_id", "club_href", clubs, "club_id")
+
+    (rows, hot), listed = together(appearances.sparkSession, collapsed, bridged)
     rows = lookup(
         rows, competitions, "competition", "competition_name", {"competition_id": "competition_id"}, hot=hot
     )
@@ -61,9 +66,8 @@ def fact_injury(injuries: DataFrame, players: DataFrame) -> DataFrame:
         date_key(cast_date(F.col("until"))).alias("end_date_id"),
         "injury", "days_out", "games_missed",
     )
-    hot = hot_keys(rows, "player_href")
-    rows = collapse(
-        rows, ["player_href", *days], {"days_out": "days_out", "games_missed": "games_missed"},
+    rows, hot = collapse_with_hot_keys(
+        rows, ["player_href", *days], {"days_out": "days_out", "games_missed": "games_missed"}, ["player_href"],
         {"injury_type": "injury"},
     )
     rows = _with_player(rows, players, hot)
@@ -85,10 +89,10 @@ def fact_transfer(
         "player_href", name("from_club").alias("from_club_name"), name("to_club").alias("to_club_name"),
         date_key(cast_date(F.col("date"))).alias("date_id"), "market_value", "fee",
     )
-    hot = hot_keys(rows, "player_href", "from_club_name", "to_club_name")
     names = ["from_club_name", "to_club_name", "date_id"]
-    rows = collapse(
-        rows, ["player_href", *names], {"market_value": "market_value", "transfer_fee": "fee"}
+    rows, hot = collapse_with_hot_keys(
+        rows, ["player_href", *names], {"market_value": "market_value", "transfer_fee": "fee"},
+        ["player_href", "from_club_name", "to_club_name"],
     )
     roles = {"from_club_id": "from_club_name", "to_club_id": "to_club_name"}
     rows = lookup_roles(_with_player(rows, players, hot), clubs, roles, "club_name", "club_id", hot)
@@ -103,8 +107,9 @@ def fact_market_value(market_values: DataFrame, players: DataFrame) -> DataFrame
     rows = require(market_values, "date", "player_href").select(
         "player_href", date_key(cast_date(F.col("date"))).alias("date_id"), "market_value"
     )
-    hot = hot_keys(rows, "player_href")
-    rows = collapse(rows, ["player_href", "date_id"], {"market_value": "market_value"})
+    rows, hot = collapse_with_hot_keys(
+        rows, ["player_href", "date_id"], {"market_value": "market_value"}, ["player_href"]
+    )
     return _with_player(rows, players, hot).select("player_id", "date_id", "market_value")
 
 
@@ -115,8 +120,9 @@ def fact_contract(raw_players: DataFrame, players: DataFrame, clubs: DataFrame)
         date_key(cast_date(F.col("joined"))).alias("joined_date_id"),
         date_key(cast_date(F.col("contract_until"))).alias("contract_until_id"),
     )
-    hot = hot_keys(rows, "player_href", "club_href")
     latest = [F.col(name).desc_nulls_last() for name in ("joined_date_id", "contract_until_id")]
-    rows = _with_player(first_per_key(rows, ["player_href", "club_href"], latest), players, hot)
+    rows = first_per_key(rows, ["player_href", "club_href"], latest)
+    rows, hot = with_hot_keys(rows, "contracts", "player_href", "club_href")
+    rows = _with_player(rows, players, hot)
     rows = lookup(rows, clubs, "club_href", "href", {"club_id": "club_id"}, hot=hot)
     return rows.select("player_id", "club_id", "joined_date_id", "contract_until_id")

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline import schemas
 from touchline.operators.audit import audit_names, audit_sources, audit_star, malformed_lines, unread_dates
-from touchline.operators.collapse import table_counts
 from touchline.plans import dims, facts
 from touchline.plans.jobs import together
 from touchline.sources.entities import read_entities, read_good_lines
@@ -101,7 +100,7 @@ def load(
             raw = land({name: raw[name] for name in schemas.ENTITIES})
             star = build_star(raw, writer.write)
             if strict:
-                _raise_if_broken(raw, star)
+                _raise_if_broken(raw, star, writer.nulls)
             notes = unread_dates(raw).unionByName(audit_names(star))
             if bad:
                 notes = notes.unionByName(malformed_lines(bad))
@@ -110,14 +109,13 @@ def load(
             writer.discard()
             raise
     writer.publish()
-    counts = table_counts(star).orderBy("position").collect()  # nine rows
-    report = LoadReport((row.table_name, row.n_rows) for row in counts)
+    report = LoadReport((name, writer.rows[name]) for name in star)
     report.notes = {(row.table_name, row.rule): row.n_violations for row in noted}
     return report
 
 
-def _raise_if_broken(raw: dict[str, DataFrame], star: dict[str, DataFrame]) -> None:
-    findings = audit_sources(raw).unionByName(audit_star(star)).where("n_violations > 0")
+def _raise_if_broken(raw: dict[str, DataFrame], star: dict[str, DataFrame], nulls: dict[str, dict[str, int]]) -> None:
+    findings = audit_sources(raw).unionByName(audit_star(star, nulls)).where("n_violations > 0")
     broken = [f"{row.table_name}: {row.rule} ({row.n_violations})" for row in findings.collect()]
     if broken:  # one row per rule
         raise ConstraintError("; ".join(sorted(broken)))

@@ -20,6 +20,7 @@ from touchline.operators.collapse import collapse, date_feed, date_spine, table_
 from touchline.plans import dims, facts
 from touchline.plans.jobs import together
 from touchline.plans.crawl import extract_entities
+from touchline.plans.crawl import run as crawl_site
 from touchline.plans.load import build_star, land, load
 from touchline.sources.entities import (
     default_seeds, read_entities, read_entity, read_seeds, split_malformed, write_entity,
@@ -272,14 +273,42 @@ def published_star(spark, sf_dir):
     return table_counts(_published(spark, sf_dir))
 
 
-def published_rows(spark, sf_dir):
-    """The whole load, and every row of every table as a reader finds it."""
+def _said(star: dict[str, DataFrame]) -> DataFrame:
+    """Every row of every table as a text; ages in hundredths."""
     def said(df: DataFrame) -> Column:
-        texts = [F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in df.columns if name != "avg_age"]
+        values = {"avg_age": F.round(F.col("avg_age") * 100).cast("bigint")} if "avg_age" in df.columns else {}
+        texts = [F.coalesce(values.get(name, F.col(name)).cast("string"), F.lit("~")) for name in df.columns]
         return F.concat_ws("|", *texts)
 
-    published = _published(spark, sf_dir)
-    return _all([df.select(F.lit(name).alias("table_name"), said(df).alias("said")) for name, df in published.items()])
+    return _all([df.select(F.lit(name).alias("table_name"), said(df).alias("said")) for name, df in star.items()])
+
+
+def published_rows(spark, sf_dir):
+    """The whole load, and every row of every table as a reader finds it."""
+    return _said(_published(spark, sf_dir))
+
+
+def loaded_files(spark, sf_dir):
+    """From entity files to the star: seven folders of JSON lines, one of them with lines that break off, read,
+    loaded, published, and every row as a reader finds it; the broken lines are counted in the report."""
+    folder, out = scratch_folder(spark, "files"), scratch_folder(spark, "star")
+    raw = raw_entities(spark, sf_dir)
+    together(spark, *[lambda name=name, df=df: write_entity(df, folder, name) for name, df in raw.items()])
+    broken = table(spark, sf_dir, "region").select(_text('{"name": "', F.col("r_name")).alias("value"))
+    broken.write.mode("append").text(f"{folder}/clubs.jsonl")
+    report = load(spark, folder, out, bad_lines="skip")
+    star = read_star(spark, out)
+    notes = [(name, f"{rule}: {n}") for (name, rule), n in sorted(report.notes.items()) if rule == "malformed lines"]
+    counted = [(name, f"rows: {n}") for name, n in report.items()]
+    return _said(star).unionByName(spark.createDataFrame([*notes, *counted], "table_name string, said string"))
+
+
+def crawled_star(spark, sf_dir):
+    """From fetched pages to the star: the whole crawl and load, and every row as a reader finds it."""
+    out = scratch_folder(spark, "star")
+    seeds = table(spark, sf_dir, "part").select(_competition_href(F.col("p_partkey")).alias("href"))
+    crawl_site(spark, _site(spark, sf_dir), seeds, BASE_URL, out)
+    return _said(read_star(spark, out))
 
 
 def unread_dates(spark, sf_dir):
@@ -349,9 +378,9 @@ def left_lookup(spark, sf_dir):
 def salted_lookup(spark, sf_dir):
     """Events with their user's name; users that outgrow a partition are spread over several groups."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    events, hot = lookups.with_hot_keys(events, "events", "user_id")
     rows = lookups.lookup(
-        events, table(spark, sf_dir, "customer"), "user_id", "c_custkey", {"c_name": "c_name"},
-        hot=lookups.hot_keys(events, "user_id"),
+        events, table(spark, sf_dir, "customer"), "user_id", "c_custkey", {"c_name": "c_name"}, hot=hot
     )
     return rows.select("event_id", "c_name")
 
@@ -732,24 +761,25 @@ def squad_links(spark, sf_dir):
     return frontier.one_parent_per_url(listed, "club_href").select("club_href", "href", "url")
 
 
+def _info(label: str, *value) -> Column:
+    """A line of the info box."""
+    return _text(
+        '<span class="info-table__content info-table__content--regular">', label, "</span>",
+        '<span class="info-table__content info-table__content--bold"><a>', *value, "</a></span>",
+    )
+
+
 def player_rows(spark, sf_dir):
     """One profile page per customer."""
     customers, nation = _dealt(spark, sf_dir, "customer", "c_custkey"), F.col("c_nationkey")
-
-    def line(label: str, *value) -> Column:
-        return _text(
-            '<span class="info-table__content info-table__content--regular">', label, "</span>",
-            '<span class="info-table__content info-table__content--bold"><a>', *value, "</a></span>",
-        )
-
     body = _text(
         "<h1><span>#", nation, "</span> x <strong>", F.col("c_name"), " <b>Jr</b></strong></h1>",
         '<a class="data-header__market-value-wrapper"><span>€</span><span>', nation + 1, ".50</span><span>m</span><p>now</p></a>",
         '<div class="info-table">',
-        line("Date of birth/Age:", nation + 1, "/05/", nation + 1970, " (", nation + 20, ")"),
-        line("Height:", "1,", nation + 70, "&nbsp;m"), line("Citizenship:", " Nation  ", nation),
-        line("Position:", F.col("c_mktsegment")), line("Foot:", "right"), line("Foot:", "left"),
-        line("Joined:", "Jul 1, ", nation + 2000), line("Contract expires:", "30.06.", nation + 2005), "</div>",
+        _info("Date of birth/Age:", nation + 1, "/05/", nation + 1970, " (", nation + 20, ")"),
+        _info("Height:", "1,", nation + 70, "&nbsp;m"), _info("Citizenship:", " Nation  ", nation),
+        _info("Position:", F.col("c_mktsegment")), _info("Foot:", "right"), _info("Foot:", "left"),
+        _info("Joined:", "Jul 1, ", nation + 2000), _info("Contract expires:", "30.06.", nation + 2005), "</div>",
     )
     key = F.col("c_custkey")
     pages = customers.select(
@@ -843,7 +873,10 @@ def _site(spark, sf_dir) -> DataFrame:
         )
 
     stats_path = _text("/p/leistungsdaten/spieler/", customer)
-    profile = page(customers, _player_href(customer), _text("<h1><b>", F.col("c_name"), "</b></h1>"))
+    profile = page(customers, _player_href(customer), _text(
+        "<h1><b>", F.col("c_name"), '</b></h1><div class="info-table">', _info("Joined:", "Jul 1, ", nation + 2000),
+        _info("Contract expires:", "30.06.", nation + 2005), "</div>",
+    ))
     later = F.lit("2025-06-02").cast("timestamp")
     site = _all([
         page(parts, _competition_href(part), _text(
@@ -859,10 +892,11 @@ def _site(spark, sf_dir) -> DataFrame:
         page(customers, stats_path, stats("League", 2025, 2024)),
         page(customers, _text(stats_path, "?saison=2024"), stats("Cup", 2024, 2025)),
         page(customers, _text("/p/verletzungen/spieler/", customer), _item_table(
-            _row("25/26", "Knock", _text(nation + 1, "/05/2025"), "-", "4 days", "1"),
+            _row("25/26", "Knock", _text(nation + 1, "/05/2025"), _text(nation + 1, "/06/2025"), "4 days", "1"),
         )),
         page(customers, _text("/ceapi/transferHistory/list/", customer), _text(
-            '{"transfers": [{"to": {"clubName": "Club ', nation, '"}, "date": "01/07/2020"}]}',
+            '{"transfers": [{"from": {"clubName": "Club ', nation + 1, '"}, "to": {"clubName": "Club ', nation,
+            '"}, "date": "01/07/2020", "fee": "€', customer, 'k"}]}',
         )),
         page(customers, _text("/ceapi/marketValueDevelopment/graph/", customer), _text(
             '{"list": [{"datum_mw": "01/07/2020", "y": ', customer, "}]}",
@@ -897,7 +931,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         dim_competition, dim_club, dim_player, stub_competitions, stub_clubs, dim_date, fact_stats,
         fact_injury, fact_transfer, fact_market_value, fact_contract, star_counts, star_audit,
-        published_star, published_rows, unread_dates, entity_files, seed_rows, parent_lines, missing_sources, dense_key, left_lookup, salted_lookup, first_per_key, latest_per_key, stub_members, daily_value,
+        published_star, published_rows, loaded_files, crawled_star, unread_dates, entity_files, seed_rows, parent_lines, missing_sources, dense_key, left_lookup, salted_lookup, first_per_key, latest_per_key, stub_members, daily_value,
         highest_value, collapse_lines, bridged_lines, role_lookup, date_table, season_dates, load_counts,
         audit_keys, audit_filled, audit_references, parse_money, parse_date, parse_numbers, info_box,
         normalize_url, direct_frontier, player_frontier, league_filter, league_codes, club_filter,

@@ -8,9 +8,10 @@ import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from weakref import WeakSet
+from weakref import WeakKeyDictionary, WeakSet
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # The folder of the job at hand, where it has one of its own.
 _JOB: ContextVar[str | None] = ContextVar("scratch job", default=None)
@@ -18,6 +19,8 @@ _JOB: ContextVar[str | None] = ContextVar("scratch job", default=None)
 _ROOTS: dict[str, str] = {}
 # Tables that materialize() has written and read back.
 _WRITTEN: WeakSet[DataFrame] = WeakSet()
+# What was watched while they were written.
+_SEEN: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -46,21 +49,61 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{_JOB.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, partition_by: str | None = None, watch: dict[str, Column] | None = None
+) -> DataFrame:
     """Write a table and read it back: lineage ends here, and a lost executor costs a re-read.
 
     Parquet rather than a checkpoint, so that later readers scan only the columns (and with
-    `partition_by`, the folders) they use, and the planner knows the size.
+    `partition_by`, the folders) they use, and the planner knows the size. `watch` = {name: aggregate}
+    is taken of the rows while they are written; see `watched`.
     """
     spark = df.sparkSession
     path = scratch_folder(spark, name)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    seen = Seen(df, watch or {})
+    writer = seen.rows.write.partitionBy(partition_by) if partition_by else seen.rows.write
     writer.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     _WRITTEN.add(table)
+    if watch:
+        _SEEN[table] = seen.values()
     return table
 
 
+class Seen:
+    """Aggregates of a table, taken by the tasks that write it and merged with their results: no pass
+    over the rows of their own. Write `rows`, then ask for `values()`."""
+
+    def __init__(self, df: DataFrame, watch: dict[str, Column]):
+        self.watch, self.observation = watch, Observation()
+        taken = [F.count(F.lit(1)).alias("_rows"), *[value.alias(name) for name, value in watch.items()]]
+        self.rows = df.observe(self.observation, *taken) if watch else df
+
+    def values(self) -> dict:
+        """{name: value}, and the number of rows as `_rows`."""
+        return self.observation.get if self.watch else {}
+
+
+def watched(table: DataFrame) -> dict:
+    """What materialize() has watched while it wrote this table."""
+    return _SEEN[table]
+
+
+# Plans of these nodes alone cost a scan, so that running them twice is no harm.
+_PLAIN_NODES = {"Project", "Filter", "LogicalRelation", "LocalRelation", "Range", "LogicalRDD"}
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """df, written first unless it is no more than a scan: for work that reads its input more than once."""
+    nodes, found = [df._jdf.queryExecution().optimizedPlan()], set()
+    while nodes:
+        node = nodes.pop()
+        found.add(node.nodeName().split(" ")[0])
+        children = node.children()
+        nodes += [children.apply(at) for at in range(children.size())]
+    return df if found <= _PLAIN_NODES else materialize(df, name)
+
+
 def is_written(df: DataFrame) -> bool:
     """Whether a table is one that materialize() has returned."""
     return df in _WRITTEN

@@ -6,9 +6,10 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchline import schemas
-from touchline.sources.scratch import delete
+from touchline.sources.scratch import Seen, delete
 
 _RUNS, _CURRENT = "runs", "current"
 
@@ -23,12 +24,19 @@ class StarWriter:
         self.spark, self.out = spark, out.rstrip("/")
         self.run = uuid.uuid4().hex
         self.path = f"{self.out}/{_RUNS}/{self.run}"
+        # Rows of each table written, and the NULLs in the columns that must be filled.
+        self.rows: dict[str, int] = {}
+        self.nulls: dict[str, dict[str, int]] = {}
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write one table in its fixed schema and return it as read back."""
-        schema = schemas.STAR[name]
-        columns = [df[field.name].cast(field.dataType) for field in schema]
-        df.select(*columns).write.parquet(f"{self.path}/{name}")
+        """Write one table in its fixed schema and return it as read back. Its rows and NULLs are counted
+        by the tasks that write them, so no finished table is scanned for that."""
+        schema, required = schemas.STAR[name], schemas.REQUIRED_COLUMNS.get(name, [])
+        table = df.select(*[df[field.name].cast(field.dataType) for field in schema])
+        seen = Seen(table, {column: F.count_if(F.col(column).isNull()) for column in required} or {"none": F.lit(0)})
+        seen.rows.write.parquet(f"{self.path}/{name}")
+        values = seen.values()
+        self.rows[name], self.nulls[name] = values["_rows"], {column: values[column] for column in required}
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
     def publish(self, keep: int = 2) -> None:
