@@ -88,29 +88,35 @@ def _subset(places: Column, shift: int, mask: int) -> Column:
     return F.get(F.transform(F.array(terms), lambda own: F.when(F.size(own) > 0, F.xxhash64(own))), F.lit(0))
 
 
-def as_text(hashes: Column) -> Column:
-    """Eight hex digits a subset, '-' where it is empty, joined by dots."""
-    return F.array_join(
-        F.transform(hashes, lambda one: F.coalesce(F.lower(F.substring(F.lpad(F.hex(one), 16, "0"), 1, 8)), F.lit("-"))), "."
-    )
+def places(hashes: Column) -> Column:
+    """The upper 32 bits of each hash, as it is kept and compared; null where a subset is empty."""
+    return F.transform(hashes, lambda one: F.shiftright(one, 32).cast("int"))
+
+
+def as_text(banded: Column, every: Column) -> Column:
+    """Both parts of a fingerprint: eight hex digits a subset, '-' where it is empty, joined by dots."""
+    def part(own: Column) -> Column:
+        low = F.lit(0xFFFFFFFF).cast("bigint")
+        return F.array_join(F.transform(own, lambda one: F.coalesce(
+            F.lower(F.lpad(F.hex(one.cast("bigint").bitwiseAND(low)), 8, "0")), F.lit("-")
+        )), ".")
+
+    return F.concat(part(banded), F.lit("/"), part(every))
 
 
 def _share(one: Column, other: Column) -> Column:
     """The share of equal places among those filled in either of two parts, 0 to 1."""
-    pairs = F.filter(
-        F.arrays_zip(F.split(one, "[.]").alias("a"), F.split(other, "[.]").alias("b")),
-        lambda pair: (pair["a"] != "-") | (pair["b"] != "-"),
-    )
+    pairs = F.filter(F.arrays_zip(one.alias("a"), other.alias("b")), lambda pair: pair["a"].isNotNull() | pair["b"].isNotNull())
     same = F.size(F.filter(pairs, lambda pair: pair["a"] == pair["b"]))
     return F.when(F.size(pairs) == 0, F.lit(0.0)).otherwise(same / F.size(pairs))
 
 
-def likeness(one: Column, other: Column) -> Column:
-    """How much alike two fingerprint texts are, 0 to 1: by their lexicon terms, or by all terms if one
-    of them has too few of those."""
-    banded, every = ([F.substring_index(text, "/", at) for text in (one, other)] for at in (1, -1))
-    poor = ~banded[0].rlike("[0-9a-f]") | ~banded[1].rlike("[0-9a-f]")
-    return F.when(one == other, F.lit(1.0)).when(poor, _share(*every)).otherwise(_share(*banded))
+def likeness(one: tuple[Column, Column], other: tuple[Column, Column]) -> Column:
+    """How much alike two fingerprints (lexicon terms, all terms) are, 0 to 1: by their lexicon terms, or
+    by all terms if one of them has too few of those."""
+    poor = (F.size(F.array_compact(one[0])) == 0) | (F.size(F.array_compact(other[0])) == 0)
+    equal = (one[0] == other[0]) & (one[1] == other[1])
+    return F.when(equal, F.lit(1.0)).when(poor, _share(one[1], other[1])).otherwise(_share(one[0], other[0]))
 
 
 def _keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -174,29 +180,30 @@ def edit_likeness(df: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     def whole(which: int) -> Column:
         return F.first(F.when(F.col("which") == which, F.col("all")), ignorenulls=True).alias(f"all{which}")
 
-    def printed(which: int) -> Column:
+    def printed(which: int) -> list[Column]:
         own = F.when(F.size(f"k{which}") >= FEW, F.col(f"k{which}")).otherwise(F.array().cast("array<bigint>"))
-        return F.concat(as_text(fingerprint(own)), F.lit("/"), as_text(F.col(f"all{which}")))
+        return [places(fingerprint(own)).alias(f"banded{which}"), places(F.col(f"all{which}")).alias(f"every{which}")]
 
     # Rows that repeat an id and text become one here.
     marked = banded.groupBy(*_KEY).agg(
         *[F.first(name).alias(name) for name in ("no", "n", "sha")], whole(0), whole(1), kept(0), kept(1)
     )
     marked = materialize(marked.select(
-        *_KEY, "no", "n", F.lower(F.hex("sha")).alias("edited_sha256"),
-        printed(0).alias("fingerprint"), printed(1).alias("edited_fingerprint"),
+        *_KEY, "no", "n", "sha", *printed(0), *printed(1),
     ), "fingerprints")
     following = marked.select(
-        F.when(F.col("no") == 1, count).otherwise(F.col("no") - 1).alias("no"), F.col("fingerprint").alias("next")
+        F.when(F.col("no") == 1, count).otherwise(F.col("no") - 1).alias("no"), F.col("banded0").alias("banded2"),
+        F.col("every0").alias("every2"),
     )
+    own, new, after = [(F.col(f"banded{which}"), F.col(f"every{which}")) for which in range(3)]
     result = marked.join(following, "no").select(
-        *_KEY, F.col("n").cast("bigint").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
+        *_KEY, F.col("n").cast("bigint").alias("n_chars"), "sha", *own, *new,
+        likeness(own, new).alias("near_edited"), likeness(own, after).alias("near_next"),
     )
     rows = docs.select(*_KEY)
     out = rows.join(result, _KEY)
     id_ = F.when(~F.col("no_id"), F.col("id")).alias(doc_id)
     return out.select(
-        id_, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+        id_, "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), as_text(*own).alias("fingerprint"),
+        as_text(*new).alias("edited_fingerprint"), "near_edited", "near_next",
     )
