@@ -120,7 +120,8 @@ def links(distinct: DataFrame, radius: int = 3, column: str = "fingerprint") ->
     """Pairs (a, b) of at most `radius` bits that connect all fingerprints which such pairs connect.
 
     `distinct` holds each fingerprint once. A fingerprint visits the tiles that can hold partners,
-    in one direction of each tile pair; the number of visits has a fixed bound.
+    in one direction of each tile pair, at most 65 of them, and there each chunk: so the rows that move grow
+    with the chunks of a tile.
     """
     ship()
     fps = distinct.select(F.col(column).alias("fp"))
