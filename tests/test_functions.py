@@ -43,6 +43,8 @@ def test_dates(evaluate):
         "2022-07-01T23:59:59.123Z": date(2022, 7, 1), "Jul. 1, 2022": date(2022, 7, 1),
         "Thursday 3 June 2004": date(2004, 6, 3), "05/15/2003": date(2003, 5, 15), "1/7/68": date(2068, 7, 1),
         "15 May 2003, 10:30": date(2003, 5, 15), "15-May-2003": date(2003, 5, 15),
+        "05/15/03": date(2003, 5, 15), "2003-Sep-05": date(2003, 9, 5), "29.02.00": date(2000, 2, 29),
+        "1st of sept, 2003t10:30": date(2003, 9, 1), "DECEMBER 31 1999 23:59:59.9 +0200": date(1999, 12, 31),
     })
 
 
@@ -50,7 +52,8 @@ def test_dates_missing_or_partial(evaluate):
     check(evaluate, dates.parse_date, {
         "-": None, "": None, None: None, "unknown": None, "May 2003": None, "2003": None,
         "Feb 30, 2003": None, "31/02/2003": None, "15/05.2003": None, "Foo 5, 2003": None,
-        "0000-01-01": None, "32/01/2003": None,
+        "0000-01-01": None, "32/01/2003": None, "03-May-15": None, "Sept. 2003": None, "29.02.99": None,
+        "2003-05-15 x": None, "x 2003-05-15": None, "2003-05-15\n2003-05-16": None, "Mayor 5, 2003": None,
     })
 
 
