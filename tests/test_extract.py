@@ -1,5 +1,6 @@
 """Pages and payloads to entity rows."""
 
+import json
 import time
 from datetime import date
 
@@ -138,6 +139,40 @@ def test_payloads(spark):
         assert dicts(extract.market_value_rows(payload(bad))) == []
 
 
+def test_a_field_of_another_type_costs_that_field_alone(spark):
+    def read(rows, bodies):
+        """The entries of each body, all bodies in one job."""
+        asked = [(f"/p/{number}", body) for number, body in enumerate(bodies)]
+        found = {href: [] for href, _ in asked}
+        for row in dicts(rows(spark.createDataFrame(asked, "href STRING, body STRING"))):
+            found[row.pop("player_href")].append(row)
+        return list(found.values())
+
+    whole = {
+        "from": {"clubName": "A"}, "to": {"clubName": "[B] {x}"}, "date": "01/07/2020", "season": "20/21",
+        "marketValue": "€1.00m", "fee": "€5k",
+    }
+    columns = dict(zip(whole, ("from_club", "to_club", "date", "season", "market_value", "fee")))
+    cases = [(name, odd) for name in whole for odd in ([1], {"x": 1}, None, True)]
+    lists = [[7, whole | {name: odd}, [], "x", whole] for name, odd in cases]
+    found = read(extract.transfer_rows, [json.dumps({"transfers": entries}) for entries in lists])
+    good = found[0][1]
+    assert good["to_club"] == "[B] {x}" and None not in good.values()
+    for (name, odd), got in zip(cases, found):
+        # A plain value is its own text, but no club, date or sum can be read from it.
+        lost = "true" if odd is True and name == "season" else None
+        assert got == [good | {columns[name]: lost}, good]
+
+    entry = {"datum_mw": "01/07/2020", "y": 12, "verein": "A"}
+    columns = {"datum_mw": "date", "y": "market_value", "verein": "club_name"}
+    cases = [(name, odd) for name in entry for odd in ([1], {"x": 1}, None)] + [("y", "much"), ("y", "13"), ("y", 12)]
+    found = read(extract.market_value_rows, [json.dumps({"list": [entry | {name: odd}]}) for name, odd in cases])
+    good = found[-1][0]
+    for (name, odd), got in zip(cases, found):
+        assert got == [good | {columns[name]: {"13": 13, 12: 12}.get(odd) if name == "y" and isinstance(odd, (str, int)) else None}]
+    assert not any(read(extract.market_value_rows, ['{"list": {"y": 1}}', '{"list": 5}', '{"list": null}', "[]", "5", None]))
+
+
 def test_broken_markup():
     feature = page_features_of(
         '<table class="items"><tbody><tr><td>a<td>b <!-- c --> d</b></div><tr><td>1 < 2 &amp; 3</table>'

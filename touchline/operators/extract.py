@@ -151,34 +151,45 @@ def injury_rows(pages: DataFrame) -> DataFrame:
     })
 
 
+def _payload_entries(payloads: DataFrame, field: str) -> DataFrame:
+    """(player_href, entry): the elements of the payload's array `field`, as VARIANT.
+
+    A body that is no JSON, or whose field is no array, gives no rows; an element that is no object is none
+    of the entries.
+    """
+    entries = F.try_variant_get(F.try_parse_json("body"), f"$.{field}", "array<variant>")
+    objects = F.filter(entries, lambda entry: F.schema_of_variant(entry).startswith("OBJECT"))
+    return payloads.select(normalize_path(F.col("href")).alias("player_href"), F.explode(objects).alias("entry"))
+
+
+def _field(path: str, kind: str = "string") -> Column:
+    """A field of the entry as `kind`, NULL if it is absent or cannot be one. Each field is read by itself, so one
+    of another type costs that field and neither its entry nor the payload. Objects and arrays are no texts."""
+    value = F.try_variant_get("entry", f"$.{path}", kind)
+    found = F.schema_of_variant(F.try_variant_get("entry", f"$.{path}", "variant"))
+    return F.when(~found.rlike("^(OBJECT|ARRAY)"), value) if kind == "string" else value
+
+
 def transfer_rows(payloads: DataFrame) -> DataFrame:
     """Transfers from API payloads. Input: `href` (of the player), `body`. Bad JSON gives no rows."""
-    entries = F.from_json("body", schemas.TRANSFER_PAYLOAD)["transfers"]
-    rows = payloads.select(
-        normalize_path(F.col("href")).alias("player_href"), F.explode(entries).alias("entry")
-    )
-    return _entity(rows, "transfers", {
+    return _entity(_payload_entries(payloads, "transfers"), "transfers", {
         "type": F.lit("transfer"),
         "player_href": F.col("player_href"),
-        "date": parse_date(F.coalesce(blank_to_null(F.col("entry.dateUnformatted")), F.col("entry.date"))),
-        "season": F.col("entry.season"),
-        "from_club": F.col("entry.from.clubName"),
-        "to_club": F.col("entry.to.clubName"),
-        "market_value": parse_money(F.col("entry.marketValue")),
-        "fee": parse_money(F.col("entry.fee")),
+        "date": parse_date(F.coalesce(blank_to_null(_field("dateUnformatted")), _field("date"))),
+        "season": _field("season"),
+        "from_club": _field("from.clubName"),
+        "to_club": _field("to.clubName"),
+        "market_value": parse_money(_field("marketValue")),
+        "fee": parse_money(_field("fee")),
     })
 
 
 def market_value_rows(payloads: DataFrame) -> DataFrame:
     """Value history from API payloads. Input: `href` (of the player), `body`. Bad JSON gives no rows."""
-    entries = F.from_json("body", schemas.MARKET_VALUE_PAYLOAD)["list"]
-    rows = payloads.select(
-        normalize_path(F.col("href")).alias("player_href"), F.explode(entries).alias("entry")
-    )
-    return _entity(rows, "market_values", {
+    return _entity(_payload_entries(payloads, "list"), "market_values", {
         "type": F.lit("market_value"),
         "player_href": F.col("player_href"),
-        "date": parse_date(F.col("entry.datum_mw")),
-        "market_value": F.col("entry.y"),
-        "club_name": F.col("entry.verein"),
+        "date": parse_date(_field("datum_mw")),
+        "market_value": _field("y", "bigint"),
+        "club_name": _field("verein"),
     })

@@ -832,25 +832,39 @@ def injury_rows(spark, sf_dir):
 
 
 def transfer_rows(spark, sf_dir):
-    """One payload per order with two transfers; cancelled-like orders have a broken payload."""
-    orders, key, day = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.to_date("o_orderdate")
+    """One payload per order with three transfers and an element that is none; cancelled-like orders have a broken
+    payload. In the third transfer one field is of another type than it should be, by key."""
+    orders, key, day = _dealt(spark, sf_dir, "orders", "o_orderkey"), F.col("o_orderkey"), F.to_date("o_orderdate")
+    texts = {"season": '"22/23"', "marketValue": '"€1.00m"', "fee": '"-"', "date": '"02/01/2020"'}
+    whole = [f'"{name}": {text}' for name, text in texts.items()] + ['"to": {"clubName": "To"}', '"from": {"clubName": "From"}']
+    odd = ['"season": {"id": 22}', '"marketValue": [1]', '"fee": {}', '"date": false', '"to": "To"', '"from": {"clubName": ["From"]}']
+    mixed = F.lit(None).cast("string")
+    for at in range(len(odd)):
+        fields = ", ".join(odd[at] if at == other else field for other, field in enumerate(whole))
+        mixed = F.when(key % len(odd) == at, fields).otherwise(mixed)
     whole = _text(
         '{"transfers": [{"from": {"clubName": "Club ', key, '"}, "to": null, "date": "x", "dateUnformatted": "',
         F.date_format(day, "yyyy-MM-dd"), '", "season": "22/23", "marketValue": "€', key, '.50m", "fee": "-"}, ',
         '{"to": {"clubName": "', F.col("o_orderpriority"), '"}, "dateUnformatted": "", "date": "',
-        F.date_format(day, "dd/MM/yyyy"), '", "fee": "€', key, 'k"}]}',
+        F.date_format(day, "dd/MM/yyyy"), '", "fee": "€', key, 'k"}, "none", {', mixed, "}]}",
     )
     body = F.when(F.col("o_orderstatus") == "P", F.lit("<html>")).otherwise(whole)
     return extract.transfer_rows(orders.select(_player_href(key).alias("href"), body.alias("body"))).drop("type")
 
 
 def market_value_rows(spark, sf_dir):
-    """One payload per event with a value history of two entries; errors have a broken payload."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    """One payload per event with a value history of three entries; errors have a broken payload.
+    In the third entry one field is of another type than it should be, by key."""
+    events = _dealt(spark, sf_dir, "events", "event_id").select("event_id", "user_id", "event_type", "ts")
     key = F.col("event_id")
+    odd = F.element_at(F.array(*[F.lit(entry) for entry in (
+        '{"datum_mw": 20200102, "y": 5, "verein": "Club"}',
+        '{"datum_mw": "02/01/2020", "y": "much", "verein": "Club"}',
+        '{"datum_mw": "02/01/2020", "y": 5, "verein": {"id": 5}}',
+    )]), (F.pmod(key, F.lit(3)) + 1).cast("int"))
     whole = _text(
         '{"list": [{"x": 1, "datum_mw": "', F.date_format(F.to_date("ts"), "dd/MM/yyyy"), '", "y": ', key,
-        ', "verein": "', F.col("event_type"), '"}, {"datum_mw": "-", "y": null}]}',
+        ', "verein": "', F.col("event_type"), '"}, {"datum_mw": "-", "y": null}, ', odd, "]}",
     )
     body = F.when(F.col("event_type") == "error", F.lit('{"list": [')).otherwise(whole)
     href = _player_href(F.col("user_id"))

@@ -55,13 +55,6 @@ DATE_TEXTS = {
     "market_values": ["date"],
 }
 
-# API payloads: only the fields that are read.
-TRANSFER_PAYLOAD = (
-    "struct<transfers: array<struct<`from`: struct<clubName: string>, to: struct<clubName: string>,"
-    " date: string, dateUnformatted: string, season: string, marketValue: string, fee: string>>>"
-)
-MARKET_VALUE_PAYLOAD = "struct<list: array<struct<datum_mw: string, y: bigint, verein: string>>>"
-
 # Star tables in load order.
 STAR = {
     "dim_competition": _schema(
