@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from touchline import fixed
 from touchline.functions import urls
+from touchline.operators.bloom import BloomFilter
 from touchline.operators.keys import first_per_key
-from touchline.sources.scratch import materialize
+from touchline.sources.scratch import materialize, watched
 
 
 def _linked(parents: DataFrame) -> DataFrame:
@@ -89,16 +90,29 @@ def one_page_per_url(pages: DataFrame) -> DataFrame:
     """Each address with one page: the one fetched last (where `pages` has the column `fetched`), then
     the least body.
 
-    Only the addresses are counted; the pages of those that occur once stay where they are, and those
-    of the others move by address, one per address and task.
+    Only the addresses are counted; a Bloom filter of those that occur twice or more is sent to the pages,
+    however many they are. What it rules out stays where it is; the rest, repeated pages and fewer than one
+    in 200 of the others, moves by address, one page per address and task.
     """
     counted = pages.groupBy("url").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("url")
-    repeated = materialize(counted, "repeated-urls")
+    repeated = materialize(counted, "repeated-urls", watch={"found": F.count(F.lit(1))})
+    found = watched(repeated)["found"]
+    if not found:
+        return pages
     order = [F.col("body").asc_nulls_last()]
     if "fetched" in pages.columns:
         order.insert(0, F.col("fetched").desc_nulls_last())
-    same = pages.join(repeated, "url", "left_semi")
-    return pages.join(repeated, "url", "left_anti").unionByName(first_per_key(same, ["url"], order))
+    marked = BloomFilter(repeated, "url", found).mark(pages, "url", "_repeated")
+    alone, same = marked.where("not _repeated").drop("_repeated"), marked.where("_repeated").drop("_repeated")
+    return alone.unionByName(first_per_key(same, ["url"], order))
+
+
+def wanted_pages(addresses: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The addresses, written, and the pages that a Bloom filter of them lets pass: pages that nobody asks for are
+    not moved by the join that follows, whichever way it goes."""
+    written = materialize(addresses, "addresses", watch={"found": F.count(F.lit(1))})
+    held = BloomFilter(written, "url", watched(written)["found"])
+    return written, held.mark(pages, "url", "_wanted").where("_wanted").drop("_wanted")
 
 
 def with_pages(frontier: DataFrame, pages: DataFrame) -> DataFrame:

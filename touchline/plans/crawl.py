@@ -57,8 +57,8 @@ class _Site:
 
     Each address has one page, the one fetched last. For a whole crawl every HTML page is parsed
     once and stored by kind, so that a hop reads its own kind and features, not everything. For a
-    selection, few pages are wanted: a hop joins the addresses to the pages first and parses what
-    it found.
+    selection, few pages are wanted: a hop writes its addresses, sends a Bloom filter of them to the
+    pages, joins what passes and parses what it found.
     """
 
     def __init__(self, pages: DataFrame, whole: bool):
@@ -82,11 +82,16 @@ class _Site:
         if self.whole:  # only these columns of the stored pages are read
             html = html.select("url", F.struct(*wanted).alias("features"))
             return frontier.with_pages(addresses, html)
-        parsed = with_page_features(frontier.with_pages(addresses, html.drop("kind")), "body")
+        addresses, html = frontier.wanted_pages(addresses, html.drop("kind"))
+        parsed = with_page_features(frontier.with_pages(addresses, html), "body")
         return parsed.withColumn("features", F.struct(*wanted))
 
-    def payloads_of(self, addresses: DataFrame) -> DataFrame:
-        return frontier.with_pages(addresses, self.payloads)
+    def payloads_of(self, addresses: DataFrame, entity: str) -> DataFrame:
+        """The payloads of an entity, whose addresses all hold its path; other entities' are not moved."""
+        payloads = self.payloads.where(F.contains("url", F.lit(fixed.API_PATHS[entity])))
+        if not self.whole:
+            addresses, payloads = frontier.wanted_pages(addresses, payloads)
+        return frontier.with_pages(addresses, payloads)
 
 
 def sure_path(addresses: DataFrame, path: str) -> bool:
@@ -135,7 +140,7 @@ def extract_entities(
     injuries = site.pages_of(frontier.injuries_frontier(listed, base_url), fixed.INJURIES_PATH, _TABLES)
 
     def api(entity: str) -> DataFrame:
-        return site.payloads_of(frontier.api_frontier(listed, base_url, entity))
+        return site.payloads_of(frontier.api_frontier(listed, base_url, entity), entity)
 
     return {
         "competitions": competitions,
