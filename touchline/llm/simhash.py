@@ -30,7 +30,7 @@ from touchline.sources.scratch import materialize
 SEED = 42
 QUARTERS = 4
 # Fingerprints that a task holds at a time; a larger tile is held in several chunks.
-CHUNK = 1 << 14
+CHUNK = 1 << 17
 # Edges that one task of a round of components writes.
 EDGES_PER_FILE = 100_000
 _SPAN = 17  # a quarter has 0 to 16 bits set
@@ -121,10 +121,12 @@ def links(distinct: DataFrame, radius: int = 3, column: str = "fingerprint") ->
 
     `distinct` holds each fingerprint once. A fingerprint visits the tiles that can hold partners,
     in one direction of each tile pair, at most 65 of them, and there each chunk: so the rows that move grow
-    with the chunks of a tile.
+    with the chunks of a tile, one for each 131,072 fingerprints (1 MB) in it. Fingerprints are few bytes in few
+    files, so they are dealt over the shuffle partitions before each becomes its visits.
     """
     ship()
-    fps = distinct.select(F.col(column).alias("fp"))
+    partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = distinct.select(F.col(column).alias("fp")).repartition(partitions, "fp")
     tiles = fps.withColumn("tile", _tile(F.col("fp")))
     # At most 17 ** 4 rows, whatever the input, of two integers.
     sizes = materialize(
