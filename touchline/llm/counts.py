@@ -27,10 +27,12 @@ CACHE_SCHEMA = "content BINARY, tokenizer BINARY, n_tokens BIGINT"
 
 
 def read_cache(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored counts; an empty table where there is no cache yet."""
+    """The stored counts; an empty table where there is no cache yet. Any other fault of the folder is raised."""
     try:
         return spark.read.schema(CACHE_SCHEMA).parquet(folder)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], CACHE_SCHEMA)
 
 
