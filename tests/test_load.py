@@ -228,6 +228,19 @@ def test_lines(spark, tmp_path):
     assert [row.line for row in bad.collect()] == ['{"name": broken']
 
 
+def test_entity_files_are_packed_and_bad_lines_cost_no_second_reading(spark, raw, tmp_path):
+    files.write_entity(raw["clubs"], str(tmp_path), "clubs")
+    written = list((tmp_path / "clubs.jsonl").glob("part-*"))
+    assert written and all(path.name.endswith(".json.gz") for path in written)
+    (tmp_path / "clubs.jsonl" / "more.json").write_text('{"name": broken\n')
+    good, bad = files.split_malformed(spark, str(tmp_path), "clubs")
+    for path in (tmp_path / "clubs.jsonl").iterdir():
+        path.write_bytes(b"")
+    assert rows(good, *good.columns) == rows(raw["clubs"], *good.columns)
+    assert [row.line for row in bad.collect()] == ['{"name": broken']
+    assert loading.land({"clubs": good})["clubs"] is good
+
+
 def test_numbers_may_be_written_as_texts_or_fractions(spark, tmp_path):
     (tmp_path / "clubs.jsonl").write_text(
         '{"href": "/a", "squad_size": "27", "total_market_value": 150000000.0, "avg_age": "26.5"}\n'
