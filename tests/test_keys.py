@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -174,6 +175,51 @@ def test_collapse_computes_its_rows_once(spark):
     assert sorted(map(tuple, out.collect())) == once and hot is None and seen.value == 1800
 
 
+def _exchanged(df):
+    """The columns that the rows of a plan are dealt by, one entry per exchange."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+
+
+def test_rows_collapsed_near_a_key_move_once(spark):
+    from touchline.operators.collapse import collapse, collapse_near
+
+    rows = spark.range(4000).selectExpr(
+        "concat('k', id % 400) k", "id % 3 d", "id % 7 v", "nullif(concat('l', id % 4), 'l3') label", "concat('o', id % 5) o",
+    )
+    wanted = sorted(map(tuple, collapse(rows, ["k", "d"], {"most": "v"}, {"least": "label"}).collect()), key=repr)
+    out, hot = collapse_near(rows, ["k", "d"], {"most": "v"}, "k", pick={"least": "label"})
+    assert sorted(map(tuple, out.collect()), key=repr) == wanted and hot is None
+    dim = spark.range(400).selectExpr("concat('k', id) key", "id as n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        dealt = _exchanged(lookups.lookup(collapse_near(rows, ["k", "d"], {"most": "v"}, "k")[0], dim, "k", "key", {"n": "n"}))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(re.sub(r"#.*", "", by) for by in dealt) == ["_key", "k"]  # the dimension's rows and these
+
+
+def test_a_hot_key_is_collapsed_before_it_is_dealt(spark):
+    from touchline.operators.collapse import collapse, collapse_near
+
+    rows = spark.range(4000).selectExpr("if(id % 2 = 0, 'hot', concat('k', id)) k", "id % 3 d", "id % 7 v")
+    out, hot = collapse_near(rows, ["k", "d"], {"most": "v"}, "k")
+    assert "k" not in [re.sub(r"#.*", "", by) for by in _exchanged(out)]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, collapse(rows, ["k", "d"], {"most": "v"}).collect()))
+
+
+def test_date_texts_are_read_once_each(spark):
+    from touchline.functions.dates import cast_date
+    from touchline.operators.collapse import date_feed, date_spine
+
+    rows = spark.range(900).selectExpr("concat('2020-01-0', id % 9 + 1) day", "if(id % 2 = 0, 'x', '2020-01-02') other")
+    feed = date_feed(rows, [F.col("day"), F.col("other")], None, cast_date)
+    spine = date_spine([feed])
+    assert sorted(row.date_id for row in spine.collect()) == [20200101 + day for day in range(9)]
+    plan = spine._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan[plan.index("explode"):]  # below the rows' own aggregation no text is read
+
+
 @pytest.mark.parametrize("kind", ["bigint", "string"])
 def test_keys_sketched_while_rows_are_written_are_those_counted(spark, kind):
     key = F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") + 100).cast(kind)
