@@ -1,6 +1,7 @@
 """Pages and payloads to entity rows."""
 
 import json
+import re
 import time
 from datetime import date
 
@@ -335,3 +336,39 @@ def test_direct_frontier(spark):
 def test_dates_are_iso_text(page):
     row = extract.injury_rows(page(sample_pages.INJURIES, PLAYER_HREF)).first()
     assert date.fromisoformat(row["from"]) == date(2026, 2, 26)
+
+
+SOUND = [
+    "<table class='items x'><tbody><tr><td class=hauptlink>a &amp; b<a HREF=\"/x?a=1&amp;b\">l<b>m</b></a><TD>2<tr><td>3</table>",
+    "<h1>One <b>two</b></h1 ><p>x<p>y<select name=saison><option value=3 selected>a<option value='4'>b</select><br/>end > ",
+    "<li>a</td><table class=\"items\"><tr><th>h<td>c</li></tr><tr><td/>d</table></script x>", "no markup", "",
+]
+OTHER = ["<a\"x\">", "<a<b>", "<!-- <td> -->", "<script>if (a < b)<td></script>", "<option value='>'>", "a < b", "<a b='", "<td"]
+
+
+def test_sound_pages_are_split_in_one_step_and_read_the_same(monkeypatch):
+    from touchline.sources import pages
+
+    searched, search = [], pages._Page._search
+    monkeypatch.setattr(pages._Page, "_search", lambda page, html: (searched.append(html), search(page, html))[1])
+    split = [page_features_of(html) for html in SOUND]
+    assert searched == []
+    mixed = [page_features_of(html + odd + html) for html in SOUND for odd in OTHER]
+    assert len(searched) == len(mixed)
+    monkeypatch.setattr(pages, "_SOUND_TAG", re.compile("(x)(x)(x)^"))  # splits nothing
+    assert split == [page_features_of(html) for html in SOUND]
+    assert split[0]["tables"][0]["rows"][0] == {
+        "direct": True, "main_href": "/x?a=1&b", "any_href": "/x?a=1&b", "main_text": "l", "cells": ["a & blm", "2"],
+    }
+
+
+def test_features_become_columns_as_arrow_would_make_them():
+    import pyarrow as pa
+
+    from touchline.sources import pages
+
+    text, row = pa.string(), {"direct": pa.bool_(), "main_href": pa.string(), "cells": pa.list_(pa.string())}
+    table = pa.struct([pa.field("rows", pa.list_(pa.struct(row.items())))])
+    kind = pa.struct([("h1_first", text), ("tables", pa.list_(table)), ("info_labels", pa.list_(text))])
+    for found in ([page_features_of(html) for html in [*SOUND, *OTHER]], []):
+        assert pages._column(found, kind).to_pylist() == pa.array(found, kind).to_pylist()
