@@ -234,3 +234,48 @@ def test_no_rows_have_no_hot_keys(spark):
     none = spark.range(10).join(spark.range(20, 30), "id").select("id")
     table, hot = lookups.with_hot_keys(none, "rows", "id")
     assert hot is None and table.count() == 0 and lookups.hot_keys(none, "id").count() == 0
+
+
+def _joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"(\w+Join) \[", plan)
+
+
+def test_many_rows_in_small_files_are_not_broadcast(spark):
+    from touchline.sources.scratch import materialize
+
+    def dim(n):
+        rows = spark.range(n).selectExpr("id", "concat('/player/spieler/', id) href")
+        return materialize(rows.repartitionByRange(4, "href"), "dim")
+
+    facts = spark.range(300_000).selectExpr("id", "concat('/player/spieler/', id % 70000) fk")
+    few, many = dim(1_000), dim(60_000)  # packed, both are far below Spark's limit of 10 MB
+    for table, join in ((few, "BroadcastHashJoin"), (many, "SortMergeJoin")):
+        found = lookups.lookup(facts, table, "fk", "href", {"player": "id"})
+        assert _joins(found) == [join]
+        assert found.where("fk = concat('/player/spieler/', player)").count() == facts.join(table, facts.fk == table.href).count()
+        missing = lookups.missing_members(facts.select("fk"), table, "href")
+        assert _joins(missing) == [join] and missing.columns == ["fk"]
+        assert missing.count() == missing.distinct().count() == 70_000 - table.count()
+    hot = spark.createDataFrame([("fk", "/player/spieler/5", 3)], "column string, value string, ways int")
+    spread = lookups.lookup(facts, many, "fk", "href", {"player": "id"}, hot=hot)
+    assert _joins(spread)[0] == "SortMergeJoin" and spread.count() == 4 * 60_000 + 20_000
+
+
+def test_names_are_distinct_before_they_are_compared(spark):
+    dim = spark.range(60_000).selectExpr("concat('n', id) name")
+    names = spark.range(1_000).selectExpr("concat(' x', id % 10) name")
+    missing = lookups.missing_members(names, dim, "name").selectExpr("trim(name) name").distinct()
+    plan = missing._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [name" in plan[plan.index("LeftAnti"):].split("Range (0, 1000")[0]
+    assert sorted(row.name for row in missing.collect()) == [f"x{n}" for n in range(10)]
+
+
+def test_rows_are_known_where_tables_are_written(spark):
+    from touchline.sources import scratch
+
+    assert scratch.rows_of(keys.dense_key(spark.range(30).selectExpr("id k"), ["k"], "n")) == 30
+    assert scratch.rows_of(scratch.materialize(spark.range(7), "some", watch={})) == 7
+    assert scratch.rows_of(scratch.materialize(spark.range(7).where("id > 9"), "none", watch={})) == 0
+    rows, seen = _counted(spark, spark.range(50))
+    assert [scratch.rows_of(rows), scratch.rows_of(rows), seen.value] == [50, 50, 50]
