@@ -333,3 +333,21 @@ def test_a_load_that_dies_leaves_the_old_star_and_no_scratch(spark, raw, tmp_pat
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
     monkeypatch.undo()
     loading.load(spark, raw, out)  # and the next load goes through
+
+
+def test_references_to_many_rows_are_not_broadcast(spark):
+    def table(name, n=0, **values):
+        fields = [values.get(f.name, "null") + f" as `{f.name}`" for f in schemas.STAR[name]]
+        rows = spark.range(n).selectExpr(*fields)
+        return materialize(rows.select(*[rows[f.name].cast(f.dataType) for f in schemas.STAR[name]]), name)
+
+    star = {name: table(name) for name in schemas.STAR}
+    star["dim_player"] = table("dim_player", 60_000, player_id="id", href="concat('/p/', id)")
+    star["fact_market_value"] = table("fact_market_value", 70_000, player_id="id", date_id="20200101")
+    found = audit._all_references(star)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    broken = {(row.table_name, row.rule): row.n_violations for row in found.where("n_violations > 0").collect()}
+    assert broken == {
+        ("fact_market_value", "foreign key player_id -> dim_player"): 10_000,
+        ("fact_market_value", "foreign key date_id -> dim_date"): 70_000,
+    }
