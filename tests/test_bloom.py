@@ -57,3 +57,18 @@ def test_unwanted_pages_stay_out_of_the_join(spark):
     assert 500 <= kept.count() < 500 + 4_500 / 100
     assert not _shuffled(kept)
     assert frontier.with_pages(addresses, kept).count() == 510
+
+
+def test_pages_are_not_broadcast_by_the_size_of_their_files(spark):
+    from touchline.sources.scratch import materialize
+
+    # A page of 20 KB takes a few bytes in a packed file: 100 MB that look like less than 10.
+    pages = materialize(spark.range(5_000).select(
+        F.concat(F.lit("/p/"), "id").alias("url"), F.repeat(F.lit("<td>page</td>"), 1_500).alias("body"),
+    ), "pages")
+    addresses = materialize(pages.selectExpr("url", "concat('/x', url) href"), "asked").where("url <> '/p/7'")
+    found = frontier.with_pages(addresses, pages)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.columns == ["url", "href", "body"]
+    assert found.agg(F.count("*"), F.sum(F.length("body")), F.min("href")).first()[:] == (4_999, 4_999 * 19_500, "/x/p/0")

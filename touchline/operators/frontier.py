@@ -116,8 +116,12 @@ def wanted_pages(addresses: DataFrame, pages: DataFrame) -> tuple[DataFrame, Dat
 
 
 def with_pages(frontier: DataFrame, pages: DataFrame) -> DataFrame:
-    """Parents joined to their fetched pages; an address that was not fetched is dropped."""
-    return frontier.join(pages, "url")
+    """Parents joined to their fetched pages; an address that was not fetched is dropped.
+
+    Both sides are sorted and merged. Spark would go by the size of their files, and those are packed: pages that
+    take 10 MB there are hundreds of MB on the driver once they are broadcast.
+    """
+    return frontier.join(pages.hint("merge"), "url")
 
 
 def league_seeds(seeds: DataFrame, code: str) -> DataFrame:
